@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 
 from tallyspark import columns as C
 from tallyspark.operators.anchors import date_anchors
+from tallyspark.operators.audit import FAILED, SUCCEEDED, audit_rows, audit_summary, table_count_audit
 from tallyspark.operators.business_unit import customer_keys, select_business_unit
 from tallyspark.operators.kpi import kpi_mart
 from tallyspark.operators.publish import external_pairs, publish_external
+from tallyspark.operators.increments import discover_increments
 from tallyspark.operators.quality import non_null_profile, round_floats
+from tallyspark.operators.reconcile import reconcile
 from tallyspark.plans.lifestyle_spec import supplied_tables_spec
 from tallyspark.plans.spec import ACTIVE, AVG, COUNT, INACTIVE, SUM
 from tallyspark.sources import retail_views as V
+from tallyspark.sources.export import export_sql
 
 # Parameters of the supplied-table runs (the production values live in the job configuration).
 SETTINGS = {
@@ -118,6 +122,112 @@ KPI_QUERIES = {
 }
 
 
+# --- load audit -------------------------------------------------------------------------
+
+AUDIT = {
+    "dag_name": "events_load",
+    "source_tables": ["events"],
+    "target_table": "events_loaded",
+    "start_ts": "2024-02-01 05:00:00 AM",
+    "end_ts": "2024-02-01 05:20:00 AM",
+    "run_date": "2024-02-01",
+    "epoch_time": 1706763600,
+    "source_filter": "AND event_type <> 'view'",
+    "target_filter": "value >= 10",
+    "source_count_sql": "SELECT count(*) AS n FROM {src} WHERE event_type IN ('click', 'purchase')",
+    "target_count_sql": "SELECT count(*) AS n FROM {tgt}",
+    "increment_sql": "SELECT CAST(ts AS DATE) AS d FROM {events} WHERE event_type = 'purchase' AND value > 40",
+    "no_increment_sql": "SELECT CAST(ts AS DATE) AS d FROM {events} WHERE event_type = 'refund'",
+}
+
+
+def _increments(spark, sf_dir, query=None):
+    src = V.audit_source(spark, sf_dir)
+    return discover_increments(spark, src, V.EVENT_DATE, query, events=src) if query else \
+        discover_increments(spark, src, V.EVENT_DATE)
+
+
+def _recon(spark, sf_dir, mode="daily", increments_query=None):
+    src, tgt = V.audit_source(spark, sf_dir), V.audit_target(spark, sf_dir)
+    inc = _increments(spark, sf_dir, increments_query)
+    if mode == "filtered":
+        return reconcile(inc, src, tgt, V.EVENT_DATE, V.EVENT_DATE,
+                         source_filter=AUDIT["source_filter"], target_filter=AUDIT["target_filter"])
+    if mode == "custom":
+        return reconcile(inc, src, tgt, V.EVENT_DATE, V.EVENT_DATE,
+                         source_count=export_sql(spark, AUDIT["source_count_sql"], src=src),
+                         target_count=export_sql(spark, AUDIT["target_count_sql"], tgt=tgt))
+    return reconcile(inc, src, tgt, V.EVENT_DATE, V.EVENT_DATE)
+
+
+def _audit(spark, sf_dir, status, increments_query=None):
+    a = AUDIT
+    return audit_rows(_recon(spark, sf_dir, increments_query=increments_query), a["dag_name"],
+                      a["source_tables"], a["target_table"], status, a["start_ts"], a["end_ts"], a["run_date"])
+
+
+def _count_tables(spark, sf_dir):
+    return [("events", "src", V.active_source(spark, sf_dir)),
+            ("events_loaded", "tgt", V.audit_target(spark, sf_dir))]
+
+
+def q_increment_dates(spark, sf_dir):
+    return _increments(spark, sf_dir)
+
+
+def q_increment_dates_sql(spark, sf_dir):
+    return _increments(spark, sf_dir, AUDIT["increment_sql"])
+
+
+def q_reconcile_daily(spark, sf_dir):
+    return _recon(spark, sf_dir, "daily")
+
+
+def q_reconcile_filtered(spark, sf_dir):
+    return _recon(spark, sf_dir, "filtered")
+
+
+def q_reconcile_custom(spark, sf_dir):
+    return _recon(spark, sf_dir, "custom")
+
+
+def q_audit_rows(spark, sf_dir):
+    return _audit(spark, sf_dir, SUCCEEDED)
+
+
+def q_audit_rows_failed(spark, sf_dir):
+    return _audit(spark, sf_dir, FAILED)
+
+
+def q_audit_rows_empty(spark, sf_dir):
+    return _audit(spark, sf_dir, SUCCEEDED, increments_query=AUDIT["no_increment_sql"])
+
+
+def q_table_count_audit(spark, sf_dir):
+    a = AUDIT
+    return table_count_audit(_count_tables(spark, sf_dir), a["dag_name"], "success", a["run_date"],
+                             a["epoch_time"])
+
+
+def q_audit_summary(spark, sf_dir):
+    return audit_summary(_count_tables(spark, sf_dir), AUDIT["dag_name"], FAILED, AUDIT["run_date"])
+
+
+AUDIT_QUERIES = {
+    "increment_dates": q_increment_dates,
+    "increment_dates_sql": q_increment_dates_sql,
+    "reconcile_daily": q_reconcile_daily,
+    "reconcile_filtered": q_reconcile_filtered,
+    "reconcile_custom": q_reconcile_custom,
+    "audit_rows": q_audit_rows,
+    "audit_rows_failed": q_audit_rows_failed,
+    "audit_rows_empty": q_audit_rows_empty,
+    "table_count_audit": q_table_count_audit,
+    "audit_summary": q_audit_summary,
+}
+
+
 def queries() -> dict:
     out = dict(KPI_QUERIES)
+    out.update(AUDIT_QUERIES)
     return out

@@ -10,7 +10,7 @@ specification's cell generator.
 
 from __future__ import annotations
 
-from tallyspark.plans.catalog import SETTINGS
+from tallyspark.plans.catalog import AUDIT, SETTINGS
 from tallyspark.plans.lifestyle_spec import FAMILIES, LIFESTYLE_BRANDS, NAME_OVERRIDES
 
 KEY = "idi_counterparty_gr"
@@ -174,6 +174,82 @@ def kpi_oracle() -> dict:
     }
 
 
+# --- load audit -------------------------------------------------------------------------
+
+_SRC = "SELECT *, CAST(ts AS DATE) AS event_date FROM events"
+_TGT = _SRC + " WHERE event_type <> 'error'"
+_ACTIVE = _SRC + " WHERE event_type NOT IN ('error', 'signup')"
+
+
+def _inc_sql(where: str = "") -> str:
+    cond = "event_date IS NOT NULL" + (f" AND {where}" if where else "")
+    return f"SELECT DISTINCT event_date AS trx_date FROM ({_SRC}) e WHERE {cond}"
+
+
+def _recon_sql(mode: str = "daily", inc_where: str = "") -> str:
+    inc = _inc_sql(inc_where)
+    if mode == "custom":
+        s = f"(SELECT count(*) FROM ({_SRC}) e WHERE event_type IN ('click', 'purchase'))"
+        t = f"(SELECT count(*) FROM ({_TGT}) e)"
+        return (f"SELECT trx_date, CAST({s} AS BIGINT) AS source_count, CAST({t} AS BIGINT) AS target_count "
+                f"FROM ({inc}) inc")
+    sf = " WHERE event_type <> 'view'" if mode == "filtered" else ""
+    tf = " WHERE value >= 10" if mode == "filtered" else ""
+    return f"""
+SELECT inc.trx_date, CAST(coalesce(s.n, 0) AS BIGINT) AS source_count,
+       CAST(coalesce(t.n, 0) AS BIGINT) AS target_count
+FROM ({inc}) inc
+LEFT JOIN (SELECT event_date AS d, count(*) AS n FROM ({_SRC}) e{sf} GROUP BY event_date) s ON inc.trx_date = s.d
+LEFT JOIN (SELECT event_date AS d, count(*) AS n FROM ({_TGT}) e{tf} GROUP BY event_date) t ON inc.trx_date = t.d
+"""
+
+
+def _audit_sql(status: str, inc_where: str = "") -> str:
+    a = AUDIT
+    recon = _recon_sql("daily", inc_where)
+    tgt = "CAST(0 AS BIGINT)" if status == "failed" else "target_count"
+    rows = f"""
+SELECT '{a['dag_name']}' AS dag_name, '{",".join(a['source_tables'])}' AS source_tables,
+       '{a['target_table']}' AS target_table, '{status}' AS status, '{a['start_ts']}' AS start_ts,
+       '{a['end_ts']}' AS end_ts, source_count, {tgt} AS target_count, trx_date, DATE '{a['run_date']}' AS run_date
+FROM (SELECT * FROM ({recon}) r
+      UNION ALL
+      SELECT CAST(NULL AS DATE), CAST(0 AS BIGINT), CAST(0 AS BIGINT) WHERE NOT EXISTS (SELECT 1 FROM ({recon}) r2)) x
+"""
+    fields = ["dag_name", "source_tables", "target_table", "status", "start_ts", "end_ts", "source_count",
+              "target_count", "trx_date"]
+    h = "sha256(concat_ws('|', " + ", ".join(f"coalesce(CAST({f} AS VARCHAR), '')" for f in fields) + "))"
+    return f"SELECT {h} AS hash, * FROM ({rows}) y"
+
+
+def _count_tables_sql() -> str:
+    return (f"SELECT 'events' AS table_name, 'src' AS type, count(*) AS count FROM ({_ACTIVE}) a "
+            f"UNION ALL SELECT 'events_loaded', 'tgt', count(*) FROM ({_TGT}) b")
+
+
+def audit_oracle() -> dict:
+    a = AUDIT
+    return {
+        "increment_dates": _inc_sql(),
+        "increment_dates_sql": _inc_sql("event_type = 'purchase' AND value > 40"),
+        "reconcile_daily": _recon_sql("daily"),
+        "reconcile_filtered": _recon_sql("filtered"),
+        "reconcile_custom": _recon_sql("custom"),
+        "audit_rows": _audit_sql("Succeeded"),
+        "audit_rows_failed": _audit_sql("failed"),
+        "audit_rows_empty": _audit_sql("Succeeded", "event_type = 'refund'"),
+        "table_count_audit": f"""
+SELECT '{a['dag_name']}' AS dag_name, table_name, type, DATE '{a['run_date']}' AS load_date,
+       CAST(count AS BIGINT) AS count, 'success' AS status, CAST({a['epoch_time']} AS BIGINT) AS epoch_time
+FROM ({_count_tables_sql()}) c""",
+        "audit_summary": f"""
+SELECT table_name, CAST(CASE WHEN type = 'tgt' THEN 0 ELSE count END AS BIGINT) AS count,
+       '{a['dag_name']}' AS dag_name, 'failed' AS status, type, DATE '{a['run_date']}' AS load_date
+FROM ({_count_tables_sql()}) c""",
+    }
+
+
 def oracle_sql() -> dict:
     out = dict(kpi_oracle())
+    out.update(audit_oracle())
     return out
