@@ -24,7 +24,10 @@ from tallyspark.operators.reconcile import reconcile
 from tallyspark.plans.lifestyle_spec import supplied_tables_spec
 from tallyspark.plans.spec import ACTIVE, AVG, COUNT, INACTIVE, SUM
 from tallyspark.sources import retail_views as V
+from tallyspark.session import scratch_path
 from tallyspark.sources.export import export_sql
+from tallyspark.sources.sinks import (append_audit, extract_to_landing, read_audit, read_landing,
+                                      write_kpi)
 
 # Parameters of the supplied-table runs (the production values live in the job configuration).
 SETTINGS = {
@@ -227,7 +230,50 @@ AUDIT_QUERIES = {
 }
 
 
+# --- export, landing and sinks (write to a fresh folder under spark.checkpoint.dir, read back) ---
+
+EXPORT_SQL = ("SELECT event_date, event_type, count(*) AS n_events, round(sum(value), 2) AS total_value "
+              "FROM {events} GROUP BY event_date, event_type")
+LANDING_RUNS = ("2024-02-01", "2024-02-02")
+
+
+def q_export_sql(spark, sf_dir):
+    return export_sql(spark, EXPORT_SQL, events=V.audit_source(spark, sf_dir))
+
+
+def q_landing_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "landing")
+    extract = q_export_sql(spark, sf_dir)
+    extract_to_landing(extract.where(F.col("event_type") == F.lit("click")), path, LANDING_RUNS[0])
+    extract_to_landing(extract, path, LANDING_RUNS[1])
+    extract_to_landing(extract, path, LANDING_RUNS[0])  # re-run of day one replaces only day one
+    return read_landing(spark, path, LANDING_RUNS[0])
+
+
+def q_kpi_overwrite_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "kpi")
+    write_kpi(_mart(spark, sf_dir, SPEC.select(measures={SUM})), path)
+    write_kpi(_mart(spark, sf_dir, SPEC), path)  # replaces data and schema
+    return spark.read.parquet(path)
+
+
+def q_audit_append_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "audit")
+    append_audit(_audit(spark, sf_dir, SUCCEEDED), path)
+    append_audit(_audit(spark, sf_dir, FAILED), path)
+    return read_audit(spark, path, dag_name=AUDIT["dag_name"])
+
+
+SINK_QUERIES = {
+    "export_sql": q_export_sql,
+    "landing_roundtrip": q_landing_roundtrip,
+    "kpi_overwrite_roundtrip": q_kpi_overwrite_roundtrip,
+    "audit_append_roundtrip": q_audit_append_roundtrip,
+}
+
+
 def queries() -> dict:
     out = dict(KPI_QUERIES)
     out.update(AUDIT_QUERIES)
+    out.update(SINK_QUERIES)
     return out

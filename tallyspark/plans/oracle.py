@@ -249,7 +249,19 @@ FROM ({_count_tables_sql()}) c""",
     }
 
 
+def sink_oracle() -> dict:
+    export = ("SELECT event_date, event_type, count(*) AS n_events, round(sum(value), 2) AS total_value "
+              f"FROM ({_SRC}) e GROUP BY event_date, event_type")
+    return {
+        "export_sql": export,
+        "landing_roundtrip": f"SELECT *, DATE '2024-02-01' AS run_date FROM ({export}) x",
+        "kpi_overwrite_roundtrip": mart_sql(),
+        "audit_append_roundtrip": f"{_audit_sql('Succeeded')} UNION ALL {_audit_sql('failed')}",
+    }
+
+
 def oracle_sql() -> dict:
     out = dict(kpi_oracle())
     out.update(audit_oracle())
+    out.update(sink_oracle())
     return out
