@@ -42,6 +42,7 @@ from tallyspark import columns as C
 from tallyspark.functions.money import half_up_avg_cents, to_cents
 from tallyspark.operators.anchors import months_col, window_bounds
 from tallyspark.plans.spec import ACTIVE, AVG, COUNT, INACTIVE, SUM, KpiSpec
+from tallyspark.sources.staging import stage_table
 
 BRAND_KEY = "_brand_key"
 BOUNDS = "_bounds"
@@ -54,16 +55,24 @@ def _measure_name(measure: str, months: int | None) -> str:
 
 def kpi_mart(bu_rows: DataFrame, spec: KpiSpec, money: str = "double",
              customer: str = C.CUSTOMER, date: str = C.TRX_DATE, amount: str = C.AMOUNT,
-             txn_id: str = C.TXN_ID, brand: str = C.BRAND) -> DataFrame:
+             txn_id: str = C.TXN_ID, brand: str = C.BRAND, stage: bool = False) -> DataFrame:
     """``customer`` plus one column per cell of ``spec``, one row per distinct customer of ``bu_rows``.
 
     ``bu_rows`` is the already filtered business-unit set (see
     ``select_business_unit``): it defines both the population and the anchor.
+
+    ``stage=True`` first writes the five used columns of ``bu_rows`` once to the
+    shared folder (an eager write) and runs the anchor and the aggregation from
+    that table.  Use it when ``bu_rows`` is itself the result of joins; for a
+    stored transactions table leave it off (the anchor pass then reads only
+    the date column of the scan).
     """
     if money not in MONEY_FORMS:
         raise ValueError(f"money must be one of {MONEY_FORMS}")
     cells = spec.cells()
     rows = bu_rows.select(customer, date, amount, txn_id, brand)
+    if stage:
+        rows = stage_table(rows, "kpi-rows")
     # one reference to the bounds subquery; every window reads a field of it
     rows = rows.withColumn(BOUNDS, window_bounds(rows, spec.windows(), date))
 

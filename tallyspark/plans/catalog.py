@@ -41,12 +41,13 @@ SETTINGS = {
 SPEC = supplied_tables_spec()
 
 
-def _bu_rows(spark: SparkSession, sf_dir: str, with_bu: bool = False) -> DataFrame:
+def _bu_rows(spark: SparkSession, sf_dir: str, with_bu: bool = False, all_regions: bool = False) -> DataFrame:
     trx = V.transactions(spark, sf_dir)
+    country = None if all_regions else SETTINGS["country"]
     if with_bu:
-        return select_business_unit(trx, SETTINGS["country"], SETTINGS["bu"], SETTINGS["source_system"],
+        return select_business_unit(trx, country, SETTINGS["bu"], SETTINGS["source_system"],
                                     as_of=SETTINGS["as_of"])
-    return select_business_unit(trx, SETTINGS["country"], as_of=SETTINGS["as_of"])
+    return select_business_unit(trx, country, as_of=SETTINGS["as_of"])
 
 
 def q_trx_base(spark, sf_dir):
@@ -64,7 +65,8 @@ def q_date_anchors(spark, sf_dir):
 
 
 def _mart(spark, sf_dir, spec, money="cents"):
-    return kpi_mart(_bu_rows(spark, sf_dir), spec, money=money)
+    # the business-unit set is the result of a five-table join: stage it once (see kpi_mart)
+    return kpi_mart(_bu_rows(spark, sf_dir), spec, money=money, stage=True)
 
 
 def q_kpi_total_spend(spark, sf_dir):
@@ -92,6 +94,10 @@ def q_kpi_mart(spark, sf_dir):
     return _mart(spark, sf_dir, SPEC)
 
 
+def q_kpi_mart_all_regions(spark, sf_dir):
+    return kpi_mart(_bu_rows(spark, sf_dir, all_regions=True), SPEC, money="cents", stage=True)
+
+
 def q_kpi_rounded(spark, sf_dir):
     return round_floats(_mart(spark, sf_dir, SPEC.select(measures={SUM}), money="double"), 2)
 
@@ -118,6 +124,7 @@ KPI_QUERIES = {
     "kpi_lifetime_transactions": q_kpi_lifetime_transactions,
     "kpi_activity_flags": q_kpi_activity_flags,
     "kpi_mart": q_kpi_mart,
+    "kpi_mart_all_regions": q_kpi_mart_all_regions,
     "kpi_rounded": q_kpi_rounded,
     "kpi_non_null_profile": q_kpi_non_null_profile,
     "external_id_map": q_external_id_map,

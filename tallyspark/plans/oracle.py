@@ -33,9 +33,11 @@ JOIN region r ON n.n_regionkey = r.r_regionkey
 """
 
 
-def _bu_sql(with_bu: bool = False) -> str:
+def _bu_sql(with_bu: bool = False, all_regions: bool = False) -> str:
     s = SETTINGS
-    cond = f"des_country_name = '{s['country']}' AND dat_date_type_1 <= DATE '{s['as_of']}'"
+    cond = f"dat_date_type_1 <= DATE '{s['as_of']}'"
+    if not all_regions:
+        cond += f" AND des_country_name = '{s['country']}'"
     if with_bu:
         cond += f" AND bu = '{s['bu']}' AND cod_sor_gr = '{s['source_system']}'"
     return f"SELECT * FROM ({TRX_SQL}) t WHERE {cond}"
@@ -91,9 +93,10 @@ def _cell_sql(measure: str, months, literal: str, money: str) -> str:
             f"GROUP BY b.{KEY}, a.mx")
 
 
-def mart_sql(measures=None, family_keys=None, money: str = "cents", final: str | None = None) -> str:
+def mart_sql(measures=None, family_keys=None, money: str = "cents", final: str | None = None,
+             all_regions: bool = False) -> str:
     cells = _oracle_cells(measures, family_keys)
-    ctes = [f"bu AS ({_bu_sql()})",
+    ctes = [f"bu AS ({_bu_sql(all_regions=all_regions)})",
             "anchor AS (SELECT max(dat_date_type_1) AS mx FROM bu)",
             f"keys AS (SELECT DISTINCT {KEY} FROM bu)"]
     cols, joins = [f"keys.{KEY}"], []
@@ -167,6 +170,7 @@ def kpi_oracle() -> dict:
         "kpi_lifetime_transactions": mart_sql(measures={"count"}),
         "kpi_activity_flags": mart_sql(measures={"active", "inactive"}),
         "kpi_mart": mart_sql(),
+        "kpi_mart_all_regions": mart_sql(all_regions=True),
         "kpi_rounded": _rounded_sql(),
         "kpi_non_null_profile": _profile_sql(),
         "external_id_map": _pairs_sql(),

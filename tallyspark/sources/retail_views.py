@@ -36,12 +36,15 @@ def transactions(spark: SparkSession, base: str) -> DataFrame:
     nation = read_table(spark, base, "nation").select("n_nationkey", "n_regionkey")
     region = read_table(spark, base, "region").select("r_regionkey", "r_name")
 
+    # Join order: the customer's region first (orders x customers in the region), so a country
+    # filter shrinks the orders before the line items are joined; the line items are the largest
+    # input and are joined once, then the part brand.
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
     cust_geo = customer.join(geo, customer.c_nationkey == geo.n_nationkey).select("c_custkey", "r_name")
+    orders_geo = orders.join(cust_geo, orders.o_custkey == cust_geo.c_custkey)
     return (
-        line.join(orders, line.l_orderkey == orders.o_orderkey)
+        line.join(orders_geo, line.l_orderkey == orders_geo.o_orderkey)
         .join(part, line.l_partkey == part.p_partkey)
-        .join(cust_geo, orders.o_custkey == cust_geo.c_custkey)
         .select(
             F.col("o_custkey").alias(C.CUSTOMER),
             F.col("o_orderdate").alias(C.TRX_DATE),
