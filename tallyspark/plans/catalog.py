@@ -26,6 +26,7 @@ from tallyspark.plans.spec import ACTIVE, AVG, COUNT, INACTIVE, SUM
 from tallyspark.sources import retail_views as V
 from tallyspark.session import scratch_path
 from tallyspark.sources.export import export_sql
+from tallyspark.streaming.landing_audit import audit_landing_stream, read_stream_audit
 from tallyspark.sources.sinks import (append_audit, extract_to_landing, read_audit, read_landing,
                                       write_kpi)
 
@@ -271,11 +272,29 @@ def q_audit_append_roundtrip(spark, sf_dir):
     return read_audit(spark, path, dag_name=AUDIT["dag_name"])
 
 
+def q_landing_stream_audit(spark, sf_dir):
+    """Loaded events land in two runs; each run's stream audits only the newly landed dates."""
+    a = AUDIT
+    root = scratch_path(spark, "stream")
+    landing, audit, ckpt = f"{root}/landing", f"{root}/audit", f"{root}/checkpoint"
+    src, tgt = V.audit_source(spark, sf_dir), V.audit_target(spark, sf_dir)
+    split = F.to_date(F.lit("2024-01-16"))
+    runs = [(LANDING_RUNS[0], tgt.where(F.col(V.EVENT_DATE) < split)),
+            (LANDING_RUNS[1], tgt.where(F.col(V.EVENT_DATE) >= split))]
+    for run_date, part in runs:
+        extract_to_landing(part, landing, run_date)
+        audit_landing_stream(spark, landing, V.EVENT_DATE, src, V.EVENT_DATE, audit, ckpt, a["dag_name"],
+                             a["source_tables"], a["target_table"], SUCCEEDED, a["start_ts"], a["end_ts"],
+                             a["run_date"])
+    return read_stream_audit(spark, audit)
+
+
 SINK_QUERIES = {
     "export_sql": q_export_sql,
     "landing_roundtrip": q_landing_roundtrip,
     "kpi_overwrite_roundtrip": q_kpi_overwrite_roundtrip,
     "audit_append_roundtrip": q_audit_append_roundtrip,
+    "landing_stream_audit": q_landing_stream_audit,
 }
 
 

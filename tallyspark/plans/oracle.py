@@ -261,6 +261,7 @@ def sink_oracle() -> dict:
         "landing_roundtrip": f"SELECT *, DATE '2024-02-01' AS run_date FROM ({export}) x",
         "kpi_overwrite_roundtrip": mart_sql(),
         "audit_append_roundtrip": f"{_audit_sql('Succeeded')} UNION ALL {_audit_sql('failed')}",
+        "landing_stream_audit": _audit_sql("Succeeded"),
     }
 
 
