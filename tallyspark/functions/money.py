@@ -13,8 +13,14 @@ from pyspark.sql import functions as F
 
 
 def to_cents(amount: Column) -> Column:
-    """Amount as a bigint number of cents."""
-    return F.round(amount * F.lit(100)).cast("bigint")
+    """Amount as a bigint number of cents (nearest integer of ``amount * 100``).
+
+    ``rint`` is a plain floating-point operation (``round`` goes through a
+    decimal per value).  For amounts with two decimals ``amount * 100`` is within
+    a rounding error of an integer, so the result is exact; only an amount with
+    an exact half cent would round to even.
+    """
+    return F.rint(amount * F.lit(100)).cast("bigint")
 
 
 def half_up_avg_cents(sum_cents: Column, n: Column) -> Column:

@@ -46,9 +46,15 @@ from tallyspark.sources.staging import stage_table
 
 BRAND_KEY = "_brand_key"
 BOUNDS = "_bounds"
+VALUE = "_value"
+TXN = "_txn"
 MONEY_FORMS = ("double", "cents")
 
 
+def _window_flag(months: int) -> str:
+    return f"_in_{months}m"
+
+
 def _measure_name(measure: str, months: int | None) -> str:
     return f"_{measure}_{'life' if months is None else months}"
 
@@ -76,13 +82,18 @@ def kpi_mart(bu_rows: DataFrame, spec: KpiSpec, money: str = "double",
     # one reference to the bounds subquery; every window reads a field of it
     rows = rows.withColumn(BOUNDS, window_bounds(rows, spec.windows(), date))
 
-    def in_window(months: int | None) -> Column:
-        if months is None:
-            return F.lit(True)
-        return F.col(date) >= F.col(BOUNDS).getField(months_col(months))
-
+    # per-row values computed once: the amount (or its cents), the brand key, one flag per window
     value = to_cents(F.col(amount)) if money == "cents" else F.col(amount)
+    brand_key = F.when(F.col(customer).isNotNull() & F.col(brand).isin(spec.brand_literals()),
+                       F.col(brand))
+    pre = rows.select(
+        F.col(customer), brand_key.alias(BRAND_KEY), F.col(txn_id).alias(TXN), value.alias(VALUE),
+        *[(F.col(date) >= F.col(BOUNDS).getField(months_col(m))).alias(_window_flag(m)) for m in spec.windows()])
+
+    def in_window(months: int | None) -> Column:
+        return F.lit(True) if months is None else F.col(_window_flag(months))
 
+    v = F.col(VALUE)
     stage1_exprs: dict[str, Column] = {}
     for cell in cells:
         key = _measure_name(cell.measure, cell.months)
@@ -90,18 +101,18 @@ def kpi_mart(bu_rows: DataFrame, spec: KpiSpec, money: str = "double",
             continue
         inw = in_window(cell.months)
         if cell.measure == SUM:
-            expr = F.sum(F.when(inw, value))
+            expr = F.sum(F.when(inw, v))
         elif cell.measure == AVG:
             if money == "cents":
-                expr = half_up_avg_cents(F.sum(F.when(inw, value)), F.count(F.when(inw, value)))
+                expr = half_up_avg_cents(F.sum(F.when(inw, v)), F.count(F.when(inw, v)))
             else:
-                expr = F.avg(F.when(inw, value))
+                expr = F.avg(F.when(inw, v))
         elif cell.measure == COUNT:
             if cell.months is None:
-                expr = F.count(txn_id)
+                expr = F.count(TXN)
             else:
                 expr = F.when(F.max(F.when(inw, F.lit(1))).isNotNull(),
-                              F.count(F.when(inw, F.col(txn_id))))
+                              F.count(F.when(inw, F.col(TXN))))
         elif cell.measure == ACTIVE:
             expr = F.max(F.when(inw, F.lit(1)))
         elif cell.measure == INACTIVE:
@@ -110,9 +121,7 @@ def kpi_mart(bu_rows: DataFrame, spec: KpiSpec, money: str = "double",
             raise ValueError(cell.measure)
         stage1_exprs[key] = expr.alias(key)
 
-    brand_key = F.when(F.col(customer).isNotNull() & F.col(brand).isin(spec.brand_literals()),
-                       F.col(brand))
-    stage1 = rows.groupBy(F.col(customer), brand_key.alias(BRAND_KEY)).agg(*stage1_exprs.values())
+    stage1 = pre.groupBy(customer, BRAND_KEY).agg(*stage1_exprs.values())
 
     stage2_exprs = [
         F.max(F.when(F.col(BRAND_KEY) == F.lit(cell.brand_literal),

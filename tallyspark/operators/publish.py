@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tallyspark import columns as C
 
-_WINNER = "_winner"
+_WIN_ID = "_winner_external_id"
+_WIN_GCR = "_winner_gcr_id"
 
 
 def external_pairs(ext_map: DataFrame, org_code: str | None) -> DataFrame:
@@ -23,16 +24,15 @@ def publish_external(kpis: DataFrame, ext_map: DataFrame, org_code: str | None,
 
     Inner join on ``key = gcr_id`` (customers without an id drop out, a customer
     with several ids fans out), then one row per external id: the row with the
-    smallest ``gcr_id`` wins.  The winner is chosen by ``min_by``, an aggregate
-    with a map-side partial, so an external id shared by a huge number of
-    customers never lands in one task as a group.
+    smallest ``gcr_id`` wins.  The winner is found on the narrow pairs with a
+    ``min`` aggregate (map-side partial, so an id shared by a huge number of
+    customers never becomes one task's group) and kept by a semi join on the
+    unique ``(external_id, gcr_id)`` pair, so no wide row is sorted or grouped.
     """
     pairs = external_pairs(ext_map, org_code)
     kpi_cols = [c for c in kpis.columns if c != key]
     joined = kpis.join(pairs, kpis[key] == pairs[C.GCR_ID], "inner").drop(key)
-    winners = joined.groupBy(C.EXTERNAL_ID).agg(
-        F.min_by(F.struct(*[F.col(c) for c in kpi_cols], F.col(C.GCR_ID)), F.col(C.GCR_ID)).alias(_WINNER))
-    w = F.col(_WINNER)
-    return winners.select(*[w.getField(c).alias(c) for c in kpi_cols],
-                          w.getField(C.GCR_ID).alias(C.GCR_ID),
-                          F.col(C.EXTERNAL_ID).alias(key))
+    winners = joined.groupBy(F.col(C.EXTERNAL_ID).alias(_WIN_ID)).agg(F.min(C.GCR_ID).alias(_WIN_GCR))
+    kept = joined.join(winners, joined[C.EXTERNAL_ID].eqNullSafe(winners[_WIN_ID])
+                       & (joined[C.GCR_ID] == winners[_WIN_GCR]), "left_semi")
+    return kept.select(*kpi_cols, C.GCR_ID, F.col(C.EXTERNAL_ID).alias(key))
