@@ -8,6 +8,7 @@ are inputs; when left out they come from the session clock.
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,11 +78,38 @@ def audit_rows(recon: DataFrame, dag_name: str, source_tables, target_table: str
     return base.select(hashed.alias("hash"), *[c for c in C.AUDIT_COLUMNS if c != "hash"])
 
 
-def _table_counts(tables) -> DataFrame:
-    """``(table_name, type, count)`` from ``(name, type, DataFrame)`` triples, one global count each."""
-    frames = [df.agg(F.count(F.lit(1)).alias("count")).select(
-        F.lit(name).alias("table_name"), F.lit(kind).alias("type"), F.col("count"))
-        for name, kind, df in tables]
+@dataclass(frozen=True)
+class CountSource:
+    """One table of the per-table audit.
+
+    ``frame`` is the table as its count query sees it (filters applied) and is
+    counted; with ``frame_is_count=True`` it is already a count query result
+    whose first column is the count.  ``load_date`` is an optional SQL
+    expression for that table's load date (e.g. ``"current_date()"``).
+    """
+
+    table_name: str
+    type: str
+    frame: DataFrame
+    frame_is_count: bool = False
+    load_date: str | None = None
+
+
+def _as_source(entry) -> CountSource:
+    return entry if isinstance(entry, CountSource) else CountSource(*entry)
+
+
+def _table_counts(tables, load_date=None) -> DataFrame:
+    """``(table_name, type, count, load_date)``, one global count (or given count) per table."""
+    frames = []
+    for src in map(_as_source, tables):
+        if src.frame_is_count:
+            counted = src.frame.select(F.col(src.frame.columns[0]).cast("bigint").alias("count"))
+        else:
+            counted = src.frame.agg(F.count(F.lit(1)).alias("count"))
+        day = F.expr(src.load_date).cast("date") if src.load_date else _date(load_date)
+        frames.append(counted.select(F.lit(src.table_name).alias("table_name"), F.lit(src.type).alias("type"),
+                                     F.col("count"), day.alias("load_date")))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -91,12 +119,12 @@ def _table_counts(tables) -> DataFrame:
 def table_count_audit(tables, dag_name: str, status: str, load_date=None, epoch_time=None) -> DataFrame:
     """Older per-table audit: ``(dag_name, table_name, type, load_date, count, status, epoch_time)``.
 
-    ``tables`` is a list of ``(table_name, type, DataFrame)``; each DataFrame is
-    the table as the count query sees it (filters applied).
+    ``tables`` is a list of ``CountSource`` or ``(table_name, type, DataFrame)``
+    triples; each DataFrame is the table as the count query sees it.
     """
     epoch = F.unix_timestamp() if epoch_time is None else F.lit(int(epoch_time))
-    return _table_counts(tables).select(
-        F.lit(dag_name).alias("dag_name"), "table_name", "type", _date(load_date).alias("load_date"),
+    return _table_counts(tables, load_date).select(
+        F.lit(dag_name).alias("dag_name"), "table_name", "type", "load_date",
         F.col("count").cast("bigint").alias("count"), F.lit(status).alias("status"),
         epoch.cast("bigint").alias("epoch_time"))
 
@@ -109,6 +137,6 @@ def audit_summary(tables, dag_name: str, status: str, run_date=None) -> DataFram
     count = F.col("count").cast("bigint")
     if status == FAILED:
         count = F.when(F.col("type") == F.lit("tgt"), F.lit(0).cast("bigint")).otherwise(count)
-    return _table_counts(tables).select(
+    return _table_counts(tables, run_date).select(
         "table_name", count.alias("count"), F.lit(dag_name).alias("dag_name"), F.lit(status).alias("status"),
         "type", _date(run_date).alias("load_date"))

@@ -22,6 +22,7 @@ from tallyspark.operators.increments import discover_increments
 from tallyspark.operators.quality import non_null_profile, round_floats
 from tallyspark.operators.reconcile import reconcile
 from tallyspark.plans.lifestyle_spec import supplied_tables_spec
+from tallyspark.plans.load_audit_config import LoadAuditConfig, run_load_audit
 from tallyspark.plans.spec import ACTIVE, AVG, COUNT, INACTIVE, SUM
 from tallyspark.sources import retail_views as V
 from tallyspark.session import scratch_path
@@ -224,6 +225,50 @@ def q_audit_summary(spark, sf_dir):
     return audit_summary(_count_tables(spark, sf_dir), AUDIT["dag_name"], FAILED, AUDIT["run_date"])
 
 
+# The same audit driven by a scheduler parameter block ("None" marks an unset value).
+CONFIG_VIEWS = ("tallyspark_events", "tallyspark_events_loaded")
+CONFIG_PARAMS = {
+    "incerment_query": "None",
+    "src_table_or_view": CONFIG_VIEWS[0],
+    "src_incremental_column": V.EVENT_DATE,
+    "filter_on_scr_query": " none ",
+    "scr_query": "None",
+    "excel_table": CONFIG_VIEWS[1],
+    "excel_incremental_column": V.EVENT_DATE,
+    "filter_on_excel_query": "AND value >= 10",
+    "excel_query": "None",
+    "source_tables": ["events"],
+    "dag_audit_src_tbl": ["events", "events_loaded"],
+    "dag_audit_table_type": ["src", "tgt"],
+    "dag_audit_src_tbl_count_sql": [
+        f"SELECT count(*) FROM {CONFIG_VIEWS[0]} WHERE event_type NOT IN ('error', 'signup')",
+        f"SELECT count(*) FROM {CONFIG_VIEWS[1]}",
+    ],
+    "load_date_range": ["DATE'2024-02-01'", "DATE'2024-02-01'"],
+}
+
+
+def _config_run(spark, sf_dir, status):
+    V.audit_source(spark, sf_dir).createOrReplaceTempView(CONFIG_VIEWS[0])
+    V.audit_target(spark, sf_dir).createOrReplaceTempView(CONFIG_VIEWS[1])
+    cfg = LoadAuditConfig.from_params(CONFIG_PARAMS, AUDIT["dag_name"])
+    a = AUDIT
+    return run_load_audit(spark, cfg, status, a["start_ts"], a["end_ts"], a["run_date"], a["epoch_time"],
+                          old_status="success")
+
+
+def q_config_audit_rows(spark, sf_dir):
+    return _config_run(spark, sf_dir, SUCCEEDED)["audit_rows"]
+
+
+def q_config_table_count_audit(spark, sf_dir):
+    return _config_run(spark, sf_dir, SUCCEEDED)["table_count_audit"]
+
+
+def q_config_audit_summary(spark, sf_dir):
+    return _config_run(spark, sf_dir, FAILED)["audit_summary"]
+
+
 AUDIT_QUERIES = {
     "increment_dates": q_increment_dates,
     "increment_dates_sql": q_increment_dates_sql,
@@ -235,6 +280,9 @@ AUDIT_QUERIES = {
     "audit_rows_empty": q_audit_rows_empty,
     "table_count_audit": q_table_count_audit,
     "audit_summary": q_audit_summary,
+    "config_audit_rows": q_config_audit_rows,
+    "config_table_count_audit": q_config_table_count_audit,
+    "config_audit_summary": q_config_audit_summary,
 }
 
 

@@ -190,7 +190,7 @@ def _inc_sql(where: str = "") -> str:
     return f"SELECT DISTINCT event_date AS trx_date FROM ({_SRC}) e WHERE {cond}"
 
 
-def _recon_sql(mode: str = "daily", inc_where: str = "") -> str:
+def _recon_sql(mode: str = "daily", inc_where: str = "", tgt_only_filter: bool = False) -> str:
     inc = _inc_sql(inc_where)
     if mode == "custom":
         s = f"(SELECT count(*) FROM ({_SRC}) e WHERE event_type IN ('click', 'purchase'))"
@@ -198,7 +198,7 @@ def _recon_sql(mode: str = "daily", inc_where: str = "") -> str:
         return (f"SELECT trx_date, CAST({s} AS BIGINT) AS source_count, CAST({t} AS BIGINT) AS target_count "
                 f"FROM ({inc}) inc")
     sf = " WHERE event_type <> 'view'" if mode == "filtered" else ""
-    tf = " WHERE value >= 10" if mode == "filtered" else ""
+    tf = " WHERE value >= 10" if (mode == "filtered" or tgt_only_filter) else ""
     return f"""
 SELECT inc.trx_date, CAST(coalesce(s.n, 0) AS BIGINT) AS source_count,
        CAST(coalesce(t.n, 0) AS BIGINT) AS target_count
@@ -208,9 +208,12 @@ LEFT JOIN (SELECT event_date AS d, count(*) AS n FROM ({_TGT}) e{tf} GROUP BY ev
 """
 
 
-def _audit_sql(status: str, inc_where: str = "") -> str:
-    a = AUDIT
-    recon = _recon_sql("daily", inc_where)
+def _audit_sql(status: str, inc_where: str = "", tgt_only_filter: bool = False,
+               target_table: str | None = None) -> str:
+    a = dict(AUDIT)
+    if target_table is not None:
+        a["target_table"] = target_table
+    recon = _recon_sql("daily", inc_where, tgt_only_filter)
     tgt = "CAST(0 AS BIGINT)" if status == "failed" else "target_count"
     rows = f"""
 SELECT '{a['dag_name']}' AS dag_name, '{",".join(a['source_tables'])}' AS source_tables,
@@ -245,6 +248,15 @@ def audit_oracle() -> dict:
         "table_count_audit": f"""
 SELECT '{a['dag_name']}' AS dag_name, table_name, type, DATE '{a['run_date']}' AS load_date,
        CAST(count AS BIGINT) AS count, 'success' AS status, CAST({a['epoch_time']} AS BIGINT) AS epoch_time
+FROM ({_count_tables_sql()}) c""",
+        "config_audit_rows": _audit_sql("Succeeded", tgt_only_filter=True, target_table="tallyspark_events_loaded"),
+        "config_table_count_audit": f"""
+SELECT '{a['dag_name']}' AS dag_name, table_name, type, DATE '2024-02-01' AS load_date,
+       CAST(count AS BIGINT) AS count, 'success' AS status, CAST({a['epoch_time']} AS BIGINT) AS epoch_time
+FROM ({_count_tables_sql()}) c""",
+        "config_audit_summary": f"""
+SELECT table_name, CAST(CASE WHEN type = 'tgt' THEN 0 ELSE count END AS BIGINT) AS count,
+       '{a['dag_name']}' AS dag_name, 'failed' AS status, type, DATE '{a['run_date']}' AS load_date
 FROM ({_count_tables_sql()}) c""",
         "audit_summary": f"""
 SELECT table_name, CAST(CASE WHEN type = 'tgt' THEN 0 ELSE count END AS BIGINT) AS count,
