@@ -21,6 +21,7 @@ from tallyspark.operators.publish import external_pairs, publish_external
 from tallyspark.operators.increments import discover_increments
 from tallyspark.operators.quality import non_null_profile, round_floats
 from tallyspark.operators.reconcile import reconcile
+from tallyspark.plans.kpi_job import KpiJobSettings, run_kpi_job
 from tallyspark.plans.lifestyle_spec import supplied_tables_spec
 from tallyspark.plans.load_audit_config import LoadAuditConfig, run_load_audit
 from tallyspark.plans.spec import ACTIVE, AVG, COUNT, INACTIVE, SUM
@@ -337,12 +338,23 @@ def q_landing_stream_audit(spark, sf_dir):
     return read_stream_audit(spark, audit)
 
 
+def q_kpi_job_roundtrip(spark, sf_dir):
+    """The whole KPI job: mart written, then published from the written table and written again."""
+    settings = KpiJobSettings(country=SETTINGS["country"], bu=None, source_system=None,
+                              org_code=SETTINGS["org_code"], as_of=SETTINGS["as_of"], money="cents", stage=True)
+    root = scratch_path(spark, "kpi-job")
+    out = run_kpi_job(V.transactions(spark, sf_dir), V.external_id_map(spark, sf_dir), SPEC, settings,
+                      f"{root}/mart", f"{root}/published")
+    return out["published"]
+
+
 SINK_QUERIES = {
     "export_sql": q_export_sql,
     "landing_roundtrip": q_landing_roundtrip,
     "kpi_overwrite_roundtrip": q_kpi_overwrite_roundtrip,
     "audit_append_roundtrip": q_audit_append_roundtrip,
     "landing_stream_audit": q_landing_stream_audit,
+    "kpi_job_roundtrip": q_kpi_job_roundtrip,
 }
 
 

@@ -274,6 +274,7 @@ def sink_oracle() -> dict:
         "kpi_overwrite_roundtrip": mart_sql(),
         "audit_append_roundtrip": f"{_audit_sql('Succeeded')} UNION ALL {_audit_sql('failed')}",
         "landing_stream_audit": _audit_sql("Succeeded"),
+        "kpi_job_roundtrip": _published_sql(),
     }
 
 
