@@ -23,8 +23,11 @@ def to_cents(amount: Column) -> Column:
     return F.rint(amount * F.lit(100)).cast("bigint")
 
 
-def half_up_avg_cents(sum_cents: Column, n: Column) -> Column:
-    """``sum_cents / n`` rounded half away from zero; NULL when ``n`` is 0 or NULL."""
-    numerator = F.abs(sum_cents) * F.lit(2) + n
-    quotient = F.call_function("div", numerator.cast("bigint"), (n * F.lit(2)).cast("bigint"))
-    return F.when(n > 0, F.signum(sum_cents).cast("bigint") * quotient)
+def half_up_avg_cents_sql(sum_cents: str, n: str) -> str:
+    """SQL text: ``sum_cents / n`` rounded half away from zero; NULL when ``n`` is 0 or NULL.
+
+    Arguments are SQL expressions (typically aggregates); only integer
+    arithmetic is used, so the result is exact.
+    """
+    return (f"CASE WHEN {n} > 0 THEN CAST(signum({sum_cents}) AS BIGINT) * "
+            f"((abs({sum_cents}) * 2 + {n}) DIV ({n} * 2)) END")

@@ -23,7 +23,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark import columns as C
-from tallyspark.sources.tables import read_table
+from tallyspark.sources import tables as _tables
+
+# Declared schemas of the supplied tables (no footer-inference job per read).
+SCHEMAS = {
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                 "l_linestatus string, l_shipdate timestamp_ntz"),
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": ("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+             "p_retailprice double"),
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    return _tables.read_table(spark, base, name, schema=SCHEMAS.get(name))
 
 
 def transactions(spark: SparkSession, base: str) -> DataFrame:
