@@ -13,6 +13,10 @@ Plan shape (for any specification):
 3. Stage two: ``groupBy(customer)``, one ``max(when(brand_key = literal, x))``
    per output column (a pivot over at most one row per brand).
 
+Per-row work happens once in a projection before stage one: the brand key, the
+amount (or its cents) and one boolean per window.  Aggregates are given as SQL
+expression text, which keeps the driver's plan building cheap for wide specs.
+
 Customers without any listed brand survive through their NULL ``brand_key``
 group and get NULL KPIs; a NULL customer gets one all-NULL row.  This replaces
 the per-column filter / aggregate / left-join chain with two shuffles of
@@ -35,7 +39,7 @@ to the cent.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark import columns as C

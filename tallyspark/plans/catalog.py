@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark import columns as C
 from tallyspark.operators.anchors import date_anchors
 from tallyspark.operators.audit import FAILED, SUCCEEDED, audit_rows, audit_summary, table_count_audit
 from tallyspark.operators.business_unit import customer_keys, select_business_unit
@@ -24,7 +23,7 @@ from tallyspark.operators.reconcile import reconcile
 from tallyspark.plans.kpi_job import KpiJobSettings, run_kpi_job
 from tallyspark.plans.lifestyle_spec import supplied_tables_spec
 from tallyspark.plans.load_audit_config import LoadAuditConfig, run_load_audit
-from tallyspark.plans.spec import ACTIVE, AVG, COUNT, INACTIVE, SUM
+from tallyspark.plans.spec import ACTIVE, COUNT, INACTIVE, SUM
 from tallyspark.sources import retail_views as V
 from tallyspark.session import scratch_path
 from tallyspark.sources.export import export_sql
