@@ -100,6 +100,11 @@ def q_kpi_mart_all_regions(spark, sf_dir):
     return kpi_mart(_bu_rows(spark, sf_dir, all_regions=True), SPEC, money="cents", stage=True)
 
 
+def q_kpi_mart_business_unit(spark, sf_dir):
+    """The mart over the full business-unit set (region, BU and source system)."""
+    return kpi_mart(_bu_rows(spark, sf_dir, with_bu=True), SPEC, money="cents", stage=True)
+
+
 def q_kpi_rounded(spark, sf_dir):
     return round_floats(_mart(spark, sf_dir, SPEC.select(measures={SUM}), money="double"), 2)
 
@@ -127,6 +132,7 @@ KPI_QUERIES = {
     "kpi_activity_flags": q_kpi_activity_flags,
     "kpi_mart": q_kpi_mart,
     "kpi_mart_all_regions": q_kpi_mart_all_regions,
+    "kpi_mart_business_unit": q_kpi_mart_business_unit,
     "kpi_rounded": q_kpi_rounded,
     "kpi_non_null_profile": q_kpi_non_null_profile,
     "external_id_map": q_external_id_map,
@@ -347,6 +353,18 @@ def q_kpi_job_roundtrip(spark, sf_dir):
     return out["published"]
 
 
+def q_table_count_audit_roundtrip(spark, sf_dir):
+    """Per-table audit appended, then read back for this dag and run epoch."""
+    a = AUDIT
+    path = scratch_path(spark, "audit-old")
+    rows = table_count_audit(_count_tables(spark, sf_dir), a["dag_name"], "success", a["run_date"],
+                             a["epoch_time"])
+    append_audit(rows, path, partition_by=("load_date",))
+    append_audit(table_count_audit(_count_tables(spark, sf_dir), "other_dag", "success", a["run_date"],
+                                   a["epoch_time"]), path, partition_by=("load_date",))
+    return read_audit(spark, path, dag_name=a["dag_name"], epoch_time=a["epoch_time"])
+
+
 SINK_QUERIES = {
     "export_sql": q_export_sql,
     "landing_roundtrip": q_landing_roundtrip,
@@ -354,6 +372,7 @@ SINK_QUERIES = {
     "audit_append_roundtrip": q_audit_append_roundtrip,
     "landing_stream_audit": q_landing_stream_audit,
     "kpi_job_roundtrip": q_kpi_job_roundtrip,
+    "table_count_audit_roundtrip": q_table_count_audit_roundtrip,
 }
 
 

@@ -94,9 +94,9 @@ def _cell_sql(measure: str, months, literal: str, money: str) -> str:
 
 
 def mart_sql(measures=None, family_keys=None, money: str = "cents", final: str | None = None,
-             all_regions: bool = False) -> str:
+             all_regions: bool = False, with_bu: bool = False) -> str:
     cells = _oracle_cells(measures, family_keys)
-    ctes = [f"bu AS ({_bu_sql(all_regions=all_regions)})",
+    ctes = [f"bu AS ({_bu_sql(with_bu=with_bu, all_regions=all_regions)})",
             "anchor AS (SELECT max(dat_date_type_1) AS mx FROM bu)",
             f"keys AS (SELECT DISTINCT {KEY} FROM bu)"]
     cols, joins = [f"keys.{KEY}"], []
@@ -171,6 +171,7 @@ def kpi_oracle() -> dict:
         "kpi_activity_flags": mart_sql(measures={"active", "inactive"}),
         "kpi_mart": mart_sql(),
         "kpi_mart_all_regions": mart_sql(all_regions=True),
+        "kpi_mart_business_unit": mart_sql(with_bu=True),
         "kpi_rounded": _rounded_sql(),
         "kpi_non_null_profile": _profile_sql(),
         "external_id_map": _pairs_sql(),
@@ -275,6 +276,7 @@ def sink_oracle() -> dict:
         "audit_append_roundtrip": f"{_audit_sql('Succeeded')} UNION ALL {_audit_sql('failed')}",
         "landing_stream_audit": _audit_sql("Succeeded"),
         "kpi_job_roundtrip": _published_sql(),
+        "table_count_audit_roundtrip": audit_oracle()["table_count_audit"],
     }
 
 
