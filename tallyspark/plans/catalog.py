@@ -321,8 +321,9 @@ def q_kpi_overwrite_roundtrip(spark, sf_dir):
 
 def q_audit_append_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "audit")
-    append_audit(_audit(spark, sf_dir, SUCCEEDED), path)
-    append_audit(_audit(spark, sf_dir, FAILED), path)
+    append_audit(_audit(spark, sf_dir, SUCCEEDED), path, unique_key="hash")
+    append_audit(_audit(spark, sf_dir, SUCCEEDED), path, unique_key="hash")  # a retried run adds nothing
+    append_audit(_audit(spark, sf_dir, FAILED), path, unique_key="hash")
     return read_audit(spark, path, dag_name=AUDIT["dag_name"])
 
 

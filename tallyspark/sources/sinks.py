@@ -22,8 +22,17 @@ def write_kpi(df: DataFrame, path: str) -> str:
     return path
 
 
-def append_audit(df: DataFrame, path: str, partition_by=(RUN_DATE,)) -> str:
-    """Append audit rows (one write for all dates of a run), partitioned by run date."""
+def append_audit(df: DataFrame, path: str, partition_by=(RUN_DATE,), unique_key=None) -> str:
+    """Append audit rows (one write for all dates of a run), partitioned by run date.
+
+    ``unique_key`` (a column name or list, e.g. ``"hash"``) makes a retried run
+    idempotent: rows whose key is already in the table are not appended again
+    (a left anti join against the key column of the existing files).
+    """
+    if unique_key is not None and _exists(df.sparkSession, path):
+        keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
+        existing = df.sparkSession.read.parquet(path).select(*keys)
+        df = df.join(existing, keys, "left_anti")
     w = df.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -31,6 +40,13 @@ def append_audit(df: DataFrame, path: str, partition_by=(RUN_DATE,)) -> str:
     return path
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(hpath)
+
+
 def read_audit(spark: SparkSession, path: str, dag_name: str | None = None, table_name: str | None = None,
                epoch_time: int | None = None) -> DataFrame:
     """Audit rows read back, optionally of one dag, table and run epoch (pushed to the scan)."""

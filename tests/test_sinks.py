@@ -39,3 +39,13 @@ def test_landing_replaces_only_its_day(spark):
 def test_export_sql_with_frames(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], "v int")
     assert export_sql(spark, "SELECT sum(v) AS s FROM {t}", t=df).collect()[0]["s"] == 6
+
+
+def test_audit_append_with_unique_key_is_idempotent(spark):
+    path = scratch_path(spark, "t-audit-idem")
+    df = spark.createDataFrame([("h1", dt.date(2024, 2, 1)), ("h2", dt.date(2024, 2, 1))], "hash string, run_date date")
+    append_audit(df, path, unique_key="hash")
+    append_audit(df, path, unique_key="hash")  # a retried run
+    more = spark.createDataFrame([("h2", dt.date(2024, 2, 1)), ("h3", dt.date(2024, 2, 2))], "hash string, run_date date")
+    append_audit(more, path, unique_key="hash")
+    assert sorted(r["hash"] for r in read_audit(spark, path).collect()) == ["h1", "h2", "h3"]
