@@ -17,8 +17,10 @@ def months_back(anchor: Column, months: int) -> Column:
     return anchor - F.make_ym_interval(F.lit(0), F.lit(int(months)))
 
 
-def days_back(anchor: Column, days: int) -> Column:
-    """``anchor`` minus ``days`` days, type kept."""
+def days_back(anchor: Column, days: int, is_date: bool = False) -> Column:
+    """``anchor`` minus ``days`` days, type kept (``is_date``: the anchor is a DATE)."""
+    if is_date:
+        return F.date_sub(anchor, int(days))
     return anchor - F.make_dt_interval(F.lit(int(days)))
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from tallyspark import columns as C
 from tallyspark.functions.dates import days_back, month_start_text, months_back
@@ -36,11 +37,12 @@ def date_anchors(rows: DataFrame, date_col: str = C.TRX_DATE, months=DEFAULT_MON
     input every column is NULL.
     """
     mx = F.col("max_date")
+    is_date = isinstance(rows.schema[date_col].dataType, DateType)
     agg = rows.agg(F.max(date_col).alias("max_date"), F.min(date_col).alias("min_date"))
     return agg.select(
         "max_date",
         "min_date",
-        *[days_back(mx, d).alias(days_col(d)) for d in days],
+        *[days_back(mx, d, is_date).alias(days_col(d)) for d in days],
         *[months_back(mx, m).alias(months_col(m)) for m in months],
         F.month(mx).alias("current_month"),
         F.year(mx).alias("current_year"),

@@ -113,3 +113,12 @@ def test_date_typed_input(spark):
     r = _by_key(kpi_mart(bu, SMALL_SPEC))
     # anchor 2000-03-31 as a date: bound 2000-02-29, both rows of customer 1 count
     assert r[1]["sum_a_1m"] == 30.0
+
+
+def test_anchors_of_a_date_column_stay_dates(spark):
+    bu = _bu(spark).withColumn(C.TRX_DATE, F.to_date(C.TRX_DATE))
+    a = date_anchors(bu)
+    types = dict(a.dtypes)
+    assert types["max_date"] == "date" and types["days_ago_1"] == "date" and types["months_ago_1"] == "date"
+    r = a.collect()[0]
+    assert r["days_ago_1"] == dt.date(2000, 3, 30) and r["months_ago_1"] == dt.date(2000, 2, 29)
