@@ -9,6 +9,13 @@ so the shuffles carry one row per date and task.  Which count a side uses:
 3. else rows of that date.
 
 Dates without rows get 0.
+
+``prune_to_range=True`` first restricts both sides to the increments' date
+range (one scalar subquery).  Use it when the increments are a small set from
+a query (e.g. only today): on a source partitioned by the date the range is a
+runtime partition filter, so only those partitions are read.  When the
+increments are the source's own distinct dates the range covers everything,
+so leave it off.
 """
 
 from __future__ import annotations
@@ -35,18 +42,23 @@ def _predicate(p) -> Column:
     return F.expr(text)
 
 
-def daily_counts(df: DataFrame, date_column, predicate=None, name: str = "n") -> DataFrame:
-    """``(trx_date, name)``: rows per date, optionally of the rows that satisfy ``predicate``."""
+def daily_counts(df: DataFrame, date_column, predicate=None, name: str = "n", date_range=None) -> DataFrame:
+    """``(trx_date, name)``: rows per date, optionally of the rows that satisfy ``predicate``.
+
+    ``date_range``: a struct column ``{lo, hi}`` (e.g. a scalar subquery) the dates must lie in.
+    """
     if predicate is not None:
         df = df.where(_predicate(predicate))
-    return (df.groupBy(_as_col(date_column).cast("date").alias(C.INC_DATE))
-            .agg(F.count(F.lit(1)).alias(name)))
+    day = _as_col(date_column).cast("date")
+    if date_range is not None:
+        df = df.where(day.between(date_range.getField("lo"), date_range.getField("hi")))
+    return df.groupBy(day.alias(C.INC_DATE)).agg(F.count(F.lit(1)).alias(name))
 
 
-def _side(df: DataFrame, date_column, predicate, custom_count, name: str):
+def _side(df: DataFrame, date_column, predicate, custom_count, name: str, date_range=None):
     """(per-date counts or None, the count column to project)."""
     if predicate is not None or custom_count is None:
-        counts = daily_counts(df, date_column, predicate, name)
+        counts = daily_counts(df, date_column, predicate, name, date_range)
         return counts, F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name)
     total = custom_count.select(F.col(custom_count.columns[0]).cast("bigint")).scalar()
     return None, F.coalesce(total, F.lit(0)).cast("bigint").alias(name)
@@ -54,7 +66,7 @@ def _side(df: DataFrame, date_column, predicate, custom_count, name: str):
 
 def reconcile(increments: DataFrame, source: DataFrame, target: DataFrame, source_column, target_column,
               source_filter=None, target_filter=None, source_count: DataFrame | None = None,
-              target_count: DataFrame | None = None) -> DataFrame:
+              target_count: DataFrame | None = None, prune_to_range: bool = False) -> DataFrame:
     """``(trx_date, source_count, target_count)``, one row per increment date.
 
     ``source_filter`` / ``target_filter``: a Column or SQL predicate text (a
@@ -62,8 +74,11 @@ def reconcile(increments: DataFrame, source: DataFrame, target: DataFrame, sourc
     one-row DataFrame whose first column is the count, used for every date.
     """
     out = increments.select(F.col(C.INC_DATE).cast("date").alias(C.INC_DATE))
-    s_counts, s_col = _side(source, source_column, source_filter, source_count, SOURCE_COUNT)
-    t_counts, t_col = _side(target, target_column, target_filter, target_count, TARGET_COUNT)
+    rng = None
+    if prune_to_range:
+        rng = out.agg(F.struct(F.min(C.INC_DATE).alias("lo"), F.max(C.INC_DATE).alias("hi"))).scalar()
+    s_counts, s_col = _side(source, source_column, source_filter, source_count, SOURCE_COUNT, rng)
+    t_counts, t_col = _side(target, target_column, target_filter, target_count, TARGET_COUNT, rng)
     for counts in (s_counts, t_counts):
         if counts is not None:
             out = out.join(counts, C.INC_DATE, "left")

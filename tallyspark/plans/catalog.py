@@ -156,6 +156,7 @@ AUDIT = {
     "target_count_sql": "SELECT count(*) AS n FROM {tgt}",
     "increment_sql": "SELECT CAST(ts AS DATE) AS d FROM {events} WHERE event_type = 'purchase' AND value > 40",
     "no_increment_sql": "SELECT CAST(ts AS DATE) AS d FROM {events} WHERE event_type = 'refund'",
+    "latest_day_sql": "SELECT max(CAST(ts AS DATE)) AS d FROM {events}",
 }
 
 
@@ -209,6 +210,14 @@ def q_reconcile_custom(spark, sf_dir):
     return _recon(spark, sf_dir, "custom")
 
 
+def q_reconcile_latest_day(spark, sf_dir):
+    """Only the latest day is loaded: both sides are counted inside the increments' range only."""
+    src, tgt = V.audit_source(spark, sf_dir), V.audit_target(spark, sf_dir)
+    inc = _increments(spark, sf_dir, AUDIT["latest_day_sql"])
+    return reconcile(inc, src, tgt, V.EVENT_DATE, V.EVENT_DATE, target_filter=AUDIT["target_filter"],
+                     prune_to_range=True)
+
+
 def q_audit_rows(spark, sf_dir):
     return _audit(spark, sf_dir, SUCCEEDED)
 
@@ -281,6 +290,7 @@ AUDIT_QUERIES = {
     "reconcile_daily": q_reconcile_daily,
     "reconcile_filtered": q_reconcile_filtered,
     "reconcile_custom": q_reconcile_custom,
+    "reconcile_latest_day": q_reconcile_latest_day,
     "audit_rows": q_audit_rows,
     "audit_rows_failed": q_audit_rows_failed,
     "audit_rows_empty": q_audit_rows_empty,

@@ -129,8 +129,9 @@ def run_load_audit(spark: SparkSession, cfg: LoadAuditConfig, status: str, start
                            "source")
     tgt, tgt_count = _side(spark, cfg.target, cfg.target_column, cfg.target_filter, cfg.target_count_query,
                            "target")
+    # increments from a query are typically a few days: count only inside their range
     recon = reconcile(inc, src, tgt, cfg.source_column, cfg.target_column, cfg.source_filter,
-                      cfg.target_filter, src_count, tgt_count)
+                      cfg.target_filter, src_count, tgt_count, prune_to_range=cfg.increment_query is not None)
     out = {
         "increments": inc,
         "reconciliation": recon,

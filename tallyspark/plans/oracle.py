@@ -243,6 +243,12 @@ def audit_oracle() -> dict:
         "reconcile_daily": _recon_sql("daily"),
         "reconcile_filtered": _recon_sql("filtered"),
         "reconcile_custom": _recon_sql("custom"),
+        "reconcile_latest_day": f"""
+SELECT inc.d AS trx_date, CAST(coalesce(s.n, 0) AS BIGINT) AS source_count, CAST(coalesce(t.n, 0) AS BIGINT) AS target_count
+FROM (SELECT max(event_date) AS d FROM ({_SRC}) e) inc
+LEFT JOIN (SELECT event_date AS d, count(*) AS n FROM ({_SRC}) e GROUP BY event_date) s ON inc.d = s.d
+LEFT JOIN (SELECT event_date AS d, count(*) AS n FROM ({_TGT}) e WHERE value >= 10 GROUP BY event_date) t ON inc.d = t.d
+""",
         "audit_rows": _audit_sql("Succeeded"),
         "audit_rows_failed": _audit_sql("failed"),
         "audit_rows_empty": _audit_sql("Succeeded", "event_type = 'refund'"),

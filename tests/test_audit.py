@@ -84,3 +84,18 @@ def test_table_count_audit_and_summary(spark):
     s_ok = {r["table_name"]: r["count"] for r in audit_summary(tables, "dag", SUCCEEDED).collect()}
     assert s_ok == {"src_tbl": 4, "tgt_tbl": 2}
     assert load_status(False) == FAILED
+
+
+def test_reconcile_pruned_to_increment_range_reads_only_those_partitions(spark):
+    from tallyspark.session import scratch_path
+    path = scratch_path(spark, "t-part-src")
+    src = spark.createDataFrame([(D1, "a"), (D2, "a"), (D2, "b"), (D3, "a")], "d date, kind string")
+    src.write.partitionBy("d").parquet(path)
+    table = spark.read.parquet(path)
+    inc = spark.createDataFrame([(D2,)], f"{C.INC_DATE} date")
+    recon = reconcile(inc, table, table, "d", "d", target_filter="kind = 'a'", prune_to_range=True)
+    assert [(r[0], r[1], r[2]) for r in recon.collect()] == [(D2, 2, 1)]
+    jvm = spark._jvm
+    plan = recon._jdf.queryExecution().explainString(jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    partition_filters = [ln for ln in plan.splitlines() if ln.startswith("PartitionFilters: [")]
+    assert partition_filters and all("Subquery" in ln for ln in partition_filters)
