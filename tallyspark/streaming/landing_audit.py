@@ -6,8 +6,9 @@ run sees exactly the files landed since the previous one (increment discovery
 without a query over the whole target).  Every micro-batch:
 
 1. takes the distinct dates of its own rows as the increments,
-2. counts the source per date (one grouped aggregate) and the batch's rows per
-   date, and
+2. counts the source per date inside the batch's date range only (one grouped
+   aggregate; a runtime partition filter on a dated source) and the batch's rows
+   per date, and
 3. writes the audit rows into ``<audit_path>/batch_id=<n>/`` with overwrite, so
    a replayed batch replaces its own rows instead of duplicating them.
 """
@@ -32,7 +33,8 @@ def audit_landing_stream(spark: SparkSession, landing_path: str, date_column: st
 
     def audit_batch(batch: DataFrame, batch_id: int) -> None:
         inc = increment_dates(batch, date_column)
-        recon = reconcile(inc, source, batch, source_column, date_column)
+        # the source is counted only inside the batch's date range (partition pruning on a dated source)
+        recon = reconcile(inc, source, batch, source_column, date_column, prune_to_range=True)
         rows = audit_rows(recon, dag_name, source_tables, target_table, status, start_ts, end_ts, run_date)
         rows.write.mode("overwrite").parquet(f"{audit_path}/batch_id={int(batch_id)}")
 
