@@ -122,3 +122,13 @@ def test_anchors_of_a_date_column_stay_dates(spark):
     assert types["max_date"] == "date" and types["days_ago_1"] == "date" and types["months_ago_1"] == "date"
     r = a.collect()[0]
     assert r["days_ago_1"] == dt.date(2000, 3, 30) and r["months_ago_1"] == dt.date(2000, 2, 29)
+
+
+def test_brand_literals_with_quotes_and_backslashes(spark):
+    from tallyspark.plans.spec import SUM, Brand, Family, KpiSpec
+    odd = ["O'Brien (Store)", "Back\\slash", "Tick`s"]
+    spec = KpiSpec((Family("s", None, ((SUM, "sum_{code}"),)),), tuple(Brand(b, f"b{i}") for i, b in enumerate(odd)))
+    rows = [(1, dt.datetime(2000, 1, 1), float(i + 1), i, "fsn_new", "971002", "KSA", b) for i, b in enumerate(odd)]
+    bu = select_business_unit(spark.createDataFrame(rows, TRX_SCHEMA), "KSA", as_of=AS_OF)
+    r = kpi_mart(bu, spec).collect()[0]
+    assert (r["sum_b0"], r["sum_b1"], r["sum_b2"]) == (1.0, 2.0, 3.0)
