@@ -15,21 +15,21 @@ from pyspark.sql import functions as F
 from tallyspark.operators.anchors import date_anchors
 from tallyspark.operators.audit import FAILED, SUCCEEDED, audit_rows, audit_summary, table_count_audit
 from tallyspark.operators.business_unit import customer_keys, select_business_unit
+from tallyspark.operators.increments import discover_increments
 from tallyspark.operators.kpi import kpi_mart
 from tallyspark.operators.publish import external_pairs, publish_external
-from tallyspark.operators.increments import discover_increments
 from tallyspark.operators.quality import non_null_profile, round_floats
 from tallyspark.operators.reconcile import reconcile
 from tallyspark.plans.kpi_job import KpiJobSettings, run_kpi_job
 from tallyspark.plans.lifestyle_spec import supplied_tables_spec
 from tallyspark.plans.load_audit_config import LoadAuditConfig, run_load_audit
 from tallyspark.plans.spec import ACTIVE, COUNT, INACTIVE, SUM
-from tallyspark.sources import retail_views as V
 from tallyspark.session import scratch_path
+from tallyspark.sources import retail_views as V
 from tallyspark.sources.export import export_sql
-from tallyspark.streaming.landing_audit import audit_landing_stream, read_stream_audit
 from tallyspark.sources.sinks import (append_audit, extract_to_landing, read_audit, read_landing,
                                       write_kpi)
+from tallyspark.streaming.landing_audit import audit_landing_stream, read_stream_audit
 
 # Parameters of the supplied-table runs (the production values live in the job configuration).
 SETTINGS = {
@@ -162,8 +162,9 @@ AUDIT = {
 
 def _increments(spark, sf_dir, query=None):
     src = V.audit_source(spark, sf_dir)
-    return discover_increments(spark, src, V.EVENT_DATE, query, events=src) if query else \
-        discover_increments(spark, src, V.EVENT_DATE)
+    if query is None:
+        return discover_increments(spark, src, V.EVENT_DATE)
+    return discover_increments(spark, src, V.EVENT_DATE, query, events=src)
 
 
 def _recon(spark, sf_dir, mode="daily", increments_query=None):
