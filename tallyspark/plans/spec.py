@@ -104,6 +104,30 @@ class KpiSpec:
                 fams.append(Family(fam.key, fam.months, outs))
         return KpiSpec(tuple(fams), self.brands, dict(self.brand_overrides), dict(self.name_overrides))
 
+    def to_dict(self) -> dict:
+        """A JSON-ready form: families, brands and the two override lists."""
+        return {
+            "families": [{"key": f.key, "months": f.months,
+                          "outputs": [{"measure": m, "template": t} for m, t in f.outputs]}
+                         for f in self.families],
+            "brands": [{"literal": b.literal, "code": b.code} for b in self.brands],
+            "brand_overrides": [{"family": k[0], "code": k[1], "literal": v}
+                                for k, v in self.brand_overrides.items()],
+            "name_overrides": [{"family": k[0], "code": k[1], "measure": k[2], "name": v}
+                               for k, v in self.name_overrides.items()],
+        }
+
+    @classmethod
+    def from_dict(cls, doc: dict) -> "KpiSpec":
+        """Inverse of ``to_dict`` (e.g. a specification kept in a JSON file)."""
+        fams = tuple(Family(f["key"], f.get("months"),
+                            tuple((o["measure"], o["template"]) for o in f["outputs"]))
+                     for f in doc["families"])
+        brands = tuple(Brand(b["literal"], b["code"]) for b in doc["brands"])
+        bo = {(o["family"], o["code"]): o["literal"] for o in doc.get("brand_overrides", [])}
+        no = {(o["family"], o["code"], o["measure"]): o["name"] for o in doc.get("name_overrides", [])}
+        return cls(fams, brands, bo, no)
+
     def with_brands(self, brands, brand_overrides=None) -> "KpiSpec":
         """Same families and name overrides over other brand literals."""
         return KpiSpec(self.families, tuple(brands),

@@ -34,3 +34,11 @@ def test_select_and_duplicate_names():
     except ValueError:
         return
     raise AssertionError("duplicate names must be rejected")
+
+
+def test_spec_round_trips_through_json():
+    import json
+    doc = json.loads(json.dumps(LIFESTYLE_SPEC.to_dict()))
+    again = KpiSpec.from_dict(doc)
+    assert [(c.name, c.measure, c.months, c.brand_literal) for c in again.cells()] == \
+           [(c.name, c.measure, c.months, c.brand_literal) for c in LIFESTYLE_SPEC.cells()]
