@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyspark import columns as C
 from tallyspark.functions.audit_text import audit_ts_text, row_hash
+from tallyspark.functions.frames import first_column
 from tallyspark.operators.reconcile import SOURCE_COUNT, TARGET_COUNT
 
 SUCCEEDED = "Succeeded"
@@ -106,7 +107,7 @@ def _table_counts(tables, load_date=None) -> DataFrame:
     frames = []
     for src in map(_as_source, tables):
         if src.frame_is_count:
-            counted = src.frame.select(F.col(src.frame.columns[0]).cast("bigint").alias("count"))
+            counted = first_column(src.frame, "count").select(F.col("count").cast("bigint").alias("count"))
         else:
             counted = src.frame.agg(F.count(F.lit(1)).alias("count"))
         day = F.expr(src.load_date).cast("date") if src.load_date else _date(load_date)

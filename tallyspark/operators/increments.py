@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark import columns as C
+from tallyspark.functions.frames import first_column
 
 
 def _as_col(c) -> Column:
@@ -30,8 +31,7 @@ def increment_dates_sql(spark: SparkSession, query: str, **frames: DataFrame) ->
     the DataFrames passed as keyword arguments (no global views needed).
     """
     result = spark.sql(query, **frames) if frames else spark.sql(query)
-    first = result.columns[0]
-    return increment_dates(result, F.col(first))
+    return increment_dates(first_column(result, C.INC_DATE), C.INC_DATE)
 
 
 def discover_increments(spark: SparkSession, source: DataFrame, column, query: str | None = None,

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark import columns as C
+from tallyspark.functions.frames import first_column
 
 SOURCE_COUNT = "source_count"
 TARGET_COUNT = "target_count"
@@ -60,7 +61,7 @@ def _side(df: DataFrame, date_column, predicate, custom_count, name: str, date_r
     if predicate is not None or custom_count is None:
         counts = daily_counts(df, date_column, predicate, name, date_range)
         return counts, F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name)
-    total = custom_count.select(F.col(custom_count.columns[0]).cast("bigint")).scalar()
+    total = first_column(custom_count, "_n").select(F.col("_n").cast("bigint")).scalar()
     return None, F.coalesce(total, F.lit(0)).cast("bigint").alias(name)
 
 

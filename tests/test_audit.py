@@ -99,3 +99,12 @@ def test_reconcile_pruned_to_increment_range_reads_only_those_partitions(spark):
     plan = recon._jdf.queryExecution().explainString(jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     partition_filters = [ln for ln in plan.splitlines() if ln.startswith("PartitionFilters: [")]
     assert partition_filters and all("Subquery" in ln for ln in partition_filters)
+
+
+def test_queries_with_dotted_generated_column_names(spark):
+    src = _src(spark)
+    q = increment_dates_sql(spark, "SELECT max(t.d) FROM {t} t", t=src)
+    assert [r[0] for r in q.collect()] == [D2]
+    inc = spark.createDataFrame([(D1,)], f"{C.INC_DATE} date")
+    custom = spark.sql("SELECT count(t.d) FROM {t} t", t=src)
+    assert reconcile(inc, src, src, "d", "d", source_count=custom).collect()[0][1] == 4
