@@ -27,6 +27,10 @@ def load_status(upstream_ok: bool) -> str:
     return SUCCEEDED if upstream_ok else FAILED
 
 
+def _failed(status: str) -> bool:
+    return str(status).strip().lower() == FAILED
+
+
 def _text_ts(value) -> Column:
     if value is None:
         return audit_ts_text(F.current_timestamp())
@@ -63,7 +67,7 @@ def audit_rows(recon: DataFrame, dag_name: str, source_tables, target_table: str
         F.lit(None).cast("date").alias(C.INC_DATE),
         F.lit(0).cast("bigint").alias(SOURCE_COUNT),
         F.lit(0).cast("bigint").alias(TARGET_COUNT))
-    tgt = F.lit(0).cast("bigint") if status == FAILED else F.col(TARGET_COUNT).cast("bigint")
+    tgt = F.lit(0).cast("bigint") if _failed(status) else F.col(TARGET_COUNT).cast("bigint")
     base = rows.unionByName(marker).select(
         F.lit(dag_name).alias("dag_name"),
         F.lit(source_tables).alias("source_tables"),
@@ -138,7 +142,7 @@ def audit_summary(tables, dag_name: str, status: str, run_date=None) -> DataFram
     A failed run reports 0 for every table of type ``tgt``.
     """
     count = F.col("count").cast("bigint")
-    if status == FAILED:
+    if _failed(status):
         count = F.when(F.col("type") == F.lit("tgt"), F.lit(0).cast("bigint")).otherwise(count)
     return _table_counts(tables, run_date).select(
         "table_name", count.alias("count"), F.lit(dag_name).alias("dag_name"), F.lit(status).alias("status"),
