@@ -55,8 +55,8 @@ def date_anchors(rows: DataFrame, date_col: str = C.TRX_DATE, months=DEFAULT_MON
 def window_bounds(rows: DataFrame, months, date_col: str = C.TRX_DATE) -> Column:
     """The look-back bounds as one scalar-subquery struct column ``{months_ago_<n>: bound}``.
 
-    One subquery (planned once and reused by every reference) instead of a
-    join: rows compare their date with a field of a per-query constant.
+    One subquery instead of a join: project it once (as ``kpi_mart`` does) and
+    compare dates with its fields, a per-query constant.
     """
     months = sorted(set(months))
     mx = F.max(date_col)
