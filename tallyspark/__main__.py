@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit -m tallyspark ...`` or ``python -m tallyspark ...``.
+"""Command line: ``python -m tallyspark ...`` or ``spark-submit --py-files tallyspark.zip tallyspark/__main__.py ...``.
 
 kpi    build the KPI mart from a transactions table and publish it by external id
 audit  run the load audit from a scheduler parameter block (JSON) and append its rows
