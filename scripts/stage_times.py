@@ -61,8 +61,9 @@ def main():
         for s in j["stages"]:
             if s in stages and stages[s][0]:
                 a, b, n, name = stages[s]
-                mx = max(tasks[s]) if tasks[s] else 0
-                print(f"     stage {s:3d} +{a - t0:6d}  {b - a:6d}ms  tasks {n:3d}  max task {mx:6d}ms  {name}")
+                ts = sorted(tasks[s]) or [0]
+                print(f"     stage {s:3d} +{a - t0:6d}  {b - a:6d}ms  tasks {n:3d}  task ms min/med/max "
+                      f"{ts[0]}/{ts[len(ts) // 2]}/{ts[-1]}  {name}")
 
 
 if __name__ == "__main__":
