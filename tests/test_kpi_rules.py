@@ -132,3 +132,17 @@ def test_brand_literals_with_quotes_and_backslashes(spark):
     bu = select_business_unit(spark.createDataFrame(rows, TRX_SCHEMA), "KSA", as_of=AS_OF)
     r = kpi_mart(bu, spec).collect()[0]
     assert (r["sum_b0"], r["sum_b1"], r["sum_b2"]) == (1.0, 2.0, 3.0)
+
+
+def test_decimal_amounts_stay_decimal_and_unrounded(spark):
+    from decimal import Decimal
+
+    from tallyspark.operators.quality import round_floats
+    bu = _bu(spark).withColumn(C.AMOUNT, F.col(C.AMOUNT).cast("decimal(12,3)"))
+    m = round_floats(kpi_mart(bu, SMALL_SPEC))
+    types = dict(m.dtypes)
+    assert types["sum_a_1m"].startswith("decimal") and types["avg_a_1m"].startswith("decimal")
+    r = {row[C.CUSTOMER]: row for row in m.collect()}
+    assert r[1]["sum_a_1m"] == Decimal("10.000")
+    cents = {row[C.CUSTOMER]: row for row in kpi_mart(bu, SMALL_SPEC, money="cents").collect()}
+    assert cents[1]["sum_a_1m"] == 1000
