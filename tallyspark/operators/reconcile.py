@@ -84,3 +84,20 @@ def reconcile(increments: DataFrame, source: DataFrame, target: DataFrame, sourc
         if counts is not None:
             out = out.join(counts, C.INC_DATE, "left")
     return out.select(C.INC_DATE, s_col, t_col)
+
+
+def reconcile_source_dates(source: DataFrame, target: DataFrame, source_column, target_column,
+                           target_filter=None, target_count: DataFrame | None = None) -> DataFrame:
+    """``reconcile`` when the increments are the source's own distinct dates.
+
+    The source's per-date counts already hold exactly those dates (NULL dropped),
+    so the source is read once: its counts give both the increments and the
+    source column.  Same result as ``reconcile(increment_dates(source, col), ...)``
+    without a source filter or a custom source count.
+    """
+    counts = daily_counts(source, source_column, name=SOURCE_COUNT).where(F.col(C.INC_DATE).isNotNull())
+    t_counts, t_col = _side(target, target_column, target_filter, target_count, TARGET_COUNT)
+    out = counts
+    if t_counts is not None:
+        out = out.join(t_counts, C.INC_DATE, "left")
+    return out.select(C.INC_DATE, F.col(SOURCE_COUNT).cast("bigint").alias(SOURCE_COUNT), t_col)

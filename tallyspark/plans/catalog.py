@@ -19,7 +19,7 @@ from tallyspark.operators.increments import discover_increments
 from tallyspark.operators.kpi import kpi_mart
 from tallyspark.operators.publish import external_pairs, publish_external
 from tallyspark.operators.quality import non_null_profile, round_floats
-from tallyspark.operators.reconcile import reconcile
+from tallyspark.operators.reconcile import reconcile, reconcile_source_dates
 from tallyspark.plans.kpi_job import KpiJobSettings, run_kpi_job
 from tallyspark.plans.lifestyle_spec import supplied_tables_spec
 from tallyspark.plans.load_audit_config import LoadAuditConfig, run_load_audit
@@ -182,8 +182,13 @@ def _recon(spark, sf_dir, mode="daily", increments_query=None):
 
 def _audit(spark, sf_dir, status, increments_query=None):
     a = AUDIT
-    return audit_rows(_recon(spark, sf_dir, increments_query=increments_query), a["dag_name"],
-                      a["source_tables"], a["target_table"], status, a["start_ts"], a["end_ts"], a["run_date"])
+    if increments_query is None:  # increments are the source's own dates: one pass over the source
+        recon = reconcile_source_dates(V.audit_source(spark, sf_dir), V.audit_target(spark, sf_dir),
+                                       V.EVENT_DATE, V.EVENT_DATE)
+    else:
+        recon = _recon(spark, sf_dir, increments_query=increments_query)
+    return audit_rows(recon, a["dag_name"], a["source_tables"], a["target_table"], status, a["start_ts"],
+                      a["end_ts"], a["run_date"])
 
 
 def _count_tables(spark, sf_dir):
@@ -203,6 +208,12 @@ def q_reconcile_daily(spark, sf_dir):
     return _recon(spark, sf_dir, "daily")
 
 
+def q_reconcile_source_dates(spark, sf_dir):
+    """The default reconciliation with the source read once (its counts give the increments)."""
+    src, tgt = V.audit_source(spark, sf_dir), V.audit_target(spark, sf_dir)
+    return reconcile_source_dates(src, tgt, V.EVENT_DATE, V.EVENT_DATE)
+
+
 def q_reconcile_filtered(spark, sf_dir):
     return _recon(spark, sf_dir, "filtered")
 
@@ -289,6 +300,7 @@ AUDIT_QUERIES = {
     "increment_dates": q_increment_dates,
     "increment_dates_sql": q_increment_dates_sql,
     "reconcile_daily": q_reconcile_daily,
+    "reconcile_source_dates": q_reconcile_source_dates,
     "reconcile_filtered": q_reconcile_filtered,
     "reconcile_custom": q_reconcile_custom,
     "reconcile_latest_day": q_reconcile_latest_day,

@@ -32,7 +32,7 @@ from pyspark.sql import SparkSession
 
 from tallyspark.operators.audit import (CountSource, audit_rows, audit_summary, table_count_audit)
 from tallyspark.operators.increments import increment_dates, increment_dates_sql
-from tallyspark.operators.reconcile import reconcile
+from tallyspark.operators.reconcile import reconcile, reconcile_source_dates
 
 
 def unset(value) -> bool:
@@ -129,9 +129,15 @@ def run_load_audit(spark: SparkSession, cfg: LoadAuditConfig, status: str, start
                            "source")
     tgt, tgt_count = _side(spark, cfg.target, cfg.target_column, cfg.target_filter, cfg.target_count_query,
                            "target")
-    # increments from a query are typically a few days: count only inside their range
-    recon = reconcile(inc, src, tgt, cfg.source_column, cfg.target_column, cfg.source_filter,
-                      cfg.target_filter, src_count, tgt_count, prune_to_range=cfg.increment_query is not None)
+    if cfg.increment_query is None and cfg.source_filter is None and src_count is None:
+        # the increments are the source's own dates: one pass over the source gives both
+        recon = reconcile_source_dates(src, tgt, cfg.source_column, cfg.target_column, cfg.target_filter,
+                                       tgt_count)
+    else:
+        # increments from a query are typically a few days: count only inside their range
+        recon = reconcile(inc, src, tgt, cfg.source_column, cfg.target_column, cfg.source_filter,
+                          cfg.target_filter, src_count, tgt_count,
+                          prune_to_range=cfg.increment_query is not None)
     out = {
         "increments": inc,
         "reconciliation": recon,

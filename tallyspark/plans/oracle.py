@@ -241,6 +241,7 @@ def audit_oracle() -> dict:
         "increment_dates": _inc_sql(),
         "increment_dates_sql": _inc_sql("event_type = 'purchase' AND value > 40"),
         "reconcile_daily": _recon_sql("daily"),
+        "reconcile_source_dates": _recon_sql("daily"),
         "reconcile_filtered": _recon_sql("filtered"),
         "reconcile_custom": _recon_sql("custom"),
         "reconcile_latest_day": f"""

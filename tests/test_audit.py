@@ -108,3 +108,11 @@ def test_queries_with_dotted_generated_column_names(spark):
     inc = spark.createDataFrame([(D1,)], f"{C.INC_DATE} date")
     custom = spark.sql("SELECT count(t.d) FROM {t} t", t=src)
     assert reconcile(inc, src, src, "d", "d", source_count=custom).collect()[0][1] == 4
+
+
+def test_reconcile_source_dates_equals_generic_form(spark):
+    from tallyspark.operators.reconcile import reconcile_source_dates
+    src, tgt = _src(spark), _tgt(spark)
+    generic = sorted(tuple(r) for r in reconcile(increment_dates(src, "d"), src, tgt, "d", "d").collect())
+    one_pass = sorted(tuple(r) for r in reconcile_source_dates(src, tgt, "d", "d").collect())
+    assert generic == one_pass == [(D1, 3, 1), (D2, 1, 0)]
