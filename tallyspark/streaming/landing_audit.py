@@ -22,6 +22,17 @@ from tallyspark.operators.increments import increment_dates
 from tallyspark.operators.reconcile import reconcile
 
 
+def audit_batch(batch: DataFrame, batch_id: int, date_column: str, source: DataFrame, source_column,
+                audit_path: str, dag_name: str, source_tables, target_table: str, status: str,
+                start_ts=None, end_ts=None, run_date=None) -> None:
+    """Audit one micro-batch of landed rows into ``<audit_path>/batch_id=<n>/`` (overwrite: replay-safe)."""
+    inc = increment_dates(batch, date_column)
+    # the source is counted only inside the batch's date range (partition pruning on a dated source)
+    recon = reconcile(inc, source, batch, source_column, date_column, prune_to_range=True)
+    rows = audit_rows(recon, dag_name, source_tables, target_table, status, start_ts, end_ts, run_date)
+    rows.write.mode("overwrite").parquet(f"{audit_path}/batch_id={int(batch_id)}")
+
+
 def audit_landing_stream(spark: SparkSession, landing_path: str, date_column: str, source: DataFrame,
                          source_column, audit_path: str, checkpoint_path: str, dag_name: str,
                          source_tables, target_table: str, status: str, start_ts=None, end_ts=None,
@@ -31,14 +42,11 @@ def audit_landing_stream(spark: SparkSession, landing_path: str, date_column: st
         schema = spark.read.parquet(landing_path).schema
     stream = spark.readStream.schema(schema).option("basePath", landing_path).parquet(landing_path)
 
-    def audit_batch(batch: DataFrame, batch_id: int) -> None:
-        inc = increment_dates(batch, date_column)
-        # the source is counted only inside the batch's date range (partition pruning on a dated source)
-        recon = reconcile(inc, source, batch, source_column, date_column, prune_to_range=True)
-        rows = audit_rows(recon, dag_name, source_tables, target_table, status, start_ts, end_ts, run_date)
-        rows.write.mode("overwrite").parquet(f"{audit_path}/batch_id={int(batch_id)}")
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        audit_batch(batch, batch_id, date_column, source, source_column, audit_path, dag_name,
+                    source_tables, target_table, status, start_ts, end_ts, run_date)
 
-    query = (stream.writeStream.foreachBatch(audit_batch)
+    query = (stream.writeStream.foreachBatch(on_batch)
              .option("checkpointLocation", checkpoint_path)
              .trigger(availableNow=True)
              .start())
@@ -51,4 +59,4 @@ def read_stream_audit(spark: SparkSession, audit_path: str) -> DataFrame:
     return df.drop("batch_id") if "batch_id" in df.columns else df
 
 
-__all__ = ["audit_landing_stream", "read_stream_audit"]
+__all__ = ["audit_batch", "audit_landing_stream", "read_stream_audit"]

@@ -29,3 +29,15 @@ def test_each_run_audits_only_new_landing_files(spark):
     # a run with nothing new adds nothing
     audit_landing_stream(spark, landing, **kw)
     assert read_stream_audit(spark, audit).count() == 3
+
+
+def test_replayed_batch_replaces_its_rows(spark):
+    from tallyspark.streaming.landing_audit import audit_batch
+    root = scratch_path(spark, "t-replay")
+    source = spark.createDataFrame([(D1,), (D2,)], "d date")
+    batch = spark.createDataFrame([(D1,)], "d date")
+    args = ("d", source, "d", f"{root}/audit", "dag", ["s"], "t", SUCCEEDED, "x", "y", "2024-02-01")
+    audit_batch(batch, 5, *args)
+    audit_batch(batch, 5, *args)  # the same batch after a failure: replaces, does not duplicate
+    rows = read_stream_audit(spark, f"{root}/audit").collect()
+    assert [(r["trx_date"], r["source_count"], r["target_count"]) for r in rows] == [(D1, 1, 1)]
