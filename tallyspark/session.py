@@ -43,6 +43,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def cluster_settings(largest_shuffle_bytes: int, target_partition_bytes: int = 128 * 1024 ** 2) -> dict:
+    """Session settings sized for a cluster run (pass them to spark-submit as ``--conf``).
+
+    The initial shuffle partition count is the largest expected shuffle divided
+    by the target partition size, so each reducer's partition fits comfortably
+    in executor memory; AQE then coalesces small partitions and splits skewed
+    ones at run time.  Example: a 6 TB stage-one shuffle gives ~49k partitions.
+    """
+    partitions = max(200, min(200_000, -(-int(largest_shuffle_bytes) // int(target_partition_bytes))))
+    mb = f"{int(target_partition_bytes) // (1024 ** 2)}m"
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": mb,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": mb,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": mb,
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder of the session (``spark.checkpoint.dir``).
 

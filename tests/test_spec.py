@@ -42,3 +42,11 @@ def test_spec_round_trips_through_json():
     again = KpiSpec.from_dict(doc)
     assert [(c.name, c.measure, c.months, c.brand_literal) for c in again.cells()] == \
            [(c.name, c.measure, c.months, c.brand_literal) for c in LIFESTYLE_SPEC.cells()]
+
+
+def test_cluster_settings_scale_with_the_shuffle():
+    from tallyspark.session import cluster_settings
+    small, big = cluster_settings(10 * 1024 ** 2), cluster_settings(6 * 1024 ** 4)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert int(big["spark.sql.shuffle.partitions"]) == 49152
+    assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "128m"
