@@ -56,7 +56,7 @@ def run_kpi_job(trx: DataFrame, ext_map: DataFrame, spec: KpiSpec, settings: Kpi
     spark = trx.sparkSession
     built = build_kpi_outputs(trx, ext_map, spec, settings)
     write_kpi(built["mart"], mart_path)
-    mart = spark.read.parquet(mart_path)
+    mart = spark.read.schema(built["mart"].schema).parquet(mart_path)
     published = publish_external(mart, ext_map, settings.org_code)
     if published_path is not None:
         write_kpi(published, published_path)

@@ -19,4 +19,5 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"stage-{name}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: reading it back needs no footer-inference job
+    return spark.read.schema(df.schema).parquet(path)
