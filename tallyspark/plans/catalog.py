@@ -67,7 +67,7 @@ def q_date_anchors(spark, sf_dir):
 
 
 def _mart(spark, sf_dir, spec, money="cents"):
-    # the business-unit set is the result of a five-table join: stage it once (see kpi_mart)
+    # the business-unit set is the result of a six-table join: stage it once (see kpi_mart)
     return kpi_mart(_bu_rows(spark, sf_dir), spec, money=money, stage=True)
 
 
