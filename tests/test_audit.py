@@ -116,3 +116,10 @@ def test_reconcile_source_dates_equals_generic_form(spark):
     generic = sorted(tuple(r) for r in reconcile(increment_dates(src, "d"), src, tgt, "d", "d").collect())
     one_pass = sorted(tuple(r) for r in reconcile_source_dates(src, tgt, "d", "d").collect())
     assert generic == one_pass == [(D1, 3, 1), (D2, 1, 0)]
+
+
+def test_audit_timestamp_text_from_datetime(spark):
+    r = audit_rows(_recon(spark, [(D1, 1, 1)]), "dag", "s", "t", SUCCEEDED,
+                   dt.datetime(2024, 2, 1, 17, 3, 4), dt.datetime(2024, 2, 1, 5, 0, 0), dt.date(2024, 2, 1)).collect()[0]
+    assert (r["start_ts"], r["end_ts"]) == ("2024-02-01 17:03:04 PM", "2024-02-01 05:00:00 AM")
+    assert r["run_date"] == dt.date(2024, 2, 1)
