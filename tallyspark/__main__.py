@@ -1,7 +1,8 @@
 """Command line: ``python -m tallyspark ...`` or ``spark-submit --py-files tallyspark.zip tallyspark/__main__.py ...``.
 
-kpi    build the KPI mart from a transactions table and publish it by external id
-audit  run the load audit from a scheduler parameter block (JSON) and append its rows
+kpi      build the KPI mart from a transactions table and publish it by external id
+audit    run the load audit from a scheduler parameter block (JSON) and append its rows
+extract  copy a table (parallel JDBC ranges, or files) into the landing folder's partition for a day
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so cluster
 settings given to spark-submit apply unchanged.
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -20,7 +22,8 @@ from tallyspark.plans.kpi_job import KpiJobSettings, run_kpi_job
 from tallyspark.plans.lifestyle_spec import LIFESTYLE_SPEC
 from tallyspark.plans.load_audit_config import LoadAuditConfig, run_load_audit, unset
 from tallyspark.plans.spec import KpiSpec
-from tallyspark.sources.sinks import append_audit
+from tallyspark.sources.export import export_sql, jdbc_extract
+from tallyspark.sources.sinks import append_audit, extract_to_landing
 
 
 def _read(spark, path: str, fmt: str):
@@ -57,6 +60,18 @@ def run_audit(spark: SparkSession, args) -> dict:
     return out
 
 
+def run_extract(spark: SparkSession, args) -> str:
+    if args.jdbc_url:
+        props = {"user": args.user or "", "password": os.environ.get(args.password_env, "") if args.password_env else ""}
+        df = jdbc_extract(spark, args.jdbc_url, args.table, args.partition_column, args.lower_bound,
+                          args.upper_bound, args.num_partitions, props)
+    else:
+        df = _read(spark, args.source_path, args.format)
+    if args.query:
+        df = export_sql(spark, args.query, source=df)
+    return extract_to_landing(df, args.landing, args.run_date)
+
+
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tallyspark")
     sub = p.add_subparsers(dest="command", required=True)
@@ -86,6 +101,21 @@ def build_parser() -> argparse.ArgumentParser:
     a.add_argument("--audit-path", required=True)
     a.add_argument("--audit-old-path")
     a.add_argument("--format", default="parquet")
+    e = sub.add_parser("extract", help="copy a table into the landing folder for one run date")
+    src = e.add_mutually_exclusive_group(required=True)
+    src.add_argument("--jdbc-url")
+    src.add_argument("--source-path")
+    e.add_argument("--table", help="JDBC table (or a subquery in parentheses)")
+    e.add_argument("--partition-column")
+    e.add_argument("--lower-bound", type=int, default=0)
+    e.add_argument("--upper-bound", type=int, default=0)
+    e.add_argument("--num-partitions", type=int, default=1)
+    e.add_argument("--user")
+    e.add_argument("--password-env", help="name of the environment variable holding the password")
+    e.add_argument("--query", help="SQL over {source} applied before landing")
+    e.add_argument("--landing", required=True)
+    e.add_argument("--run-date", required=True)
+    e.add_argument("--format", default="parquet")
     return p
 
 
@@ -94,6 +124,8 @@ def main(argv=None) -> dict:
     spark = SparkSession.builder.getOrCreate()
     if args.command == "kpi":
         return run_kpi(spark, args)
+    if args.command == "extract":
+        return {"landing": run_extract(spark, args)}
     return run_audit(spark, args)
 
 

@@ -40,3 +40,14 @@ def test_cli_audit(spark, tmp_path):
     rows = {r["trx_date"]: (r["source_count"], r["target_count"]) for r in spark.read.parquet(f"{root}/audit").collect()}
     assert rows == {d1: (2, 1), d2: (1, 0)}
     assert spark.read.parquet(f"{root}/audit_old").count() == 2
+
+
+def test_cli_extract_from_files(spark):
+    from tallyspark.sources.sinks import read_landing
+    root = scratch_path(spark, "t-cli-extract")
+    spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "id int, kind string").write.parquet(f"{root}/src")
+    main(["extract", "--source-path", f"{root}/src", "--query", "SELECT * FROM {source} WHERE kind = 'a'",
+          "--landing", f"{root}/landing", "--run-date", "2024-02-01"])
+    main(["extract", "--source-path", f"{root}/src", "--landing", f"{root}/landing", "--run-date", "2024-02-02"])
+    assert read_landing(spark, f"{root}/landing", "2024-02-01").count() == 2
+    assert read_landing(spark, f"{root}/landing", "2024-02-02").count() == 3
