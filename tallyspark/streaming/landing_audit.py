@@ -11,6 +11,11 @@ without a query over the whole target).  Every micro-batch:
    per date, and
 3. writes the audit rows into ``<audit_path>/batch_id=<n>/`` with overwrite, so
    a replayed batch replaces its own rows instead of duplicating them.
+
+No ``maxFilesPerTrigger`` is set on purpose: with ``availableNow`` all files
+landed since the last run form one batch, so the rows of one landed day are
+counted together (a cap could split a day across batches).  A re-extracted day
+replaces its landing partition, and its new files are audited in full.
 """
 
 from __future__ import annotations
