@@ -24,8 +24,9 @@ def select_business_unit(trx: DataFrame, country: str | None, bu: str | None = N
     """Rows of one country dated no later than ``as_of``, optionally of one BU and source system.
 
     NULL and future dates drop out (``<=`` is not true for them).  A filter
-    given as None is not applied.  The result keeps the eight transaction
-    columns; every predicate is a plain comparison, so it reaches the scan.
+    given as None is not applied (its column may then be absent).  The result
+    keeps the transaction columns present among the eight conformed ones; every
+    predicate is a plain comparison, so it reaches the scan.
     """
     cond = F.col(C.TRX_DATE) <= as_of_column(as_of)
     if country is not None:
@@ -34,7 +35,7 @@ def select_business_unit(trx: DataFrame, country: str | None, bu: str | None = N
         cond = cond & (F.col(C.BU) == F.lit(bu))
     if source_system is not None:
         cond = cond & (F.col(C.SOURCE_SYSTEM) == F.lit(source_system))
-    return trx.where(cond).select(*C.TRANSACTION_COLUMNS)
+    return trx.where(cond).select(*[c for c in C.TRANSACTION_COLUMNS if c in trx.columns])
 
 
 def customer_keys(bu_rows: DataFrame, customer: str = C.CUSTOMER) -> DataFrame:

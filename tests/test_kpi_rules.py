@@ -146,3 +146,9 @@ def test_decimal_amounts_stay_decimal_and_unrounded(spark):
     assert r[1]["sum_a_1m"] == Decimal("10.000")
     cents = {row[C.CUSTOMER]: row for row in kpi_mart(bu, SMALL_SPEC, money="cents").collect()}
     assert cents[1]["sum_a_1m"] == 1000
+
+
+def test_business_unit_without_bu_columns(spark):
+    trx = spark.createDataFrame(ROWS, TRX_SCHEMA).drop(C.BU, C.SOURCE_SYSTEM)
+    bu = select_business_unit(trx, "KSA", as_of=AS_OF)
+    assert C.BU not in bu.columns and kpi_mart(bu, SMALL_SPEC).count() == 8
