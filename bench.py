@@ -5,7 +5,7 @@ Runs each query over the tables in ``$BENCH_SF_DIR`` (default
 execution with the ``noop`` sink (every row computed, nothing collected).
 Each query is first run once on the small tables of ``$BENCH_WARMUP_DIR``
 (default sf0.01) to warm the JVM; the reported time is the best of
-``$BENCH_ROUNDS`` (default 2) runs.  Prints one JSON line:
+``$BENCH_ROUNDS`` (default 3) runs.  Prints one JSON line:
 {"metric", "value", "unit", "queries", "sf", ...}.
 """
 
@@ -43,7 +43,7 @@ def _sf(path: str) -> str:
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    rounds = int(os.environ.get("BENCH_ROUNDS", "2"))
+    rounds = int(os.environ.get("BENCH_ROUNDS", "3"))
     spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="tallyspark-bench",
                           driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
     qs = catalog.queries()
