@@ -152,3 +152,10 @@ def test_business_unit_without_bu_columns(spark):
     trx = spark.createDataFrame(ROWS, TRX_SCHEMA).drop(C.BU, C.SOURCE_SYSTEM)
     bu = select_business_unit(trx, "KSA", as_of=AS_OF)
     assert C.BU not in bu.columns and kpi_mart(bu, SMALL_SPEC).count() == 8
+
+
+def test_staged_and_unstaged_marts_are_equal(spark):
+    bu = _bu(spark)
+    plain = sorted(map(tuple, kpi_mart(bu, SMALL_SPEC, money="cents").collect()), key=str)
+    staged = sorted(map(tuple, kpi_mart(bu, SMALL_SPEC, money="cents", stage=True).collect()), key=str)
+    assert plain == staged and len(plain) == 7
