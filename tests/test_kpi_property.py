@@ -24,7 +24,7 @@ row = st.tuples(
 ).map(lambda r: (r[0], r[1], r[2], r[3], "fsn_new", "971002", "KSA", r[4]))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(row, min_size=1, max_size=25))
 def test_two_stage_equals_chain_on_random_rows(spark, rows):
     bu = select_business_unit(spark.createDataFrame(rows, TRX_SCHEMA), "KSA", as_of="2001-01-01")

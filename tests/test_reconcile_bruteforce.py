@@ -24,7 +24,7 @@ def brute(src, tgt, inc, tgt_min=None):
     return out
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(src=st.lists(src_row, max_size=25), tgt=st.lists(tgt_row, max_size=25),
        inc=st.lists(st.sampled_from(DAYS), max_size=4, unique=True), failed=st.booleans())
 def test_reconcile_and_audit_equal_brute_force(spark, src, tgt, inc, failed):
