@@ -98,9 +98,15 @@ def kpi_mart(bu_rows: DataFrame, spec: KpiSpec, money: str = "double",
     value = to_cents(F.col(amount)) if money == "cents" else F.col(amount)
     brand_key = F.when(F.col(customer).isNotNull() & F.col(brand).isin(spec.brand_literals()),
                        F.col(brand))
-    pre = rows.select(
-        F.col(customer), brand_key.alias(BRAND_KEY), F.col(txn_id).alias(TXN), value.alias(VALUE),
-        *[(F.col(date) >= F.col(BOUNDS).getField(months_col(m))).alias(_window_flag(m)) for m in spec.windows()])
+    keyed = rows.withColumn(BRAND_KEY, brand_key)
+    # rows of unlisted brands only count towards the population: their measures are
+    # never read in stage two, so they carry NULLs and cost the aggregates nothing
+    listed = F.col(BRAND_KEY).isNotNull()
+    pre = keyed.select(
+        F.col(customer), F.col(BRAND_KEY), F.when(listed, F.col(txn_id)).alias(TXN),
+        F.when(listed, value).alias(VALUE),
+        *[(listed & (F.col(date) >= F.col(BOUNDS).getField(months_col(m)))).alias(_window_flag(m))
+          for m in spec.windows()])
 
     # aggregates as SQL expression text over the projected columns (one parse per
     # expression instead of a chain of Column calls through the driver gateway)
