@@ -14,7 +14,11 @@ from tallyspark.llm import stages
 from tallyspark.llm.common import table, written
 
 STAGES = [
+    ("toxicity", stages.reject_toxic),
+    ("near_duplicates", stages.near_duplicates),
+    ("decontamination", stages.decontaminated),
     ("personal_data", stages.personal_data),
+    ("packing", stages.packed),
 ]
 
 #: The stages hold trained scores, alignments and packing, which SQL cannot express.

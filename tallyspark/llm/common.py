@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +17,23 @@ WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = "[\\x20\\x09-\\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="tallyspark-code-")  # the driver's own; its file server hands the file out
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "tallyspark_code"), "zip",
+                                     os.path.dirname(package), os.path.basename(package)))
+    _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return read_table(spark, sf_dir, name)
 
 

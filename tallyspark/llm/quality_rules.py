@@ -2,8 +2,7 @@
 
 Built from SQL functions only.  The ratio compares two multinomials over hashed
 n-grams: one of trusted documents, one of the whole raw corpus.  N-grams are
-words, and pairs of word shapes (each run of letters written ``a``, each run of
-digits ``0``), hashed into ``BUCKETS``.  A text's score is the mean of
+words, and pairs of word shapes (each run of letters written ``a``), hashed into ``BUCKETS``.  A text's score is the mean of
 ``log p_trusted - log p_raw`` over its n-grams; it is kept when it passes the
 counting rules and its score is at least ``LEAST_SCORE`` (deterministic: no
 draws).  The two tables have ``BUCKETS`` counts at any corpus size and the raw
@@ -23,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, WHITE_RUN, texts
+from .common import WHITE_RUN, texts
 
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
@@ -42,10 +41,6 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, WHITE_RUN, -1), "")
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
-
-
 def rule_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The counting rules of each text, with its ``words`` and ``text`` for later steps."""
     t = texts(docs, id_col, text_col).select("doc_id", "text", words(F.col("text")).alias("words"))
@@ -60,13 +55,13 @@ def rule_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             i -> i >= 0)""")
     t = t.select("doc_id", "text", "words", places.alias("places"))
     covered = F.expr("size(array_distinct(flatten(transform(places, i -> array(i, i + 1, i + 2)))))")
-    lines = F.filter(F.split("text", "\n", -1), lambda x: F.length(F.translate(x, WHITE, "")) > 0)
+    lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     t = t.select("*", lines.alias("lines"))
     n_words, n_repeat = F.size("words").cast("long"), F.when(F.col("places").isNull(), 0).otherwise(covered)
     return t.select(
         "doc_id", "text", "words", n_words.alias("n_words"),
-        _without(F.col("text"), SYMBOLS).cast("long").alias("n_symbols"),
-        (F.length("text") - _without(F.col("text"), WHITE)).cast("long").alias("word_chars"),
+        (F.length("text") - F.length(F.regexp_replace("text", f"[{SYMBOLS}]+", ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         n_repeat.cast("long").alias("n_repeat_words"),
     ).withColumn("base_failed", (F.col("n_words") < LEAST_WORDS)
@@ -76,8 +71,7 @@ def rule_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def with_buckets(df: DataFrame, n: int = BUCKETS) -> DataFrame:
     """``df`` with column ``buckets``: the hash buckets of its ``words`` and of the shape pairs of its ``text``."""
     keep = df.columns
-    letters = F.regexp_replace("text", r"\p{L}++", "a")
-    f = df.select(*keep, F.regexp_replace(letters, "[0-9]++", "0").alias("shape"))
+    f = df.select(*keep, F.regexp_replace("text", r"\p{L}++", "a").alias("shape"))
     f = f.select(*keep, words(F.col("shape")).alias("shape"))
     single = F.transform("words", lambda w: F.pmod(F.xxhash64(w), F.lit(n)).cast("int"))
     pairs = F.zip_with("shape", F.slice("shape", F.lit(2), F.size("shape") + 1),

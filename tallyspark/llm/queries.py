@@ -4,15 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import pii, quality_rules, urlfilter
-from .common import table
+from . import (decontaminate, html_main, jaccard, packing, pii, quality_mil, quality_rules, suffix_dedup, toxicity,
+               urlfilter)
+from .common import fold_of, table
 
 # The URL rules that the query applies.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
+def _scored(docs: DataFrame, held_out, score, threshold: float) -> DataFrame:
+    f = docs.select("doc_id", held_out.alias("held_out"), score.alias("score"))
+    return f.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_mil.fit(docs, labels.where(fold_of(F.col("doc_id"), 4) != 2))
+    return _scored(docs, fold_of(F.col("doc_id"), 4) == 2,
+                   quality_mil.score_column(spark, model, F.col("text")), quality_mil.GOOD_AT)
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
@@ -21,13 +36,43 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.rules_frame(spark, URL_RULES))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(packing.TOKENIZER))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), trusted)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(fold_of(F.col("doc_id"), 3) != 1))
+    return _scored(docs, fold_of(F.col("doc_id"), 3) == 1,
+                   toxicity.score_column(spark, model, F.col("text")), toxicity.REJECT_AT)
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_main.extract(pages, html_main.fit(pages))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pii, op3_url_filters, op5_quality_rules)}
+    return {f.__name__: f for f in (
+        op1_quality_classifier, op2_pii, op3_url_filters, op4_packing, op5_quality_rules, op6_suffix_dedup,
+        op7_toxicity, op8_jaccard_join, op9_decontamination, op10_html_extraction)}
 
 
 # Each URL rule as a condition of its own, longest first.

@@ -1,15 +1,57 @@
-"""The stages of the corpus pipeline: ``(spark, docs, sf_dir) -> DataFrame``."""
+"""The stages of the corpus pipeline: ``(spark, docs, sf_dir) -> DataFrame``.
+
+All but the last return the columns of ``docs``.  Null texts count as empty; rows
+without an id pass every filter (nothing can be said about them by id).
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii
+from . import decontaminate, jaccard, packing, pii, toxicity
+from .common import fold_of, ship, table, unused
+
+#: Word shingles and similarity of the near-duplicate stage.
+WORDS, PERCENT = 5, 80
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score stays under the threshold (the model learns from the training fold)."""
+    labels = table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(fold_of(F.col("doc_id"), 3) != 1))
+    name = unused(docs, "toxicity")
+    return (docs.withColumn(name, toxicity.score_column(spark, model, docs["text"]))
+            .where(F.col(name) < toxicity.REJECT_AT).drop(name))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked documents: the one with the smallest id, once."""
+    ship(spark)
+    found = jaccard.jaccard_components(docs, size=WORDS, percent=PERCENT)
+    rest = found.where("doc_id <> component_id").select(F.col("doc_id").alias("other")).distinct()
+    kept = docs.join(rest, docs["doc_id"] == rest["other"], "left_anti")
+    return kept.distinct()
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    hits = decontaminate.benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
+    bad = hits.select(F.col("doc_id").alias("bad")).distinct()
+    return docs.join(bad, docs["doc_id"] == bad["bad"], "left_anti")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by tags; ``n_chars`` follows the new text."""
     clean = pii.redact(docs)
-    return clean.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text"))
-                            .cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
+    if "n_chars" not in docs.columns:
+        return clean
+    n = F.when(F.col("n_chars").isNotNull(), F.length("text")).cast(docs.schema["n_chars"].dataType)
+    return clean.withColumn("n_chars", n)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents and their places in sequences."""
+    ship(spark)
+    return packing.pack_documents(docs, public_tokenizers.path(packing.TOKENIZER))
