@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, jaccard, packing, pii, toxicity
-from .common import fold_of, ship, table, unused
+from .common import fold_of, ship, table, unused, written
 
 #: Word shingles and similarity of the near-duplicate stage.
 WORDS, PERCENT = 5, 80
@@ -29,10 +29,15 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents: the one with the smallest id, once."""
     ship(spark)
-    found = jaccard.jaccard_components(docs, size=WORDS, percent=PERCENT)
-    rest = found.where("doc_id <> component_id").select(F.col("doc_id").alias("other")).distinct()
+    found = written(jaccard.jaccard_components(docs, size=WORDS, percent=PERCENT), "components")
+    named = found.where("doc_id is not null").groupBy("doc_id").agg(
+        F.min("component_id").alias("component_id"), F.count("*").alias("n"))
+    apart = written(named.where("component_id <> doc_id or n > 1"), "apart")  # the rest stays as it is
+    rest = apart.select(F.col("doc_id").alias("other"))
     kept = docs.join(rest, docs["doc_id"] == rest["other"], "left_anti")
-    return kept.distinct()
+    again = apart.where("component_id = doc_id").select(F.col("doc_id").alias("other"))  # ids of several rows
+    once = docs.join(again, docs["doc_id"] == again["other"], "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(once)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
