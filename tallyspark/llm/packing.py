@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -34,12 +35,17 @@ CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 #: Words whose ids a Python worker remembers, at most.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # Python's split() also splits at these, which are not white space to the tokenizer.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _MARKS = ".,;:!?"
+# Words of these letters alone are split no further, are in composed form, and have one lower-case letter each.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# How byte-level vocabularies write a byte: printable ones as themselves, the others as U+0100 and on, in order.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARS = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - _PRINTED))}
 _workers: dict = {}
 
 
@@ -54,36 +60,50 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.known: dict[str, bytes] = {}  # words as they are written
+        self.parts: dict[str, bytes] = {}  # words without marks, in lower case where that is safe; marks
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known.clear()
-        got = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids, at = np.array(got.ids, "<u4"), np.array(got.word_ids, "i8")
-        ends = np.searchsorted(at, np.arange(len(words) + 1))
-        for word, a, b in zip(words, ends[:-1], ends[1:]):
-            self.known[word] = ids[a:b].tobytes()
+    def _learn(self, words: set[str]) -> None:
+        cut = {}
+        for word in words:
+            core = word.rstrip(_MARKS)
+            if len(core) < len(word) and core and core[-1].isalpha() and "'" not in core:
+                cut[word] = core.lower() if core.isascii() else core, word[len(core):]
+            else:
+                cut[word] = word.lower() if word.isascii() else word, ""
+        parts = self.parts
+        if len(parts) > REMEMBERED:
+            parts.clear()
+        new = []
+        for word in {p for pair in cut.values() for p in pair}:
+            if word not in parts:
+                if _LETTERS.fullmatch(word):  # one token string; the normaliser has nothing to do but lower case
+                    own = word.lower().encode().decode("latin-1").translate(_BYTE_CHARS)
+                    parts[word] = array("I", [t.id for t in self.model.tokenize(own)]).tobytes()
+                else:
+                    new.append(word)
+        if new:
+            got = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
+            ids, at = np.array(got.ids, "<u4"), np.array(got.word_ids, "i8")
+            raw, ends = ids.tobytes(), (4 * np.searchsorted(at, np.arange(len(new) + 1))).tolist()
+            for word, a, b in zip(new, ends[:-1], ends[1:]):
+                parts[word] = raw[a:b]
+        for word, (core, marks) in cut.items():
+            self.known[word] = parts[core] + parts[marks]
 
     def of(self, text: str) -> bytes:
         if _SEPARATORS.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        parts = []
-        for word in text.split():
-            core = word.rstrip(_MARKS)
-            if len(core) < len(word) and core and core[-1].isalpha() and "'" not in core:
-                parts.append(core.lower() if core.isascii() else core)
-                parts.append(word[len(core):])
-            else:
-                parts.append(word.lower() if word.isascii() else word)
         known = self.known
-        new = [w for w in dict.fromkeys(parts) if w not in known]
-        if new:
-            self._learn(new)
-            missing = [w for w in dict.fromkeys(parts) if w not in known]
-            if missing:  # the memory was emptied on the way
-                self._learn(missing)
-        return b"".join([known[w] for w in parts])
+        if len(known) > REMEMBERED:
+            known.clear()
+        words = text.split()
+        found = [known.get(w) for w in words]
+        if None in found:
+            self._learn({w for w, f in zip(words, found) if f is None})
+            found = [known[w] for w in words]
+        return b"".join(found)
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: int = CAPACITY,
