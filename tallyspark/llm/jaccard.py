@@ -7,18 +7,19 @@ word shingles.  The join is exact:
    shingles, so with one part more than that they agree on a whole part: sets that
    may link share a part's hash (``part_signatures`` says why none is missed).
    Equal sets of a task are represented by one of them before anything is shuffled.
-2. Similar documents are put together: each set is compared with the hub it shares
-   most parts with; links make the first components, which are cut into groups of
-   about ``GROUP`` members.
-3. The token-group matrix holds each group's token union.  A set that shares a part
-   with a member of another component's group is a query to that group: its overlap
-   with the union bounds its overlap with every member, and only groups whose bound
-   reaches the threshold are opened and their members compared.
+2. Similar documents are put together: a set joins the hub it shares most parts
+   with, and the sets of a hub are cut into groups of about ``GROUP``.  Comparing each
+   set with its hub gives the first links and components.
+3. The token-group matrix holds each group's unions: of the tokens (part hashes) in a
+   table, of the shingles in the task that opens the group.  Linked sets share at least
+   ``need`` parts, so two groups whose unions share fewer stay closed, and so do groups
+   that lie in one component already.  In an open pair of groups the shared parts of
+   every two members are counted, a query's overlap with the other group's shingle
+   union is bounded, and only members that pass are compared.
 4. Links of both rounds make the components.
 
-No list, group or component is held in one task or on the driver as a whole: lists
-are rows, groups have bounded size, and a group with many queries is copied to
-several tasks.
+No list, hub or component is held in one task or on the driver as a whole: lists are
+rows, groups have bounded size, and pairs of groups are spread over the tasks.
 
 Defined cases: texts without words (null, empty, blank) have no shingles and link
 with nothing; texts of fewer words than a shingle have one shingle, the whole
@@ -40,7 +41,6 @@ from .common import texts, written
 from .components import components
 
 GROUP = 64
-QUERIES = 256
 #: Bytes of text that a task turns into shingles at a time (a longer text is taken alone).
 CHUNK_BYTES = 2_000_000
 GROWTH = 1.5  # of the sizes that share a partition scheme; above 100 / percent
@@ -107,24 +107,26 @@ def schemes(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         low.append(max(low[-1] + 1, int(low[-1] * GROWTH)))
     low = np.array(low, "i8")
     differ = (100 - percent) * 2 * (low[1:] - 1) // (100 + percent)
-    return low, differ, differ + 3 + differ // 50
+    return low, differ, differ + 3 + differ // 16
 
 
-def part_signatures(sets: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the parts of each set, and the set that each belongs to.
+def part_signatures(sets: np.ndarray, counts: np.ndarray, percent: int):
+    """Hashes of the parts of each set, the set that each belongs to, and how many a linked set shares at least.
 
     Linked sets of sizes a <= b differ in at most ``(100 - p) / (100 + p) * (a + b)``
     shingles, fewer than the parts of b's scheme; a is cut by that scheme too when
     b may be in the next one.  They thus agree on more parts than the slack
     ``parts - difference - 1``.  Parts without shingles are left out by sets that
     have no more of them than this slack: one of the agreeing parts then has some.
-    Sets with more empty parts write those out as well.
+    Sets with more empty parts write those out as well.  Either way a linked set shares
+    at least ``parts - difference - empty parts`` of what is written, and at least one.
     """
     low, differ, parts = schemes(percent)
     level = np.searchsorted(low, counts, side="right") - 1
     owner = np.repeat(np.arange(len(counts)), counts)
     value, spread = mixed(sets * _K3), mixed(sets + _K2) >> _U(16)
     out, of = [], []
+    need = np.full(len(counts), 1 << 30, "i8")
     for up in (0, 1):
         used = counts > 0
         if up:
@@ -147,13 +149,14 @@ def part_signatures(sets: np.ndarray, counts: np.ndarray, percent: int) -> tuple
         of.append(doc)
         most = np.minimum(differ[scheme], (100 - percent) * (counts + counts * 100 // percent) // (100 + percent))
         empty = m - np.bincount(doc, minlength=len(counts))
+        need = np.where(used, np.minimum(need, np.maximum(m - most - empty, 1)), need)
         for d in np.flatnonzero(used & (empty > m - 1 - most)):
             free = np.setdiff1d(np.arange(m[d]), part[doc == d])
             out.append(mixed(mixed(free.astype("u8") * _K1 + _U(scheme[d]) * _K3 + _U(1))))
             of.append(np.full(len(free), d))
     if not out:
-        return np.zeros(0, "u8"), np.zeros(0, "i8")
-    return np.concatenate(out), np.concatenate(of)
+        return np.zeros(0, "u8"), np.zeros(0, "i8"), need
+    return np.concatenate(out), np.concatenate(of), need
 
 
 def chunks(frames, most: int = CHUNK_BYTES):
@@ -218,7 +221,7 @@ def signature_lists(docs: DataFrame, size: int, percent: int, buckets: int) -> D
             new[1:] = (x[order][1:] != x[order][:-1]) | (y[order][1:] != y[order][:-1])
             rep = np.zeros(len(doc), bool)
             rep[order[new]] = True
-            sig, of = part_signatures(sets[np.repeat(rep, counts)], counts[rep], percent)
+            sig, of, _ = part_signatures(sets[np.repeat(rep, counts)], counts[rep], percent)
             owner = doc[np.flatnonzero(rep)[of]] if len(of) else np.zeros(0, "i8")
             order = np.lexsort((owner, sig))
             sig, owner = sig[order], owner[order]
@@ -280,43 +283,76 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def open_groups(queries: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``(a, b)`` between queries ``(doc, grp)`` and the members ``(grp, doc)`` of their groups.
-
-    One link for each pair of a query and a group is enough for components.  Groups
-    with many queries are copied, one copy for about ``QUERIES`` of them.
-    """
-    copies = (queries.groupBy("grp").agg(F.count("*").alias("asked"))
-              .select("grp", F.ceil(F.col("asked") / QUERIES).cast("int").alias("copies")))
-    asked = (queries.join(copies, "grp")
-             .select(F.col("grp").alias("q_grp"), F.pmod(F.xxhash64("doc"), F.col("copies")).cast("int").alias("q_copy"),
-                     "doc")
-             .join(sets, "doc")
-             .select("q_grp", "q_copy", F.col("doc").alias("query"), F.col("shingles").alias("own")))
-    there = (members.join(copies, "grp").join(sets, "doc")
-             .select(F.col("grp").alias("m_grp"), F.explode(F.expr("sequence(0, copies - 1)")).alias("m_copy"),
-                     F.col("doc").alias("member"), F.col("shingles").alias("held")))
-
-    def compare(left, right):
-        group = [(int(d), np.frombuffer(s, "u8")) for d, s in zip(right["member"], right["held"])]
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` that link."""
+
+    @F.pandas_udf("boolean")
+    def linked(own: pd.Series, held: pd.Series) -> pd.Series:
+        return pd.Series([_linked(np.frombuffer(x, "u8"), np.frombuffer(y, "u8"), percent)
+                          for x, y in zip(own, held)], dtype=bool)
+
+    left = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("own"))
+    right = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("held"))
+    return pairs.join(left, "a").join(right, "b").where(linked("own", "held")).select("a", "b")
+
+
+def _open_pair(a: list, b: list, percent: int):
+    """Links between two groups of ``(doc, component, shingles)``, one for any two components."""
+    joined: dict = {}
+
+    def find(c):
+        while joined.get(c, c) != c:
+            c = joined[c]
+        return c
+
+    sets = [s for _, _, s in a + b]
+    sig, of, need = part_signatures(np.concatenate(sets), np.array([len(s) for s in sets]), percent)
+    here, there = of < len(a), of >= len(a)
+    order = np.argsort(sig[there])
+    held, member = sig[there][order], of[there][order] - len(a)
+    low = np.searchsorted(held, sig[here], "left")
+    n = np.searchsorted(held, sig[here], "right") - low
+    which = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    shared = np.bincount(np.repeat(of[here], n) * len(b) + member[which],
+                         minlength=len(a) * len(b)).reshape(len(a), len(b))
+    union = np.unique(np.concatenate(sets[len(a):]))
+    least = min(len(s) for s in sets[len(a):])
+    for i, (doc, comp, own) in enumerate(a):
+        able = np.flatnonzero(shared[i] >= np.maximum(need[i], need[len(a):]))
+        able = [j for j in able[np.argsort(-shared[i][able])] if find(b[j][1]) != find(comp)]
+        if not able:
+            continue
+        at = np.minimum(np.searchsorted(union, own), len(union) - 1)
+        if 100 * int((union[at] == own).sum()) < percent * max(len(own), least):
+            continue  # no member can link
+        for j in able:
+            other, its, theirs = b[j]
+            if find(its) != find(comp) and _linked(own, theirs, percent):
+                joined[find(its)] = find(comp)
+                yield doc, other
+
+
+def open_groups(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent: int, buckets: int) -> DataFrame:
+    """Links ``(a, b)`` between the members ``(doc, grp, comp)`` of pairs of groups ``(g, h)``."""
+    full = members.join(sets, "doc").select("grp", "doc", "comp", "shingles")
+    pair = F.xxhash64("g", "h")
+    keyed = pairs.select("g", "h", pair.alias("pair"), F.pmod(pair, F.lit(buckets)).cast("int").alias("bucket"))
+    sides = keyed.select("bucket", "pair", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("g").alias("grp")),
+        F.struct(F.lit(1).alias("side"), F.col("h").alias("grp")))).alias("s")).select("bucket", "pair", "s.*")
+    rows = sides.join(full, "grp").select("bucket", "pair", "side", "doc", "comp", "shingles")
+
+    def compare(frame):
         out = []
-        if group and len(left):
-            union = np.unique(np.concatenate([s for _, s in group]))  # this group's row of the matrix
-            least = min(len(s) for _, s in group)
-            for doc, raw in zip(left["query"], left["own"]):
-                own = np.frombuffer(raw, "u8")
-                at = np.minimum(np.searchsorted(union, own), len(union) - 1)
-                bound = int((union[at] == own).sum())
-                if 100 * bound < percent * max(len(own), least):
-                    continue  # no member can link: the group stays closed
-                for other, held in group:
-                    if other != doc and _linked(own, held, percent):
-                        out.append((int(doc), other))
-                        break
+        for _, both in frame.groupby("pair", sort=False):
+            side = [[], []]
+            for k, doc, comp, raw in zip(both["side"], both["doc"], both["comp"], both["shingles"]):
+                side[k].append((int(doc), int(comp), np.frombuffer(raw, "u8")))
+            if side[0] and side[1]:
+                out += _open_pair(*side, percent)
         return pd.DataFrame(out, columns=["a", "b"])
 
-    return (asked.groupBy("q_grp", "q_copy").cogroup(there.groupBy("m_grp", "m_copy"))
-            .applyInPandas(compare, "a long, b long"))
+    return rows.groupBy("bucket").applyInPandas(compare, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id",
@@ -340,36 +376,46 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     hubs = lists.groupBy("doc", "hub").agg(F.count("*").alias("shared")).join(to_rep, "hub").where("rep <> doc")
     best = (hubs.groupBy("doc", "rep").agg(F.sum("shared").alias("shared"))
             .groupBy("doc").agg(F.max(F.struct("shared", (-F.col("rep")).alias("r"))).alias("m"))
-            .select("doc", (-F.col("m.r")).alias("grp")))
+            .select("doc", (-F.col("m.r")).alias("hub")))
     best = written(best, "hubs")
-    wanted = lists.select("doc").union(best.select("grp")).distinct()
+    wanted = lists.select("doc").union(best.select("hub")).distinct()
     owned = t.join(wanted, t["doc_id"] == wanted["doc"]).select("doc_id", "text")
 
     def encode(frames):
         for ids, batch in chunks(frames):
             sets, counts = shingle_sets(batch, size)
-            ends = np.cumsum(counts)
-            yield pd.DataFrame({"doc": [int(i) for i in ids],
+            ends, need = np.cumsum(counts), part_signatures(sets, counts, percent)[2]
+            yield pd.DataFrame({"doc": [int(i) for i in ids], "need": need,
                                 "shingles": [sets[e - n:e].tobytes() for e, n in zip(ends, counts)]})
 
-    sets = written(owned.mapInPandas(encode, "doc long, shingles binary"), "sets")
-    first = written(open_groups(best, best.select("grp", F.col("grp").alias("doc")).distinct(), sets, percent), "links")
+    found_sets = written(owned.mapInPandas(encode, "doc long, need long, shingles binary"), "sets")
+    sets = found_sets.select("doc", "shingles")
+    first = written(verified(best.select(F.col("doc").alias("a"), F.col("hub").alias("b")), sets, percent), "links")
     near = components(first)
-    label = (lists.join(near, lists["doc"] == near["node"], "left")
-             .select("doc", "part", F.coalesce("component", "doc").alias("comp")).distinct())
-    label = written(label, "lists")
-    # parts whose lists hold more than one component
-    mixed_parts = label.groupBy("part").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    open_ = label.join(mixed_parts.select("part"), "part")
-    sizes = label.select("doc", "comp").distinct()
-    groups = sizes.join(sizes.groupBy("comp").agg(F.ceil(F.count("*") / GROUP).alias("cuts")), "comp")
-    groups = written(groups.select("doc", F.xxhash64("comp", F.pmod(F.xxhash64("doc"), F.col("cuts")))
-                                   .alias("grp")), "groups")
-    listed = open_.join(groups, "doc").select("part", "comp", "grp").distinct()
-    asking = open_.select(F.col("part").alias("q_part"), F.col("comp").alias("q_comp"), "doc")
-    queries = written(asking.join(listed, (asking["q_part"] == listed["part"]) & (listed["comp"] < asking["q_comp"]))
-                      .select("doc", "grp").distinct(), "queries")
-    second = open_groups(queries, groups, sets, percent)
+    members = (found_sets.select("doc", "need").join(best, "doc", "left")
+               .select("doc", "need", F.coalesce("hub", "doc").alias("hub")))
+    members = members.join(members.groupBy("hub").agg(F.ceil(F.count("*") / GROUP).alias("cuts")), "hub")
+    members = members.join(near, members["doc"] == near["node"], "left").select(
+        "doc", "need", F.xxhash64("hub", F.pmod(F.xxhash64("doc"), F.col("cuts"))).alias("grp"),
+        F.coalesce("component", "doc").alias("comp"))
+    members = written(members, "groups")
+    group = members.groupBy("grp").agg(F.min("need").alias("need"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    # the matrix: which parts the union of a group has; two groups' shared parts are counted
+    matrix = (lists.select("doc", "part").join(members.select("doc", "grp"), "doc")
+              .groupBy("part", "grp").agg(F.min("doc").alias("one"), F.max("doc").alias("other")))
+    matrix = written(matrix, "matrix")
+    g, h = matrix.select("part", F.col("grp").alias("g")), matrix.select("part", F.col("grp").alias("h"))
+    shared = g.join(h, "part").where("g < h").groupBy("g", "h").agg(F.count("*").alias("shared"))
+    within = (matrix.where("one <> other").groupBy("grp").agg(F.count("*").alias("shared"))
+              .select(F.col("grp").alias("g"), F.col("grp").alias("h"), "shared"))
+    left = group.select(F.col("grp").alias("g"), F.col("need").alias("need_g"), F.col("lo").alias("lo_g"),
+                        F.col("hi").alias("hi_g"))
+    right = group.select(F.col("grp").alias("h"), F.col("need").alias("need_h"), F.col("lo").alias("lo_h"),
+                         F.col("hi").alias("hi_h"))
+    opened = (shared.unionByName(within).join(left, "g").join(right, "h")
+              .where("shared >= greatest(need_g, need_h)")
+              .where("least(lo_g, lo_h) < greatest(hi_g, hi_h)").select("g", "h"))
+    second = open_groups(written(opened, "opened"), members.select("doc", "grp", "comp"), sets, percent, 8 * buckets)
     final = components(first.union(second))
     known = (named.join(final, named["rep"] == final["node"], "left")
              .select("doc", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")))
