@@ -277,6 +277,18 @@ def marked_starts(rows: np.ndarray, size: np.ndarray, doc: np.ndarray) -> tuple[
     return owner[ids], place[ids]
 
 
+def _steps(x: np.ndarray, doc: np.ndarray | None = None) -> np.ndarray:
+    """Differences to the value before, or (with ``doc``) the value itself where a document begins."""
+    out = np.diff(x, prepend=np.int64(0))
+    return out if doc is None else np.where(np.diff(doc, prepend=doc[0] - 1) != 0, x, out)
+
+
+def _from_steps(steps: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    total = np.cumsum(steps)
+    head = np.flatnonzero(np.diff(doc, prepend=doc[0] - 1) != 0)
+    return total - np.repeat(total[head] - steps[head], np.diff(np.append(head, len(doc))))
+
+
 def _pack(n: int, *columns: np.ndarray, tail: bytes = b"") -> tuple[int, bytes]:
     raw = b"".join(np.ascontiguousarray(c).tobytes() for c in columns) + tail
     return n, zstandard.ZstdCompressor(level=LEVEL).compress(raw)
@@ -315,15 +327,14 @@ class _Outbox:
     def flush(self):
         if self.parts:
             bucket, doc, begin, size, off, rows = (np.concatenate(x) for x in zip(*self.parts))
-            w = anchors(rows, off)
-            order = np.lexsort((w, bucket))
+            order = np.lexsort((begin, doc, bucket))
             bucket, doc, begin, size, off, rows = (x[order] for x in (bucket, doc, begin, size, off, rows))
             cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
             inside = np.arange(_WIDTH) < size[:, None]
             for a, b in zip(cut[:-1], cut[1:]):
                 own = rows[a:b]
-                n, blob = _pack(b - a, doc[a:b], begin[a:b].astype("<u4"), size[a:b].astype("u1"),
-                                off[a:b].astype("u1"), tail=own[inside[a:b]].tobytes())
+                n, blob = _pack(b - a, _steps(doc[a:b]), _steps(begin[a:b], doc[a:b]).astype("<u4"),
+                                size[a:b].astype("u1"), off[a:b].astype("u1"), tail=own[inside[a:b]].tobytes())
                 self.out.append((int(bucket[a]), _SEGMENTS, n, blob))
         out, self.parts, self.size, self.out = self.out, [], 0, []
         return pd.DataFrame(out, columns=["bucket", "kind", "n", "blob"])
@@ -352,8 +363,8 @@ def marks(docs: DataFrame, buckets: int) -> DataFrame:
             if kind == _MARKS:
                 found.append(tuple(np.frombuffer(raw, "i8").reshape(3, n)))
                 continue
-            doc.append(np.frombuffer(raw, "i8", n))
-            begin.append(np.frombuffer(raw, "<u4", n, 8 * n).astype("i8"))
+            doc.append(np.cumsum(np.frombuffer(raw, "i8", n)))
+            begin.append(_from_steps(np.frombuffer(raw, "<u4", n, 8 * n).astype("i8"), doc[-1]))
             size.append(np.frombuffer(raw, "u1", n, 12 * n).astype("i8"))
             off.append(np.frombuffer(raw, "u1", n, 13 * n).astype("i8"))
             texts_.append(np.frombuffer(raw, "u1", -1, 14 * n))
@@ -417,7 +428,8 @@ def _repeated(doc, begin, size, anchor, at, text):
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text, spans)``: each row and its removed byte spans (merged; pairs of 32-bit numbers)."""
+    """``(doc_id, packed, spans)``: each row, its text's bytes compressed for the shuffle, and its removed
+    byte spans (merged; pairs of 32-bit numbers)."""
     t = texts(docs, id_col, text_col)
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     m = written(marks(t, buckets), "marks").groupBy("doc").agg(F.collect_list("spans").alias("spans"))
@@ -426,8 +438,14 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     def merged(spans: pd.Series) -> pd.Series:
         return pd.Series([_merged(x) for x in spans], dtype="object")
 
+    @F.pandas_udf("binary")
+    def packed(text: pd.Series) -> pd.Series:
+        own = zstandard.ZstdCompressor(level=3)
+        return pd.Series([own.compress(t.encode("utf-8", "surrogatepass")) for t in text], dtype="object")
+
     m = m.select("doc", merged("spans").alias("spans"))
-    return t.join(m, t["doc_id"] == m["doc"], "left").select("doc_id", "text", "spans")
+    t = t.select("doc_id", packed("text").alias("packed"))
+    return t.join(m, t["doc_id"] == m["doc"], "left").select("doc_id", "packed", "spans")
 
 
 def _merged(blobs) -> bytes:
@@ -455,14 +473,15 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """``(doc_id, n_bytes, n_removed, n_spans, kept)`` of every row; ``kept`` holds the remaining bytes."""
 
     @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept binary")
-    def cut(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
-        raws = [t.encode("utf-8", "surrogatepass") for t in text]
+    def cut(packed: pd.Series, spans: pd.Series) -> pd.DataFrame:
+        own = zstandard.ZstdDecompressor()
+        raws = [own.decompress(p) for p in packed]
         parts = [_kept(r, s) for r, s in zip(raws, spans)]
         return pd.DataFrame({"n_bytes": [len(r) for r in raws], "n_removed": [p[1] for p in parts],
                              "n_spans": [p[2] for p in parts], "kept": [p[0] for p in parts]})
 
     f = removed(docs, id_col, text_col)
-    return f.select("doc_id", cut("text", "spans").alias("r")).select("doc_id", "r.*")
+    return f.select("doc_id", cut("packed", "spans").alias("r")).select("doc_id", "r.*")
 
 
 def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
