@@ -7,9 +7,10 @@ word shingles.  The join is exact:
    shingles, so with one part more than that they agree on a whole part: sets that
    may link share a part's hash (``part_signatures`` says why none is missed).
    Equal sets of a task are represented by one of them before anything is shuffled.
-2. Similar documents are put together: a set joins the hub it shares most parts
-   with, and the sets of a hub are cut into groups of about ``GROUP``.  Comparing each
-   set with its hub gives the first links and components.
+2. Sets that share fewer parts than a link needs are done.  Similar documents are put
+   together: a set joins the hub it shares most parts with, hubs join theirs, and such
+   a family is cut into groups of about ``GROUP``.  Comparing each set with its hub
+   gives the first links and components.
 3. The token-group matrix holds each group's unions: of the tokens (part hashes) in a
    table, of the shingles in the task that opens the group.  Linked sets share at least
    ``need`` parts, so two groups whose unions share fewer stay closed, and so do groups
@@ -34,7 +35,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import texts, written
@@ -164,7 +165,7 @@ def chunks(frames, most: int = CHUNK_BYTES):
     ids, batch, size = [], [], 0
     for frame in frames:
         for doc, text in zip(frame["doc_id"], frame["text"]):
-            raw = text.encode("utf-8", "replace")
+            raw = text if isinstance(text, bytes) else text.encode("utf-8", "replace")
             if batch and size + len(raw) > most:
                 yield ids, batch
                 ids, batch, size = [], [], 0
@@ -177,7 +178,7 @@ def chunks(frames, most: int = CHUNK_BYTES):
 
 _DOC, _LIST = 0, 1
 _SENT = "bucket int, kind int, blob binary"
-_FOUND = "kind int, doc long, x long, y long, n long"
+_FOUND = "kind int, doc long, x long, y long, n long, need long"
 
 
 def _blob(*columns: np.ndarray) -> bytes:
@@ -196,7 +197,7 @@ def _delta(x: np.ndarray) -> np.ndarray:
 def signature_lists(docs: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
     """Two kinds of rows from one pass over the texts.
 
-    ``_DOC``: doc, fingerprint (x, y), number of shingles n.  ``_LIST``: doc, part hash x
+    ``_DOC``: doc, fingerprint (x, y), number of shingles n, shared parts needed to link.  ``_LIST``: doc, part hash x
     that another document shares too, and the smallest document y known to share it.
     """
 
@@ -212,8 +213,7 @@ def signature_lists(docs: DataFrame, size: int, percent: int, buckets: int) -> D
                 x[full] = np.add.reduceat(mixed(sets + _K1), at[full])
                 y[full] = np.add.reduceat(mixed(sets ^ _K2) * _K3, at[full])
             rows = np.flatnonzero(known)
-            blob = [doc[rows].astype("u8"), x[rows], y[rows], counts[rows].astype("u8")]
-            out = [(int(ids and doc[0] % buckets), _DOC, _blob(*blob))] if len(rows) else []
+            out = []
             # one representative (the smallest id) of each set in this chunk
             order = np.lexsort((doc, y, x))
             order = order[(full & known)[order]]
@@ -221,7 +221,12 @@ def signature_lists(docs: DataFrame, size: int, percent: int, buckets: int) -> D
             new[1:] = (x[order][1:] != x[order][:-1]) | (y[order][1:] != y[order][:-1])
             rep = np.zeros(len(doc), bool)
             rep[order[new]] = True
-            sig, of, _ = part_signatures(sets[np.repeat(rep, counts)], counts[rep], percent)
+            sig, of, least = part_signatures(sets[np.repeat(rep, counts)], counts[rep], percent)
+            need = np.zeros(len(doc), "i8")
+            need[rep] = least
+            if len(rows):
+                blob = [c[rows].astype("u8") for c in (doc, x, y, counts, need)]
+                out.append((int(doc[rows[0]] % buckets), _DOC, _blob(*blob)))
             owner = doc[np.flatnonzero(rep)[of]] if len(of) else np.zeros(0, "i8")
             order = np.lexsort((owner, sig))
             sig, owner = sig[order], owner[order]
@@ -245,18 +250,17 @@ def signature_lists(docs: DataFrame, size: int, percent: int, buckets: int) -> D
     def meet(frame):
         out = []
 
-        def put(kind, doc, x, y, n):
-            out.append(pd.DataFrame({"kind": np.full(len(doc), kind, "i4"), "doc": doc.astype("i8"),
-                                     "x": x.astype("i8"), "y": y.astype("i8"), "n": n}))
+        def put(kind, *columns):
+            made = {name: c.astype("i8") for name, c in zip(("doc", "x", "y", "n", "need"), columns)}
+            out.append(pd.DataFrame({"kind": np.full(len(columns[0]), kind, "i4")} | made))
 
         owners, sigs = [], []
         for kind, blob in zip(frame["kind"], frame["blob"]):
             if kind == _DOC:
-                doc, x, y, n = _columns(blob, 4)
-                put(_DOC, doc, x, y, n.astype("i8"))
+                put(_DOC, *_columns(blob, 5))
             elif kind == _LIST:
                 doc, sig, hub = _columns(blob, 3)
-                put(_LIST, doc, sig, hub, np.zeros(len(doc), "i8"))
+                put(_LIST, doc, sig, hub, np.zeros(len(doc)), np.zeros(len(doc)))
             else:
                 owner, sig = _columns(blob, 2)
                 owners.append(np.cumsum(owner.astype("i8")))
@@ -270,8 +274,9 @@ def signature_lists(docs: DataFrame, size: int, percent: int, buckets: int) -> D
             shared = ~head
             shared[:-1] |= ~head[1:]
             hub = owner[np.flatnonzero(head)][np.cumsum(head) - 1]
-            put(_LIST, owner[shared], sig[shared], hub[shared], np.zeros(int(shared.sum()), "i8"))
-        return pd.concat(out) if out else pd.DataFrame(columns=["kind", "doc", "x", "y", "n"])
+            none = np.zeros(int(shared.sum()))
+            put(_LIST, owner[shared], sig[shared], hub[shared], none, none)
+        return pd.concat(out) if out else pd.DataFrame(columns=["kind", "doc", "x", "y", "n", "need"])
 
     return docs.mapInPandas(send, _SENT).groupBy("bucket").applyInPandas(meet, _FOUND)
 
@@ -364,25 +369,42 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     t = texts(docs, id_col, text_col)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = written(signature_lists(t, size, percent, buckets), "shingles")
-    rows = found.where(F.col("kind") == _DOC).select("doc", "x", "y", "n")
+    rows = found.where(F.col("kind") == _DOC).select("doc", "x", "y", "n", "need")
     class_of = (rows.where("n > 0").groupBy("x", "y", "n").agg(F.min("doc").alias("rep")))
     named = written(rows.join(class_of, ["x", "y", "n"], "left")
-                    .select("doc", "n", F.coalesce("rep", "doc").alias("rep")), "classes")
-    reps = named.where("n > 0 and doc = rep").select("doc", "n").distinct()
+                    .select("doc", "n", "need", F.coalesce("rep", "doc").alias("rep")), "classes")
+    # the smallest document of a class stands for it in its chunk too, so its ``need`` is there
+    reps = named.where("n > 0 and doc = rep").groupBy("doc").agg(F.max("need").alias("need"))
     to_rep = named.where("n > 0").select(F.col("doc").alias("hub"), "rep").distinct()
     lists = found.where(F.col("kind") == _LIST).select("doc", F.col("x").alias("part"), F.col("y").alias("hub"))
-    lists = lists.join(reps.select("doc"), "doc", "left_semi")
+    # a set that shares fewer parts than it needs, with all others together, links with none;
+    # all of this is grouped by document, one exchange serves it
+    lists = (lists.join(reps, "doc").groupBy("doc", "part").agg(F.min("hub").alias("hub"), F.max("need").alias("need"))
+             .withColumn("own", F.count("*").over(Window.partitionBy("doc")))
+             .where("own >= need").select("doc", "part", "hub", "need"))
+    lists = written(lists, "lists")
     # the hub that a set shares most parts with, as its class's representative
-    hubs = lists.groupBy("doc", "hub").agg(F.count("*").alias("shared")).join(to_rep, "hub").where("rep <> doc")
-    best = (hubs.groupBy("doc", "rep").agg(F.sum("shared").alias("shared"))
-            .groupBy("doc").agg(F.max(F.struct("shared", (-F.col("rep")).alias("r"))).alias("m"))
-            .select("doc", (-F.col("m.r")).alias("hub")))
+    hubs = (lists.groupBy("doc", "hub").agg(F.count("*").alias("shared"), F.max("need").alias("need"))
+            .join(to_rep, "hub").where("rep <> doc"))
+    best = (hubs.groupBy("doc", "rep").agg(F.sum("shared").alias("shared"), F.max("need").alias("need"))
+            .groupBy("doc").agg(F.max(F.struct("shared", (-F.col("rep")).alias("r"), "need")).alias("m"))
+            .where("m.shared >= m.need").select("doc", (-F.col("m.r")).alias("hub")))
     best = written(best, "hubs")
     wanted = lists.select("doc").union(best.select("hub")).distinct()
-    owned = t.join(wanted, t["doc_id"] == wanted["doc"]).select("doc_id", "text")
+
+    @F.pandas_udf("binary")
+    def packed(text: pd.Series) -> pd.Series:
+        own = zstandard.ZstdCompressor(level=3)
+        return pd.Series([own.compress(x.encode("utf-8", "replace")) for x in text], dtype="object")
+
+    small = t.where("doc_id is not null").select("doc_id", packed("text").alias("packed"))
+    owned = small.join(wanted, small["doc_id"] == wanted["doc"]).select("doc_id", "packed")
 
     def encode(frames):
-        for ids, batch in chunks(frames):
+        own = zstandard.ZstdDecompressor()
+        plain = (pd.DataFrame({"doc_id": f["doc_id"], "text": [own.decompress(p) for p in f["packed"]]})
+                 for f in frames)
+        for ids, batch in chunks(plain):
             sets, counts = shingle_sets(batch, size)
             ends, need = np.cumsum(counts), part_signatures(sets, counts, percent)[2]
             yield pd.DataFrame({"doc": [int(i) for i in ids], "need": need,
@@ -392,8 +414,10 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     sets = found_sets.select("doc", "shingles")
     first = written(verified(best.select(F.col("doc").alias("a"), F.col("hub").alias("b")), sets, percent), "links")
     near = components(first)
-    members = (found_sets.select("doc", "need").join(best, "doc", "left")
-               .select("doc", "need", F.coalesce("hub", "doc").alias("hub")))
+    family = components(best, "doc", "hub")
+    members = found_sets.select("doc", "need")
+    members = (members.join(family, members["doc"] == family["node"], "left")
+               .select("doc", "need", F.coalesce("component", "doc").alias("hub")))
     members = members.join(members.groupBy("hub").agg(F.ceil(F.count("*") / GROUP).alias("cuts")), "hub")
     members = members.join(near, members["doc"] == near["node"], "left").select(
         "doc", "need", F.xxhash64("hub", F.pmod(F.xxhash64("doc"), F.col("cuts"))).alias("grp"),
