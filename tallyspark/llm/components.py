@@ -1,4 +1,4 @@
-"""Connected components of a table of links, by rounds of label passing and pointer jumping."""
+"""Connected components of a table of links, by rounds that contract the links."""
 
 from __future__ import annotations
 
@@ -11,24 +11,32 @@ from .common import written
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, component)`` of every node in ``links``; the component is its smallest node.
 
-    Each round takes the smallest label of a node's neighbours, then follows labels
-    once more; it ends when a round changes nothing.  Every round is stored, so a
-    lost executor costs that round only.
+    In each round a node joins its smallest neighbour's parent, if that is smaller than
+    itself; links are then between what was joined, and those inside are dropped.  The
+    smallest node never joins another, so it names its component at the end.  Null ends
+    and links of a node to itself are ignored.  Every round is stored.
     """
-    both = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")
-    both = written(both.union(both.select("v", "u")).distinct(), "links")
-    labels = written(both.groupBy("u").agg(F.min("v").alias("near"))
-                     .select(F.col("u").alias("node"), F.least("u", "near").alias("component")), "labels")
+    def between(x, y):
+        return F.least(x, y).alias("u"), F.greatest(x, y).alias("v")
+
+    x, y = F.col(a).cast("long"), F.col(b).cast("long")
+    edges = written(links.where(x != y).select(*between(x, y)).distinct(), "links")
+    labels = None
     while True:
-        near = (both.join(labels, both["v"] == labels["node"]).groupBy("u")
-                .agg(F.min("component").alias("near")))
-        step = (labels.join(near, labels["node"] == near["u"])
-                .select("node", "component", F.least("component", "near").alias("new")))
-        jump = labels.select(F.col("node").alias("j_node"), F.col("component").alias("j_component"))
-        step = (step.join(jump, step["new"] == jump["j_node"], "left")
-                .select("node", F.col("component").alias("old"),
-                        F.least("new", F.coalesce("j_component", "new")).alias("component")))
-        step = written(step, "labels")
-        labels = step.select("node", "component")
-        if step.where("component <> old").limit(1).count() == 0:
+        near = edges.union(edges.select("v", "u")).groupBy("u").agg(F.min("v").alias("v"))
+        near = written(near.select(F.col("u").alias("node"), F.least("u", "v").alias("parent")), "parents")
+        above = near.select(F.col("node").alias("p_node"), F.col("parent").alias("p_parent"))
+        step = written(near.join(above, near["parent"] == above["p_node"])
+                       .select("node", F.col("p_parent").alias("to")), "parents")
+        if labels is None:
+            labels = step.select("node", F.col("to").alias("component"))
+        else:
+            moved = step.select(F.col("node").alias("old"), "to")
+            labels = written(labels.join(moved, labels["component"] == moved["old"], "left")
+                             .select("node", F.coalesce("to", "component").alias("component")), "labels")
+        low = step.select(F.col("node").alias("u"), F.col("to").alias("x"))
+        high = step.select(F.col("node").alias("v"), F.col("to").alias("y"))
+        edges = written(edges.join(low, "u").join(high, "v").where("x <> y")
+                        .select(*between(F.col("x"), F.col("y"))).distinct(), "links")
+        if edges.isEmpty():
             return labels
