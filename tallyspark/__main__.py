@@ -52,11 +52,15 @@ def run_audit(spark: SparkSession, args) -> dict:
         name, path = item.split("=", 1)
         _read(spark, path, args.format).createOrReplaceTempView(name)
     status = args.status or load_status(not args.upstream_failed)
-    out = run_load_audit(spark, cfg, status, args.start_ts, args.end_ts, args.run_date,
+    out = run_load_audit(spark, cfg, status, args.start_ts, args.end_ts, args.run_date, args.epoch_time,
                          old_status="failed" if args.upstream_failed else "success")
-    append_audit(out["audit_rows"], args.audit_path, unique_key="hash")
+    append_audit(out["audit_rows"], args.audit_path, run_id=args.run_id, run_date=args.run_date)
     if args.audit_old_path and "table_count_audit" in out:
         append_audit(out["table_count_audit"], args.audit_old_path, partition_by=("load_date",))
+    if args.summary_path and "audit_summary" in out:
+        out["audit_summary"].write.mode("overwrite").parquet(args.summary_path)
+    if "table_count_mismatch" in out:
+        print(out["table_count_mismatch"], file=sys.stderr)
     return out
 
 
@@ -67,8 +71,12 @@ def run_extract(spark: SparkSession, args) -> str:
                           args.upper_bound, args.num_partitions, props)
     else:
         df = _read(spark, args.source_path, args.format)
-    if args.query:
-        df = export_sql(spark, args.query, source=df)
+    query = args.query
+    if args.sql_file:
+        with open(args.sql_file) as fh:
+            query = fh.read()
+    if query:
+        df = export_sql(spark, query, source=df)
     return extract_to_landing(df, args.landing, args.run_date)
 
 
@@ -100,6 +108,9 @@ def build_parser() -> argparse.ArgumentParser:
     a.add_argument("--run-date")
     a.add_argument("--audit-path", required=True)
     a.add_argument("--audit-old-path")
+    a.add_argument("--summary-path", help="where the run summary is written (overwrite)")
+    a.add_argument("--epoch-time", type=int, help="the run's epoch seconds, stored in the per-table audit")
+    a.add_argument("--run-id", help="the scheduler's run id: a retried run appends nothing twice")
     a.add_argument("--format", default="parquet")
     e = sub.add_parser("extract", help="copy a table into the landing folder for one run date")
     src = e.add_mutually_exclusive_group(required=True)
@@ -112,6 +123,7 @@ def build_parser() -> argparse.ArgumentParser:
     e.add_argument("--num-partitions", type=int, default=1)
     e.add_argument("--user")
     e.add_argument("--password-env", help="name of the environment variable holding the password")
+    e.add_argument("--sql-file", help="file with the SQL text, used like --query")
     e.add_argument("--query", help="SQL over {source} applied before landing")
     e.add_argument("--landing", required=True)
     e.add_argument("--run-date", required=True)

@@ -18,9 +18,12 @@ def to_cents(amount: Column) -> Column:
     ``rint`` is a plain floating-point operation (``round`` goes through a
     decimal per value).  For amounts with two decimals ``amount * 100`` is within
     a rounding error of an integer, so the result is exact; only an amount with
-    an exact half cent would round to even.
+    an exact half cent would round to even.  Decimals stay decimals throughout, so
+    large ones lose no digits (half cents round away from zero).
     """
-    return F.rint(amount * F.lit(100)).cast("bigint")
+    exact = F.round(amount * F.lit(100)).cast("bigint")
+    return (F.when(F.typeof(amount).startswith("decimal"), exact)  # a constant: one branch remains in the plan
+            .otherwise(F.rint(amount * F.lit(100)).cast("bigint")))
 
 
 def half_up_avg_cents_sql(sum_cents: str, n: str) -> str:

@@ -1,6 +1,6 @@
 """The registered queries: library operators wired to the supplied tables.
 
-Every query takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
+Every query takes ``(spark, sf_dir)`` and returns a DataFrame (round trips write when called) over the
 whole tables of ``sf_dir``.  Parameters that the production jobs take from
 their configuration are fixed here once (``SETTINGS``) so every run of a query
 is repeatable: the as-of date, the run timestamps and the upstream status are

@@ -57,11 +57,11 @@ LIFESTYLE_ORG_CODE = "FSN"
 LIFESTYLE_SPEC = KpiSpec(FAMILIES, LIFESTYLE_BRANDS, dict(LIFESTYLE_BRAND_OVERRIDES), dict(NAME_OVERRIDES))
 
 
-def supplied_tables_spec(n_brands: int = 8) -> KpiSpec:
-    """The same families and names over the supplied part brands ``Brand#1`` .. ``Brand#n``.
+def supplied_tables_spec() -> KpiSpec:
+    """The same families and names over the supplied part brands ``Brand#1`` .. ``Brand#8``.
 
     The codes of the lifestyle brands are kept so the column names are the
     published ones; no brand literal is overridden.
     """
-    brands = [Brand(f"Brand#{i + 1}", b.code) for i, b in enumerate(LIFESTYLE_BRANDS[:n_brands])]
+    brands = [Brand(f"Brand#{i + 1}", b.code) for i, b in enumerate(LIFESTYLE_BRANDS)]
     return LIFESTYLE_SPEC.with_brands(brands)

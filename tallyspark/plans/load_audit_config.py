@@ -66,6 +66,8 @@ class LoadAuditConfig:
     target_count_query: str | None = None
     increment_query: str | None = None
     count_tables: tuple = ()
+    #: Why the per-table audit cannot run (its lists do not pair up), or None.
+    count_tables_mismatch: str | None = None
 
     @classmethod
     def from_params(cls, params: dict, dag_name: str) -> "LoadAuditConfig":
@@ -73,11 +75,12 @@ class LoadAuditConfig:
         types = list(params.get("dag_audit_table_type") or [])
         queries = list(params.get("dag_audit_src_tbl_count_sql") or [])
         dates = list(params.get("load_date_range") or [])
+        mismatch = None
         if not (len(names) == len(types) == len(queries)) or (dates and len(dates) != len(names)):
-            raise ValueError(
-                "per-table audit lists differ in length: "
-                f"{len(names)} tables, {len(types)} types, {len(queries)} count queries, {len(dates)} load dates")
-        tables = tuple(CountTable(n, t, q, _opt(dates[i]) if dates else None)
+            mismatch = ("per-table audit lists differ in length: "
+                        f"{len(names)} tables, {len(types)} types, {len(queries)} count queries, "
+                        f"{len(dates)} load dates")
+        tables = () if mismatch else tuple(CountTable(n, t, q, _opt(dates[i]) if dates else None)
                        for i, (n, t, q) in enumerate(zip(names, types, queries)))
         return cls(
             dag_name=dag_name,
@@ -92,6 +95,7 @@ class LoadAuditConfig:
             target_count_query=_opt(params.get("excel_query")),
             increment_query=_opt(params.get("incerment_query")),
             count_tables=tables,
+            count_tables_mismatch=mismatch,
         )
 
     @classmethod
@@ -117,7 +121,9 @@ def run_load_audit(spark: SparkSession, cfg: LoadAuditConfig, status: str, start
     """All outputs of one load-audit run as lazy DataFrames.
 
     Keys: ``increments``, ``reconciliation``, ``audit_rows``, ``table_count_audit``
-    and ``audit_summary`` (the last two only when count tables are configured).
+    and ``audit_summary`` (the last two only when count tables are configured).  When
+    the per-table lists do not pair up, the rest still runs and ``table_count_mismatch``
+    holds the reason.
     """
     if cfg.increment_query is not None:
         inc = increment_dates_sql(spark, cfg.increment_query)
@@ -144,6 +150,8 @@ def run_load_audit(spark: SparkSession, cfg: LoadAuditConfig, status: str, start
         "audit_rows": audit_rows(recon, cfg.dag_name, list(cfg.source_tables), cfg.target or "", status,
                                  start_ts, end_ts, run_date),
     }
+    if cfg.count_tables_mismatch:
+        out["table_count_mismatch"] = cfg.count_tables_mismatch
     if cfg.count_tables:
         sources = [CountSource(t.table_name, t.type, spark.sql(t.count_query), True, t.load_date)
                    for t in cfg.count_tables]

@@ -51,7 +51,7 @@ def cluster_settings(largest_shuffle_bytes: int, target_partition_bytes: int = 1
     in executor memory; AQE then coalesces small partitions and splits skewed
     ones at run time.  Example: a 6 TB stage-one shuffle gives ~49k partitions.
     """
-    partitions = max(200, min(200_000, -(-int(largest_shuffle_bytes) // int(target_partition_bytes))))
+    partitions = max(1, -(-int(largest_shuffle_bytes) // int(target_partition_bytes)))
     mb = f"{int(target_partition_bytes) // (1024 ** 2)}m"
     return {
         "spark.sql.adaptive.enabled": "true",
@@ -69,10 +69,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder of the session (``spark.checkpoint.dir``).
 
     Reads the setting from the session; sets a fresh local folder only when it
-    is unset (local tests), so a cluster's shared folder is never overridden.
+    is unset (local tests), so a cluster's shared folder is never overridden.  On
+    any other master the setting is required: a folder of the driver's machine
+    would not be seen by the executors.
     """
     sc = spark.sparkContext
     root = sc.getConf().get(_CHECKPOINT_KEY, None) or sc.getCheckpointDir()
+    if not root and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
         sc.setCheckpointDir(root)

@@ -1,19 +1,25 @@
 """Export by SQL text and the extract reader.
 
-``export_sql`` runs a stored SQL text with Spark SQL.  Tables are passed as
-DataFrames and referenced as ``{name}`` in the text, so no global view has to
-exist.  ``jdbc_extract`` reads a warehouse table in parallel ranges of a
+``export_sql`` runs a stored SQL text with Spark SQL, verbatim but for the names
+of the given tables: ``{name}`` stands for the DataFrame passed under that name;
+any other brace is ordinary text.  ``jdbc_extract`` reads a warehouse table in parallel ranges of a
 numeric column; it needs a reachable database and is not exercised offline.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def export_sql(spark: SparkSession, sql_text: str, **frames: DataFrame) -> DataFrame:
-    """Result of ``sql_text`` (lazy)."""
-    return spark.sql(sql_text, **frames) if frames else spark.sql(sql_text)
+    """Result of ``sql_text`` (lazy).  Each frame becomes a temporary view of a unique name."""
+    for name, frame in frames.items():
+        view = f"export_{name}_{uuid.uuid4().hex}"
+        frame.createOrReplaceTempView(view)
+        sql_text = sql_text.replace("{" + name + "}", view)
+    return spark.sql(sql_text)
 
 
 def jdbc_extract(spark: SparkSession, url: str, table: str, partition_column: str, lower_bound: int,

@@ -1,38 +1,68 @@
 """Sinks: KPI table overwrite, audit append, partitioned landing; and their read-backs.
 
-Every write goes through Spark's file commit protocol: a task's output becomes
-visible only when the job commits, so a lost executor's task is re-run without
-leaving partial files.  Landing writes overwrite only the partitions they
-carry (dynamic partition overwrite), so re-running a day replaces that day.
+Every write goes through Spark's file commit protocol: a lost executor's task is
+re-run without leaving partial files.  Plain overwrite deletes the old files
+first, so the KPI table is computed into a staging folder before the old one is
+touched.  Landing writes overwrite only the day they carry (dynamic partition
+overwrite); an empty extract replaces its day by no rows.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.session import scratch_path
+
 RUN_DATE = "run_date"
+RUN_ID = "run_id"
+TRX_DATE = "trx_date"
 
 
 def write_kpi(df: DataFrame, path: str) -> str:
-    """Replace the KPI table at ``path`` (data and schema)."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace the KPI table at ``path`` (data and schema).
+
+    Everything that can fail in computing it happens before the old table goes:
+    the new one is first written to the shared folder and then copied over.  If the
+    copy itself breaks off, the complete new table is still in the shared folder.
+    """
+    staged = scratch_path(df.sparkSession, "kpi-next")
+    df.write.parquet(staged)
+    df.sparkSession.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(path)
     return path
 
 
-def append_audit(df: DataFrame, path: str, partition_by=(RUN_DATE,), unique_key=None) -> str:
+def append_audit(df: DataFrame, path: str, partition_by=(RUN_DATE,), unique_key=None, run_id: str | None = None,
+                 run_date=None) -> str:
     """Append audit rows (one write for all dates of a run), partitioned by run date.
 
-    ``unique_key`` (a column name or list, e.g. ``"hash"``) makes a retried run
-    idempotent: rows whose key is already in the table are not appended again
-    (a left anti join against the key column of the existing files).
+    ``run_id`` (the scheduler's) makes a retried run idempotent: it is stored with
+    the rows, and rows whose (run id, run date, transaction date) are in the table
+    already are not appended again, whatever their timestamps say.  ``unique_key``
+    (columns) does the same by those columns and the run date.  With neither, rows
+    are always appended.  ``run_date``, if given, restricts the look-up to that
+    date's partition.
     """
-    if unique_key is not None and _exists(df.sparkSession, path):
-        keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
-        existing = df.sparkSession.read.parquet(path).select(*keys)
-        df = df.join(existing, keys, "left_anti")
+    keys = [] if unique_key is None else [unique_key] if isinstance(unique_key, str) else list(unique_key)
+    if run_id is not None:
+        df = df.withColumn(RUN_ID, F.lit(run_id))
+        keys = [RUN_ID, TRX_DATE]
+    existing = _read_or_none(df.sparkSession, path) if keys else None
+    if existing is not None and set(keys) <= set(existing.columns):
+        if RUN_DATE in df.columns and RUN_DATE in existing.columns and RUN_DATE not in keys:
+            keys.append(RUN_DATE)
+        if run_date is not None:
+            existing = existing.where(F.col(RUN_DATE) == F.to_date(F.lit(_run_date(run_date))))
+        if run_id is not None:
+            existing = existing.where(F.col(RUN_ID) == F.lit(run_id))
+        there = existing.select(*[F.col(k).alias(f"_there_{k}") for k in keys])
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_there_{k}")) for k in keys])
+        df = df.join(there, same, "left_anti")
     w = df.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -40,11 +70,14 @@ def append_audit(df: DataFrame, path: str, partition_by=(RUN_DATE,), unique_key=
     return path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None when there is none yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def read_audit(spark: SparkSession, path: str, dag_name: str | None = None, table_name: str | None = None,
@@ -67,10 +100,21 @@ def _run_date(value) -> str:
 
 
 def extract_to_landing(df: DataFrame, path: str, run_date) -> str:
-    """Write an extract under ``path/run_date=<day>/``, replacing only that day's partition."""
-    (df.withColumn(RUN_DATE, F.to_date(F.lit(_run_date(run_date))))
+    """Write an extract under ``path/run_date=<day>/``, replacing only that day's partition.
+
+    Dynamic overwrite replaces partitions that get rows; when the extract had none
+    (counted in the same job), the day's folder is overwritten by an empty file.
+    """
+    if RUN_DATE in df.columns:
+        raise ValueError(f"the extract has a column named {RUN_DATE}, which the landing folder adds")
+    day, seen = _run_date(run_date), Observation()
+    (df.observe(seen, F.count(F.lit(1)).alias("rows"))
+       .withColumn(RUN_DATE, F.to_date(F.lit(day)))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(RUN_DATE).parquet(path))
+    if seen.get["rows"] == 0:
+        empty = df.sparkSession.createDataFrame([], df.schema)
+        empty.write.mode("overwrite").parquet(f"{path}/{RUN_DATE}={day}")
     return path
 
 

@@ -6,13 +6,12 @@ run sees exactly the files landed since the previous one (increment discovery
 without a query over the whole target).  Every micro-batch:
 
 1. takes the distinct dates of its own rows as the increments,
-2. counts the source per date inside the batch's date range only (one grouped
-   aggregate; a runtime partition filter on a dated source) and the batch's rows
-   per date, and
+2. counts the source and the landing table per date inside the batch's date range
+   only (grouped aggregates; a runtime partition filter on a dated table), and
 3. writes the audit rows into ``<audit_path>/batch_id=<n>/`` with overwrite, so
    a replayed batch replaces its own rows instead of duplicating them.
 
-No ``maxFilesPerTrigger`` is set on purpose: with ``availableNow`` all files
+A run with nothing new writes the no-increment marker row.  No ``maxFilesPerTrigger`` is set on purpose: with ``availableNow`` all files
 landed since the last run form one batch, so the rows of one landed day are
 counted together (a cap could split a day across batches).  A re-extracted day
 replaces its landing partition, and its new files are audited in full.
@@ -20,6 +19,8 @@ replaces its landing partition, and its new files are audited in full.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.operators.audit import audit_rows
@@ -29,11 +30,13 @@ from tallyspark.operators.reconcile import reconcile
 
 def audit_batch(batch: DataFrame, batch_id: int, date_column: str, source: DataFrame, source_column,
                 audit_path: str, dag_name: str, source_tables, target_table: str, status: str,
-                start_ts=None, end_ts=None, run_date=None) -> None:
+                start_ts=None, end_ts=None, run_date=None, target: DataFrame | None = None) -> None:
     """Audit one micro-batch of landed rows into ``<audit_path>/batch_id=<n>/`` (overwrite: replay-safe)."""
     inc = increment_dates(batch, date_column)
     # the source is counted only inside the batch's date range (partition pruning on a dated source)
-    recon = reconcile(inc, source, batch, source_column, date_column, prune_to_range=True)
+    # the target is the landing table: a date landed over several runs is counted in full
+    recon = reconcile(inc, source, batch if target is None else target, source_column, date_column,
+                      prune_to_range=True)
     rows = audit_rows(recon, dag_name, source_tables, target_table, status, start_ts, end_ts, run_date)
     rows.write.mode("overwrite").parquet(f"{audit_path}/batch_id={int(batch_id)}")
 
@@ -47,15 +50,23 @@ def audit_landing_stream(spark: SparkSession, landing_path: str, date_column: st
         schema = spark.read.parquet(landing_path).schema
     stream = spark.readStream.schema(schema).option("basePath", landing_path).parquet(landing_path)
 
+    ran = []
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        landed = spark.read.schema(schema).parquet(landing_path)
         audit_batch(batch, batch_id, date_column, source, source_column, audit_path, dag_name,
-                    source_tables, target_table, status, start_ts, end_ts, run_date)
+                    source_tables, target_table, status, start_ts, end_ts, run_date, landed)
+        ran.append(batch_id)
 
     query = (stream.writeStream.foreachBatch(on_batch)
              .option("checkpointLocation", checkpoint_path)
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
+    if not ran:  # nothing new: the run still leaves its marker row
+        nothing = spark.createDataFrame([], "trx_date date, source_count bigint, target_count bigint")
+        rows = audit_rows(nothing, dag_name, source_tables, target_table, status, start_ts, end_ts, run_date)
+        rows.write.mode("overwrite").parquet(f"{audit_path}/batch_id=none-{uuid.uuid4().hex}")
 
 
 def read_stream_audit(spark: SparkSession, audit_path: str) -> DataFrame:

@@ -47,6 +47,7 @@ def test_spec_round_trips_through_json():
 def test_cluster_settings_scale_with_the_shuffle():
     from tallyspark.session import cluster_settings
     small, big = cluster_settings(10 * 1024 ** 2), cluster_settings(6 * 1024 ** 4)
-    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert small["spark.sql.shuffle.partitions"] == "1"
+    assert cluster_settings(100 * 10 ** 12)["spark.sql.shuffle.partitions"] == "745059"  # no cap
     assert int(big["spark.sql.shuffle.partitions"]) == 49152
     assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "128m"
