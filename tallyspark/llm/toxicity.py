@@ -56,12 +56,13 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
         "@": "a", "$": "s", "!": "i", "|": "li", "+": "t", "(": "c", "€": "e", "£": "l"}
 _SUBSTITUTED = -1.0  # log cost of writing a letter as one of these
 _REPEATED = -0.5  # of writing a letter more than once
-_MIXED = re.compile(r"(?<![\w@$!|+(€£.])(?=[^\s]{0,40}[^\W\d_])[^\W_]*(?:[0-9@$!|+(€£][0-9@$!|+(€£]?[^\W\d_]+)+"
+_SIGN = re.compile("[0-9@$!|+(€£]")
+_MIXED = re.compile(r"(?<![\w@$!|+(€£.])(?![^\s@]*@[^\s@]+\.[A-Za-z])(?=[^\s]{0,40}[^\W\d_])[^\W_]*(?:[0-9@$!|+(€£][0-9@$!|+(€£]?[^\W\d_]+)+"
                     r"(?:[0-9@$!|€£]{1,2}(?![\w@$!|€£]))?")
 _TAIL = re.compile(r"(?<![\w@$!|])[^\W\d_]{2,}[0-9@$!|€£]{1,2}(?![\w@$!|€£.])")
 _SPACED = re.compile(r"(?<!\w)(?:[^\W_][ .\-_*]{1,2}){3,}[^\W_](?!\w)")
 _RUNS = re.compile(r"([^\W\d_])\1\1+")
-_LONG_RUN = re.compile(r"\w*?([^\W\d_])\1\1+\w*")
+_TOKEN = re.compile(r"\w+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -106,7 +107,7 @@ class Restorer:
         """Viterbi over the span's lattice; states are the last two letters."""
         if span in self.known:
             return self.known[span]
-        best = {(0, 0): (0.0, "")}
+        best = {(0, 0): (0.0, None)}  # score, and the path as (path before, letters)
         for ch, n in _runs(re.sub(r"[ .\-_*]", "", span.lower())):
             options = []
             for letter in (LEET[ch] if ch in LEET else ch):
@@ -125,9 +126,15 @@ class Restorer:
                         s += float(self.model[x, y, code])
                         x, y = y, code
                     if (x, y) not in step or s > step[x, y][0]:
-                        step[x, y] = (s, out + letters)
+                        step[x, y] = (s, (out, letters))
             best = step
-        found = max(((s + float(self.model[a, b, 0]), out) for (a, b), (s, out) in best.items()))[1]
+        path = max(((s + float(self.model[a, b, 0]), (a, b), out) for (a, b), (s, out) in best.items()),
+                   key=lambda x: x[:2])[2]
+        letters = []
+        while path:
+            path, own = path
+            letters.append(own)
+        found = "".join(reversed(letters))
         if len(self.known) >= REMEMBERED:
             self.known.clear()
         self.known[span] = found
@@ -135,9 +142,12 @@ class Restorer:
 
     def restore(self, text: str) -> str:
         text = _SPACED.sub(lambda m: self.decode(m.group(0)), text)
-        text = _MIXED.sub(lambda m: self.decode(m.group(0)), text)
-        text = _TAIL.sub(lambda m: self.decode(m.group(0)), text)
-        return _LONG_RUN.sub(lambda m: self.decode(m.group(0)), text) if _RUNS.search(text) else text
+        if _SIGN.search(text):
+            text = _MIXED.sub(lambda m: self.decode(m.group(0)), text)
+            text = _TAIL.sub(lambda m: self.decode(m.group(0)), text)
+        if _RUNS.search(text):
+            text = _TOKEN.sub(lambda m: self.decode(m.group(0)) if _RUNS.search(m.group(0)) else m.group(0), text)
+        return text
 
 
 def _runs(s: str):

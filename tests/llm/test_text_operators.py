@@ -1,0 +1,298 @@
+"""Defined results for odd inputs, and comparisons with brute force on small fixtures."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallyspark.llm import (decontaminate, html_main, jaccard, packing, pii, quality_mil, quality_rules, suffix_dedup,
+                            toxicity, urlfilter)
+from tallyspark.llm.common import ship
+from tallyspark.llm.components import components
+
+SCHEMA = "doc_id long, text string, score double, spans string, component_id long, kind string"
+WORDS = "alpha beta gamma delta omega sigma kappa lambda theta iota zeta rho".split()
+
+
+def docs_of(spark, rows):
+    """Documents with extra columns whose names clash with those the operators make."""
+    ship(spark)
+    return spark.createDataFrame([(i, t, 0.5, "x", 7, "k") for i, t in rows], SCHEMA)
+
+
+def odd(seed=3):
+    r = random.Random(seed)
+    prose = " ".join(r.choices(WORDS, k=300))
+    return [(0, None), (1, ""), (2, " \n\t"), (3, "one"), (4, prose), (4, prose), (5, prose), (None, prose),
+            (6, "x" * 60_000), (7, "é漢🙂 " * 30), (8, " ".join(r.choices(WORDS, k=5_000)))]
+
+
+EMPTY = []
+
+
+def brute_pii(text):
+    kinds = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+    def holds(kind, m):
+        d = re.sub("[^0-9]", "", m)
+        if kind == "ip":
+            return all(int(p) <= 255 for p in m.split("."))
+        if kind == "card":
+            s = sum(x if k % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for k, x in enumerate(map(int, d[::-1])))
+            return 13 <= len(d) <= 19 and s % 10 == 0
+        return kind == "email" or 9 <= len(d) <= 15
+
+    return [f"{k}:{m.start()}:{m.end()}" for k, p in kinds.items() for m in re.finditer(p, text) if holds(k, m.group())]
+
+
+def test_pii_matches_brute_force(spark):
+    r = random.Random(5)
+    parts = ["a@b.c", "a@b.c_x@d.e", "4111 1111 1111 1111", "4111-1111-1111-1112", "1.2.3.4.5.6.7.8", "300.1.1.1",
+             "0255.1.1.001", "+1 (988) 555-2485", "++12 345 678 90", "é🙂", " ", "x", "@", ".", "7", "GB82 WEST 1234 5698 7654 32"]
+    rows = [(100 + i, "".join(r.choices(parts, k=r.randint(0, 12)))) for i in range(300)] + odd()
+    got = pii.pii_report(docs_of(spark, rows)).collect()
+    assert len(got) == len(rows)
+    by = {g["doc_id"]: g for g in got}
+    for i, t in rows:
+        if i is not None:
+            want = brute_pii(t or "")
+            assert by[i]["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest(), t
+            assert by[i]["n_card"] == sum(w.startswith("card") for w in want)
+
+
+def test_pii_adds_checked_kinds_and_redacts(spark):
+    text = "IBAN GB82 WEST 1234 5698 7654 32, ssn 123-45-6789, not 987-65-4321000, mail me at a@b.cd"
+    df = docs_of(spark, [(1, text), (2, None), (3, "clean 123-45-6789")])
+    spans = {r["doc_id"]: r["spans"] for r in pii.pii_report(df).collect()}
+    assert "iban:5:32" in spans[1] and "ssn:38:49" in spans[1] and spans[3] == ""
+    out = {r["doc_id"]: r for r in pii.redact(df).collect()}
+    assert out[1]["text"] == "IBAN <iban>, ssn <ssn>, not 987-65-4321000, mail me at <email>"
+    assert out[2]["text"] is None and out[1]["kind"] == "k"
+
+
+def test_url_rules(spark):
+    rules = urlfilter.rules_frame(spark, [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/")])
+    urls = {1: "http://a.EXAMPLE.net/en/x", 2: "https://net", 3: "https://net/", 4: "x://notexample.com/de/1",
+            5: "x://www.example.com/de/1?q#f", 6: None, 7: "no scheme", 8: "http://example.net/english"}
+    pages = spark.createDataFrame([(k, u, "h") for k, u in [*urls.items(), (3, "https://net/"), (None, None)]],
+                                  "page_id long, url string, rule string")
+    got = urlfilter.judge(pages, rules).collect()
+    assert len(got) == 10
+    by = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in got}
+    assert by[1] == ("a.example.net", "/en/x", "example.net/en/", "allow")
+    assert by[2] == ("net", "", None, "allow") and by[3][2:] == ("net/", "block")
+    assert by[4][2] is None and by[5][2:] == ("example.com/de/", "block")
+    assert by[6] == ("", "", None, "allow") == by[7] and by[8][2:] == ("net/", "block")
+    assert urlfilter.judge(pages, rules.limit(0)).where("rule is not null").count() == 0
+    with pytest.raises(ValueError):
+        urlfilter.rules_frame(spark, [("block", "net")])
+
+
+def test_quality_rules_match_brute_force(spark):
+    r = random.Random(4)
+    rows = [(100 + i, "".join(r.choices(["a ", "b ", "c\n", "#x ", "\n", "| "], k=r.randint(0, 120)))) for i in range(60)]
+    rows += [x for x in odd() if x[0] is not None]
+    df = docs_of(spark, rows)
+    got = quality_rules.quality_rules(df, df.where("doc_id = 8").select("doc_id")).collect()
+    assert len(got) == len(rows)
+    by = {g["doc_id"]: g for g in got}
+    for i, t in rows:
+        t = t or ""
+        w = [x for x in re.split("[\x20\x09-\x0d]+", t) if x]
+        windows = list(zip(w, w[1:], w[2:]))
+        covered = {i + k for i, x in enumerate(windows) if windows.count(x) > 1 for k in range(3)} if len(w) < 400 else None
+        lines = [x for x in t.split("\n") if x.strip(" \t\x0b\x0c\r")]
+        g = by[i]
+        assert (g["n_words"], g["word_chars"]) == (len(w), sum(map(len, w)))
+        assert g["n_symbols"] == sum(c in "#*$%&|<>" for c in t) and g["n_dup_lines"] == len(lines) - len(set(lines))
+        if covered is not None:
+            assert g["n_repeat_words"] == len(covered)
+        assert not (g["base_failed"] and g["kept"])
+    assert quality_rules.quality_rules(df.limit(0), df.select("doc_id").limit(0)).count() == 0
+
+
+def test_packing_round_trip(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(packing.TOKENIZER)
+    rows = odd() + [(100 + i, " ".join(random.Random(i).choices(WORDS, k=i * 23 % 900))) for i in range(60)]
+    got = packing.pack_documents(docs_of(spark, rows), path).toPandas()
+    own = Tokenizer.from_file(path)
+    lengths = sum(len(own.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in rows)
+    assert got["length"].sum() == lengths and got["length"].max() <= 2048
+    for _, seq in got.groupby("sequence_id"):
+        seq = seq.sort_values("offset")
+        assert (seq["offset"] == seq["length"].cumsum() - seq["length"]).all() and seq["length"].sum() <= 2048
+    assert got["sequence_id"].nunique() <= 1.1 * lengths / 2048 + 1
+    assert packing.pack_documents(docs_of(spark, EMPTY), path).count() == 0
+
+
+def test_word_ids_equal_the_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(packing.TOKENIZER)
+    whole, words, r = Tokenizer.from_file(path), packing.WordIds(path), random.Random(1)
+    for _ in range(800):
+        s = "".join(r.choices("aB'.,s t1é́ß漢🙂\n\t-d!?;:llÀñ\x1c", k=r.randint(0, 30)))
+        assert np.frombuffer(words.of(s), "<u4").tolist() == whole.encode(s, add_special_tokens=False).ids, repr(s)
+
+
+def brute_removed(rows):
+    first, out = {}, {}
+    for i, t in sorted(((i, t) for i, t in rows if i is not None), key=lambda x: x[0]):
+        b = (t or "").encode()
+        mark, own = np.zeros(len(b), bool), []
+        for p in range(len(b) - 49):
+            if first.get(b[p:p + 50], i) < i:
+                mark[p:p + 50] = True
+            else:
+                own.append(b[p:p + 50])
+        for s in own:
+            first.setdefault(s, i)
+        out[i] = (len(b), int(mark.sum()), hashlib.sha256(np.frombuffer(b, "u1")[~mark].tobytes()).hexdigest())
+    return out
+
+
+def test_suffix_dedup_matches_brute_force(spark):
+    r = random.Random(9)
+    shared = ["".join(r.choices("ab ", k=r.choice((49, 50, 51, 90, 300)))) for _ in range(6)]
+    rows = [(i, "".join(r.choice(shared) if r.random() < 0.5 else "".join(r.choices("abcd ", k=70))
+                        for _ in range(r.randint(0, 6)))) for i in range(80)]
+    rows += [(200, None), (201, ""), (202, "x" * 5_000), (203, "x" * 5_000), (None, "x" * 60), (202, "x" * 5_000)]
+    got = suffix_dedup.dedup_report(docs_of(spark, rows)).collect()
+    assert len(got) == len(rows)
+    want = brute_removed([*dict.fromkeys(rows)])
+    for g in got:
+        if g["doc_id"] is not None:
+            assert (g["n_bytes"], g["n_removed"], g["kept_sha256"]) == want[g["doc_id"]]
+        else:
+            assert g["n_removed"] == 0
+    assert suffix_dedup.dedup_report(docs_of(spark, EMPTY)).count() == 0
+
+
+def test_blind_trie_orders_and_groups():
+    r = random.Random(2)
+    strings = ["".join(r.choices("ab", k=9)).encode() for _ in range(300)]
+    trie = suffix_dedup.BlindTrie()
+    for n, s in enumerate(strings):
+        trie.insert(n, s)
+    groups = trie.ordered()
+    assert [strings[g[0]] for g in groups] == sorted(set(strings))
+    assert all(strings[n] == strings[g[0]] for g in groups for n in g) and sum(map(len, groups)) == 300
+
+
+@pytest.mark.parametrize("size,percent", [(4, 85), (5, 80)])
+def test_jaccard_components_match_brute_force(spark, size, percent):
+    r = random.Random(size)
+    rows = odd()[:7] + odd()[8:]
+    for k in range(25):
+        base = r.choices([f"w{n}" for n in range(60)], k=r.choice((3, 4, 6, 20, 60, 150)))
+        for c in range(4):
+            w = list(base)
+            for _ in range(r.randint(0, 3)):
+                w[r.randrange(len(w))] = f"e{r.randrange(9)}"
+            rows.append((1000 + 10 * k + c, " ".join(w).title() if c == 1 else " ".join(w)))
+    sets = {}
+    for i, t in rows:
+        w = [x for x in re.split("[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or "")) if x]
+        sets[i] = {tuple(w[j:j + size]) for j in range(max(1, len(w) - size + 1))} if w else set()
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in sets:
+        for j in sets:
+            if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    got = jaccard.jaccard_components(docs_of(spark, [*rows, (None, "a b c d e")]), size, percent).collect()
+    assert len(got) == len(rows) + 1
+    for g in got:
+        if g["doc_id"] is not None:
+            assert (g["n_shingles"], g["component_id"]) == (len(sets[g["doc_id"]]), find(g["doc_id"]))
+
+
+def test_components(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(90, 80), (80, 85), (7, 7), (None, 3)], "a long, b long")
+    got = {r["node"]: r["component"] for r in components(links).collect()}
+    assert got == {i: 0 for i in range(41)} | {80: 80, 85: 80, 90: 80}
+    assert components(links.limit(0)).count() == 0
+
+
+def test_decontamination(spark):
+    r = random.Random(8)
+    items = [(k, " ".join(r.choices(WORDS, k=25)) + f" item {k} " + "".join(r.choices("qwertyu", k=30))) for k in range(8)]
+    bench = spark.createDataFrame([*items, items[0], (90, None), (91, "short")], "item_id long, text string")
+    edited = items[3][1][:40] + "#" + items[3][1][42:90] + "?!" + items[3][1][90:]
+    rows = odd() + [(50, "intro " + items[2][1].upper() + " end"), (51, edited), (52, items[4][1][:40])]
+    hits = decontaminate.benchmark_hits(docs_of(spark, rows), bench).collect()
+    assert {(h["doc_id"], h["item_id"]) for h in hits} == {(50, 2), (51, 3)}
+    by = {h["doc_id"]: h for h in hits}
+    assert (by[50]["start"], by[50]["end"], by[50]["edits"]) == (6, 6 + len(items[2][1]), 0)
+    assert by[51]["edits"] == 4
+    assert decontaminate.benchmark_hits(docs_of(spark, rows), bench.limit(0)).count() == 0
+    assert decontaminate.benchmark_hits(docs_of(spark, EMPTY), bench).count() == 0
+
+
+def test_toxicity_restores_and_scores(spark):
+    r = random.Random(6)
+    rows, labels = [], []
+    for i in range(300):
+        bad = i % 3 == 0
+        rows.append((i, " ".join(r.choices(WORDS, k=40) + ["nastyword"] * bad + r.choices(WORDS, k=20))))
+        labels.append((i, int(bad)))
+    df = docs_of(spark, rows + [(1000, None), (1001, ""), (None, "alpha")])
+    model = toxicity.fit(df, spark.createDataFrame([*labels, (5, None), (None, 1)], "doc_id long, toxic int"))
+    restore = toxicity.Restorer(model.letters).restore
+    assert restore("n4styw0rd") == "nastyword" and restore("n a s t y w o r d") == "nastyword"
+    assert restore("a@b.com 2024 12345") == "a@b.com 2024 12345"
+    scored = df.select("doc_id", toxicity.score_column(spark, model, df["text"]).alias("s")).collect()
+    by = {x["doc_id"]: x["s"] for x in scored}
+    assert all((by[i] >= 0.7) == bool(y) for i, y in labels) and by[1000] == by[1001] < 0.5
+    none = toxicity.fit(df, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert toxicity.Scorer(none).score("nastyword") == 0.0
+
+
+def test_quality_learns_and_handles_odd_texts(spark):
+    r = random.Random(7)
+    rows, labels = [], []
+    for i in range(200):
+        good = i % 2
+        rows.append((i, " ".join(r.choices(WORDS, k=80)) + "." if good else " ".join(w + "###" for w in r.choices(WORDS, k=80))))
+        labels.append((i, good))
+    df = docs_of(spark, rows + [x for x in odd() if x[0] in (1, 2, 6, 7)] + [(999, None)])
+    model = quality_mil.fit(df, spark.createDataFrame(labels, "doc_id long, quality int"))
+    by = {x["doc_id"]: x["s"] for x in df.where("doc_id > 8").select(
+        "doc_id", quality_mil.score_column(spark, model, F.col("text")).alias("s")).collect()}
+    assert np.mean([(by[i] >= 0.5) == bool(y) for i, y in labels if i > 8]) > 0.97 and 0 <= by[999] <= 1
+    flat = quality_mil.fit(df.limit(0), spark.createDataFrame([], "doc_id long, quality int"))
+    assert flat.scores(["x", ""]).tolist() == [0.5, 0.5]
+
+
+def test_html_extraction(spark):
+    ship(spark)
+    body = "Some words are here, and more of them follow. " * 6
+    page = (f"<html><body><nav><a href=/>Home</a></nav><article><h1>The title of it</h1><p>{body}<p>A&amp;B &lt;c&gt;</p>"
+            f"<aside>{body}</aside></article><div class=comments><p>{body}</p></div><footer>&copy; x</footer>")
+    rows = [(1, "u", page), (2, None, None), (3, "", ""), (4, "u", "<div>" * 2_000), (1, "u", page), (None, "u", "<p>x y z")]
+    pages = spark.createDataFrame([(*x, "t") for x in rows], "page_id long, url string, html string, text string")
+    out = html_main.extract(pages, html_main.fit(pages)).collect()
+    assert len(out) == len(rows)
+    by = {r["page_id"]: r for r in out}
+    assert by[1]["text"] == "The title of it\n" + body.strip() + "\nA&B <c>"
+    assert by[1]["n_chars"] == len(by[1]["text"]) and by[2]["text"] == by[3]["text"] == by[4]["text"] == ""
+    assert html_main.extract(pages.limit(0), html_main.fit(pages.limit(0))).count() == 0
+
+
+def test_pipeline_runs_end_to_end(spark, sf_small):
+    import corpus_pipeline
+    out = corpus_pipeline.run(spark, sf_small)
+    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert [n for n, _ in corpus_pipeline.STAGES][0] == "toxicity" and out.count() > 0
