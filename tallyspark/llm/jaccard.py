@@ -428,8 +428,12 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     matrix = (lists.select("doc", "part").join(members.select("doc", "grp"), "doc")
               .groupBy("part", "grp").agg(F.min("doc").alias("one"), F.max("doc").alias("other")))
     matrix = written(matrix, "matrix")
-    g, h = matrix.select("part", F.col("grp").alias("g")), matrix.select("part", F.col("grp").alias("h"))
-    shared = g.join(h, "part").where("g < h").groupBy("g", "h").agg(F.count("*").alias("shared"))
+    needed = matrix.join(group.select("grp", "need"), "grp")
+    g = needed.select("part", F.col("grp").alias("g"), F.col("need").alias("own"))
+    h = needed.select("part", F.col("grp").alias("h"), F.col("need").alias("its"))
+    shared = (g.join(h, "part").where("g < h")
+              .groupBy("g", "h").agg(F.count("*").alias("shared"), F.max(F.greatest("own", "its")).alias("least"))
+              .where("shared >= least").select("g", "h", "shared"))
     within = (matrix.where("one <> other").groupBy("grp").agg(F.count("*").alias("shared"))
               .select(F.col("grp").alias("g"), F.col("grp").alias("h"), "shared"))
     left = group.select(F.col("grp").alias("g"), F.col("need").alias("need_g"), F.col("lo").alias("lo_g"),

@@ -56,11 +56,12 @@ class WordIds:
     of ``_MARKS``, so the ids of a text are those of its words and marks in order.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.remembered = remembered
         self.known: dict[str, bytes] = {}  # words as they are written
         self.parts: dict[str, bytes] = {}  # words without marks, in lower case where that is safe; marks
 
@@ -73,7 +74,7 @@ class WordIds:
             else:
                 cut[word] = word.lower() if word.isascii() else word, ""
         parts = self.parts
-        if len(parts) > REMEMBERED:
+        if len(parts) > self.remembered:
             parts.clear()
         new = []
         for word in {p for pair in cut.values() for p in pair}:
@@ -96,7 +97,7 @@ class WordIds:
         if _SEPARATORS.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         known = self.known
-        if len(known) > REMEMBERED:
+        if len(known) > self.remembered:
             known.clear()
         words = text.split()
         found = [known.get(w) for w in words]
@@ -107,11 +108,13 @@ class WordIds:
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: int = CAPACITY,
-              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+              id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
     """The pieces of each document: its ids and ``end_id``, cut after every ``capacity`` ids."""
 
+    own = (tokenizer_path, remembered)
+
     def cut(frames):
-        ids_of = _workers.get(tokenizer_path) or _workers.setdefault(tokenizer_path, WordIds(tokenizer_path))
+        ids_of = _workers.get(own) or _workers.setdefault(own, WordIds(*own))
         end = np.array([end_id], "<u4").tobytes()
         step = 4 * capacity
         for frame in frames:
@@ -119,8 +122,8 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capaci
             for doc, text in zip(frame["doc_id"], frame["text"]):
                 raw = ids_of.of(text) + end
                 for piece, at in enumerate(range(0, len(raw), step)):
-                    own = raw[at:at + step]
-                    out.append((doc, piece, at // 4, len(own) // 4, zlib.crc32(own)))
+                    part = raw[at:at + step]
+                    out.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
             made = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             yield made.astype({"doc_id": "Int64"})
 
@@ -216,6 +219,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: int = CAPACITY,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
     """Tokenise, cut and pack; the pieces (a few numbers each) are stored once in between."""
-    return pack(written(tokenized(docs, tokenizer_path, end_id, capacity, id_col, text_col), "pieces"), capacity)
+    return pack(written(tokenized(docs, tokenizer_path, end_id, capacity, id_col, text_col, remembered),
+                        "pieces"), capacity)

@@ -15,6 +15,8 @@ from .common import fold_of, ship, table, unused, written
 
 #: Word shingles and similarity of the near-duplicate stage.
 WORDS, PERCENT = 5, 80
+#: Words that a tokenising worker remembers: fewer than alone, as the other stages' workers live on.
+REMEMBERED = 100_000
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,4 +61,4 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents and their places in sequences."""
     ship(spark)
-    return packing.pack_documents(docs, public_tokenizers.path(packing.TOKENIZER))
+    return packing.pack_documents(docs, public_tokenizers.path(packing.TOKENIZER), remembered=REMEMBERED)
