@@ -8,9 +8,10 @@ word shingles.  The join is exact:
    may link share a part's hash (``part_signatures`` says why none is missed).
    Equal sets of a task are represented by one of them before anything is shuffled.
 2. Sets that share fewer parts than a link needs are done.  Similar documents are put
-   together: a set joins the hub it shares most parts with, hubs join theirs, and such
-   a family is cut into groups of about ``GROUP``.  Comparing each set with its hub
-   gives the first links and components.
+   together: a set joins the hub it shares most parts with, hubs join theirs, families
+   join the one of a hub that is too far for a link, and such a family is cut into
+   groups of about ``GROUP``.  Comparing each set with its hub gives the first links
+   and components.
 3. The token-group matrix holds each group's unions: of the tokens (part hashes) in a
    table, of the shingles in the task that opens the group.  Linked sets share at least
    ``need`` parts, so two groups whose unions share fewer stay closed, and so do groups
@@ -360,6 +361,25 @@ def open_groups(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent:
     return rows.groupBy("bucket").applyInPandas(compare, "a long, b long")
 
 
+def in_families(members: DataFrame, family: DataFrame, loose: DataFrame) -> DataFrame:
+    """``members`` with the ``hub`` that names their family.
+
+    A family's smallest document has no hub to link with; where it has a looser one the
+    family joins that one's, and the same once more (hubs of a task have hubs themselves).
+    This only decides who is compared in a group, so no links are lost or made by it.
+    """
+    above = (loose.join(family, loose["hub"] == family["node"], "left")
+             .select(F.col("doc").alias("root"), F.coalesce("component", "hub").alias("to")))
+    above = written(above, "above")
+    again = above.select(F.col("root").alias("own"), F.col("to").alias("further"))
+    above = (above.join(again, above["to"] == again["own"], "left")
+             .select("root", F.coalesce("further", "to").alias("to")))
+    named = (members.join(family, members["doc"] == family["node"], "left")
+             .select("doc", "need", F.coalesce("component", "doc").alias("name")))
+    return (named.join(above, named["name"] == above["root"], "left")
+            .select("doc", "need", F.coalesce("to", "name").alias("hub")))
+
+
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row of ``docs``."""
@@ -388,8 +408,9 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
             .join(to_rep, "hub").where("rep <> doc"))
     best = (hubs.groupBy("doc", "rep").agg(F.sum("shared").alias("shared"), F.max("need").alias("need"))
             .groupBy("doc").agg(F.max(F.struct("shared", (-F.col("rep")).alias("r"), "need")).alias("m"))
-            .where("m.shared >= m.need").select("doc", (-F.col("m.r")).alias("hub")))
-    best = written(best, "hubs")
+            .select("doc", (-F.col("m.r")).alias("hub"), F.expr("m.shared >= m.need").alias("may_link")))
+    found_hubs = written(best, "hubs")
+    best, loose = found_hubs.where("may_link").select("doc", "hub"), found_hubs.where("not may_link")
     wanted = lists.select("doc").union(best.select("hub")).distinct()
 
     @F.pandas_udf("binary")
@@ -414,10 +435,8 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     sets = found_sets.select("doc", "shingles")
     first = written(verified(best.select(F.col("doc").alias("a"), F.col("hub").alias("b")), sets, percent), "links")
     near = components(first)
-    family = components(best, "doc", "hub")
     members = found_sets.select("doc", "need")
-    members = (members.join(family, members["doc"] == family["node"], "left")
-               .select("doc", "need", F.coalesce("component", "doc").alias("hub")))
+    members = in_families(members, components(best, "doc", "hub"), loose)
     members = members.join(members.groupBy("hub").agg(F.ceil(F.count("*") / GROUP).alias("cuts")), "hub")
     members = members.join(near, members["doc"] == near["node"], "left").select(
         "doc", "need", F.xxhash64("hub", F.pmod(F.xxhash64("doc"), F.col("cuts"))).alias("grp"),
