@@ -42,7 +42,7 @@ def run_kpi(spark: SparkSession, args) -> dict:
     settings = KpiJobSettings(country=_opt(args.country), bu=_opt(args.bu), source_system=_opt(args.source_system),
                               org_code=_opt(args.org_code), as_of=args.as_of, money=args.money, stage=args.stage)
     return run_kpi_job(_read(spark, args.transactions, args.format), _read(spark, args.external_ids, args.format),
-                       spec, settings, args.out, args.published)
+                       spec, settings, args.out, args.published, args.profile)
 
 
 def run_audit(spark: SparkSession, args) -> dict:
@@ -88,6 +88,7 @@ def build_parser() -> argparse.ArgumentParser:
     k.add_argument("--external-ids", required=True)
     k.add_argument("--out", required=True, help="where the mart is written (overwrite)")
     k.add_argument("--published", help="where the published rows are written (overwrite)")
+    k.add_argument("--profile", help="where the non-null profile is written (overwrite)")
     k.add_argument("--spec", help="JSON specification (KpiSpec.to_dict form); default: the 88 lifestyle KPIs")
     k.add_argument("--country", default="KSA")
     k.add_argument("--bu", default="fsn_new")

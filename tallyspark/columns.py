@@ -27,8 +27,6 @@ AUDIT_COLUMNS = [
     "hash", "dag_name", "source_tables", "target_table", "status", "start_ts",
     "end_ts", "source_count", "target_count", "trx_date", "run_date",
 ]
-AUDIT_OLD_COLUMNS = ["dag_name", "table_name", "type", "load_date", "count", "status", "epoch_time"]
-AUDIT_SUMMARY_COLUMNS = ["table_name", "count", "dag_name", "status", "type", "load_date"]
 
 # profile output
 PROFILE_COLUMN = "column_name"

@@ -53,8 +53,10 @@ def audit_rows(recon: DataFrame, dag_name: str, source_tables, target_table: str
 
     * one row per reconciled date; a ``failed`` run records target count 0;
     * no increments: exactly one row with both counts 0 and a NULL date;
-    * ``hash``: SHA-256 of dag, tables, status, timestamps, counts and date, so
-      the same run gives the same hash.
+    * ``hash``: SHA-256 of dag, tables, status, timestamps, counts and both dates,
+      so the same run gives the same hash.
+
+    ``recon`` is read twice (rows and marker): hand in a stored one, as it has one row per date.
     """
     if not isinstance(source_tables, str):
         source_tables = ",".join(source_tables)
@@ -81,7 +83,7 @@ def audit_rows(recon: DataFrame, dag_name: str, source_tables, target_table: str
         _date(run_date).alias("run_date"),
     )
     hashed = row_hash(*[F.col(c) for c in ("dag_name", "source_tables", "target_table", "status", "start_ts",
-                                          "end_ts", "source_count", "target_count", "trx_date")])
+                                          "end_ts", "source_count", "target_count", "trx_date", "run_date")])
     return base.select(hashed.alias("hash"), *[c for c in C.AUDIT_COLUMNS if c != "hash"])
 
 

@@ -8,10 +8,12 @@ recomputing the mart.
 
 from __future__ import annotations
 
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from tallyspark import columns as C
 from tallyspark.operators.business_unit import select_business_unit
 from tallyspark.operators.kpi import kpi_mart
 from tallyspark.operators.publish import publish_external
@@ -20,6 +22,9 @@ from tallyspark.plans.lifestyle_spec import (LIFESTYLE_BU, LIFESTYLE_COUNTRY, LI
                                              LIFESTYLE_SOURCE_SYSTEM)
 from tallyspark.plans.spec import KpiSpec
 from tallyspark.sources.sinks import write_kpi
+from tallyspark.sources.staging import staged_table
+
+_USED = (C.CUSTOMER, C.TRX_DATE, C.AMOUNT, C.TXN_ID, C.BRAND)
 
 
 @dataclass(frozen=True)
@@ -47,18 +52,25 @@ def build_kpi_outputs(trx: DataFrame, ext_map: DataFrame, spec: KpiSpec, setting
 
 
 def run_kpi_job(trx: DataFrame, ext_map: DataFrame, spec: KpiSpec, settings: KpiJobSettings,
-                mart_path: str, published_path: str | None = None) -> dict:
+                mart_path: str, published_path: str | None = None, profile_path: str | None = None) -> dict:
     """Write the mart (overwrite), then profile and publish from the written table.
 
     Returns ``mart``, ``profile`` and ``published`` over the written data; the
-    published rows are written too when ``published_path`` is given.
+    published rows and the profile are written too when their paths are given.  With
+    ``settings.stage`` the staged business-unit rows are removed once the mart is there.
     """
     spark = trx.sparkSession
-    built = build_kpi_outputs(trx, ext_map, spec, settings)
-    write_kpi(built["mart"], mart_path)
-    mart = spark.read.schema(built["mart"].schema).parquet(mart_path)
+    bu = select_business_unit(trx, settings.country, settings.bu, settings.source_system, settings.as_of)
+    with staged_table(bu.select(*_USED), "kpi-rows") if settings.stage else nullcontext(bu) as rows:
+        built = round_floats(kpi_mart(rows, spec, money=settings.money), settings.round_scale)
+        write_kpi(built, mart_path)
+    mart = spark.read.schema(built.schema).parquet(mart_path)
     published = publish_external(mart, ext_map, settings.org_code)
     if published_path is not None:
         write_kpi(published, published_path)
         published = spark.read.parquet(published_path)
-    return {"mart": mart, "profile": non_null_profile(mart), "published": published}
+    profile = non_null_profile(mart)
+    if profile_path is not None:
+        write_kpi(profile, profile_path)
+        profile = spark.read.parquet(profile_path)
+    return {"mart": mart, "profile": profile, "published": published}

@@ -20,7 +20,8 @@ files:
 ================================  =======================================================
 
 Table names and queries are resolved by ``spark.table`` / ``spark.sql`` in the
-session's catalog.  Nothing is collected: the runner returns lazy DataFrames.
+session's catalog.  Nothing is collected: the runner writes the reconciliation (one
+row per date) to the shared folder and returns DataFrames over it.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from pyspark.sql import SparkSession
 from tallyspark.operators.audit import (CountSource, audit_rows, audit_summary, table_count_audit)
 from tallyspark.operators.increments import increment_dates, increment_dates_sql
 from tallyspark.operators.reconcile import reconcile, reconcile_source_dates
+from tallyspark.sources.staging import stage_table
 
 
 def unset(value) -> bool:
@@ -144,6 +146,7 @@ def run_load_audit(spark: SparkSession, cfg: LoadAuditConfig, status: str, start
         recon = reconcile(inc, src, tgt, cfg.source_column, cfg.target_column, cfg.source_filter,
                           cfg.target_filter, src_count, tgt_count,
                           prune_to_range=cfg.increment_query is not None)
+    recon = stage_table(recon, "reconciliation")  # one row per date; the audit rows read it twice
     out = {
         "increments": inc,
         "reconciliation": recon,

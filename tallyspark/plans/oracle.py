@@ -4,14 +4,33 @@ Written independently of the Spark operators and in the KPI job's own shape:
 every KPI column is its own filtered, grouped subquery left-joined onto the
 customer key set, the anchor a separate ``max``.  The Spark side computes the
 same result with one two-stage aggregation, so agreement checks the rewrite.
-The oracle walks the fixed tables of the specification itself rather than the
-specification's cell generator.
+Nothing is imported from the library: windows, names and run parameters are
+written out here once more, so a wrong one on either side shows.
 """
 
 from __future__ import annotations
 
-from tallyspark.plans.catalog import AUDIT, SETTINGS
-from tallyspark.plans.lifestyle_spec import FAMILIES, LIFESTYLE_BRANDS, NAME_OVERRIDES
+# Families (key, months, measures with their column names), brand codes, odd names.
+_AVG_NAME = "average_customer_spend_lifestyle_{}_last_%s_months_ksa"
+_SUM_NAME = "total_spend_lifestyle_{}_last_%s_months_ksa"
+ORACLE_FAMILIES = [
+    ("avg_spend_6m", 6, [("avg", _AVG_NAME % 6)]),
+    ("avg_spend_3m", 3, [("avg", _AVG_NAME % 3)]),
+    ("avg_spend_1m", 1, [("avg", _AVG_NAME % 1)]),
+    ("avg_spend_2m", 2, [("avg", _AVG_NAME % 2)]),
+    ("total_spend_3m", 3, [("sum", _SUM_NAME % 3)]),
+    ("total_spend_6m", 6, [("sum", _SUM_NAME % 6)]),
+    ("total_spend_12m", 12, [("sum", _SUM_NAME % 12)]),
+    ("transactions_lifetime", None, [("count", "total_transactions_lifestyle_{}_lifetime_ksa")]),
+    ("avg_transaction_value_12m", 12, [("avg", "average_transaction_value_lifestyle_{}_last_12_months_ksa")]),
+    ("status_6m", 6, [("active", "lifestyle_{}_status_active_ksa"), ("inactive", "lifestyle_{}_status_inactive_ksa")]),
+]
+ORACLE_CODES = ["that", "lll", "als", "hs", "anb", "cnb", "cb2", "ffl"]
+ODD_NAMES = {f"average_customer_spend_lifestyle_ffl_last_{n}_months_ksa" for n in (1, 2, 3)}  # these begin with "ffl_"
+SETTINGS = {"country": "ASIA", "as_of": "2001-06-30", "bu": "N", "source_system": "O", "org_code": "BUILDING"}
+AUDIT = {"dag_name": "events_load", "source_tables": ["events"], "target_table": "events_loaded",
+         "start_ts": "2024-02-01 05:00:00 AM", "end_ts": "2024-02-01 05:20:00 AM", "run_date": "2024-02-01",
+         "epoch_time": 1706763600}
 
 KEY = "idi_counterparty_gr"
 
@@ -46,16 +65,15 @@ def _bu_sql(with_bu: bool = False, all_regions: bool = False) -> str:
 def _oracle_cells(measures=None, family_keys=None):
     """(name, measure, months, brand literal) in column order, from the fixed tables."""
     out = []
-    for fam in FAMILIES:
-        if family_keys is not None and fam.key not in family_keys:
+    for key, months, outputs in ORACLE_FAMILIES:
+        if family_keys is not None and key not in family_keys:
             continue
-        for i, brand in enumerate(LIFESTYLE_BRANDS):
-            literal = f"Brand#{i + 1}"
-            for measure, template in fam.outputs:
+        for i, code in enumerate(ORACLE_CODES):
+            for measure, template in outputs:
                 if measures is not None and measure not in measures:
                     continue
-                name = NAME_OVERRIDES.get((fam.key, brand.code, measure), template.replace("{code}", brand.code))
-                out.append((name, measure, fam.months, literal))
+                name = template.format(code)
+                out.append(("ffl_" + name if name in ODD_NAMES else name, measure, months, f"Brand#{i + 1}"))
     return out
 
 
@@ -176,6 +194,7 @@ def kpi_oracle() -> dict:
         "kpi_non_null_profile": _profile_sql(),
         "external_id_map": _pairs_sql(),
         "kpi_published": _published_sql(),
+        "kpi_mart_double": mart_sql(money="double").replace("l.l_extendedprice AS", "l.l_quantity AS"),
     }
 
 
@@ -209,12 +228,10 @@ LEFT JOIN (SELECT event_date AS d, count(*) AS n FROM ({_TGT}) e{tf} GROUP BY ev
 """
 
 
-def _audit_sql(status: str, inc_where: str = "", tgt_only_filter: bool = False,
-               target_table: str | None = None) -> str:
-    a = dict(AUDIT)
-    if target_table is not None:
-        a["target_table"] = target_table
-    recon = _recon_sql("daily", inc_where, tgt_only_filter)
+def _audit_sql(status: str, inc_where: str = "", tgt_only_filter: bool = False, recon: str | None = None,
+               **changed) -> str:
+    a = AUDIT | changed
+    recon = recon or _recon_sql("daily", inc_where, tgt_only_filter)
     tgt = "CAST(0 AS BIGINT)" if status == "failed" else "target_count"
     rows = f"""
 SELECT '{a['dag_name']}' AS dag_name, '{",".join(a['source_tables'])}' AS source_tables,
@@ -225,11 +242,37 @@ FROM (SELECT * FROM ({recon}) r
       SELECT CAST(NULL AS DATE), CAST(0 AS BIGINT), CAST(0 AS BIGINT) WHERE NOT EXISTS (SELECT 1 FROM ({recon}) r2)) x
 """
     fields = ["dag_name", "source_tables", "target_table", "status", "start_ts", "end_ts", "source_count",
-              "target_count", "trx_date"]
+              "target_count", "trx_date", "run_date"]
     h = "sha256(concat_ws('|', " + ", ".join(f"coalesce(CAST({f} AS VARCHAR), '')" for f in fields) + "))"
     return f"SELECT {h} AS hash, * FROM ({rows}) y"
 
 
+def _shipped_recon_sql() -> str:
+    n = f"(SELECT count(*) FROM ({_SRC}) e WHERE event_type IN ('click', 'purchase'))"
+    inc = _inc_sql("event_type = 'purchase' AND value > 40")
+    return f"""
+SELECT inc.trx_date, CAST({n} AS BIGINT) AS source_count, CAST(coalesce(t.n, 0) AS BIGINT) AS target_count
+FROM ({inc}) inc
+LEFT JOIN (SELECT event_date AS d, count(*) AS n FROM ({_TGT}) e GROUP BY event_date) t ON inc.trx_date = t.d
+"""
+
+
+def _stream_sql() -> str:
+    """Run one lands the days before the 16th and that day's clicks, run two the rest; run three has nothing."""
+    day = "DATE '2024-01-16'"
+    early = f"(event_date < {day} OR (event_date = {day} AND event_type = 'click'))"
+
+    def run(landed_now: str, landed_in_all: str) -> str:
+        return f"""
+SELECT inc.d AS trx_date, CAST((SELECT count(*) FROM ({_SRC}) s WHERE s.event_date = inc.d) AS BIGINT) AS source_count,
+       CAST((SELECT count(*) FROM ({_TGT}) t WHERE t.event_date = inc.d AND {landed_in_all}) AS BIGINT) AS target_count
+FROM (SELECT DISTINCT event_date AS d FROM ({_TGT}) t WHERE event_date IS NOT NULL AND {landed_now}) inc"""
+
+    runs = [run(early, early), run(f"NOT coalesce({early}, false)", "true"),
+            "SELECT CAST(NULL AS DATE) AS trx_date, CAST(0 AS BIGINT) AS source_count, CAST(0 AS BIGINT) AS target_count"]
+    return " UNION ALL ".join(_audit_sql("Succeeded", recon=r) for r in runs)
+
+
 def _count_tables_sql() -> str:
     return (f"SELECT 'events' AS table_name, 'src' AS type, count(*) AS count FROM ({_ACTIVE}) a "
             f"UNION ALL SELECT 'events_loaded', 'tgt', count(*) FROM ({_TGT}) b")
@@ -253,6 +296,10 @@ LEFT JOIN (SELECT event_date AS d, count(*) AS n FROM ({_TGT}) e WHERE value >=
         "audit_rows": _audit_sql("Succeeded"),
         "audit_rows_failed": _audit_sql("failed"),
         "audit_rows_empty": _audit_sql("Succeeded", "event_type = 'refund'"),
+        "audit_rows_timestamps": _audit_sql("Succeeded", start_ts="2024-02-01 09:05:07 AM",
+                                            end_ts="2024-02-01 17:45:00 PM"),
+        "config_audit_shipped": _audit_sql("Succeeded", recon=_shipped_recon_sql(),
+                                           target_table="tallyspark_events_loaded"),
         "table_count_audit": f"""
 SELECT '{a['dag_name']}' AS dag_name, table_name, type, DATE '{a['run_date']}' AS load_date,
        CAST(count AS BIGINT) AS count, 'success' AS status, CAST({a['epoch_time']} AS BIGINT) AS epoch_time
@@ -278,10 +325,12 @@ def sink_oracle() -> dict:
               f"FROM ({_SRC}) e GROUP BY event_date, event_type")
     return {
         "export_sql": export,
-        "landing_roundtrip": f"SELECT *, DATE '2024-02-01' AS run_date FROM ({export}) x",
+        "landing_roundtrip": f"SELECT *, unnest([DATE '2024-02-01', DATE '2024-02-02']) AS run_date FROM ({export}) x",
         "kpi_overwrite_roundtrip": mart_sql(),
-        "audit_append_roundtrip": f"{_audit_sql('Succeeded')} UNION ALL {_audit_sql('failed')}",
-        "landing_stream_audit": _audit_sql("Succeeded"),
+        "audit_append_roundtrip": " UNION ALL ".join(f"SELECT *, '{run}' AS run_id FROM ({sql}) x" for run, sql in (
+            ("run-1", _audit_sql("Succeeded")), ("run-2", _audit_sql("failed")),
+            ("run-1", _audit_sql("Succeeded", run_date="2024-02-02")))),
+        "landing_stream_audit": _stream_sql(),
         "kpi_job_roundtrip": _published_sql(),
         "table_count_audit_roundtrip": audit_oracle()["table_count_audit"],
     }

@@ -83,6 +83,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def discard_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``scratch_path`` named, through the file system it lies in; others are refused."""
+    if not path.startswith(os.path.join(checkpoint_root(spark), "tallyspark") + os.sep):
+        raise ValueError(f"not a scratch folder: {path}")
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder for one output."""
     return os.path.join(checkpoint_root(spark), "tallyspark", name, uuid.uuid4().hex)

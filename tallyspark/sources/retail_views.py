@@ -45,10 +45,10 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return _tables.read_table(spark, base, name, schema=SCHEMAS.get(name))
 
 
-def transactions(spark: SparkSession, base: str) -> DataFrame:
-    """The transactions fact over the supplied tables, with the conformed column names."""
+def transactions(spark: SparkSession, base: str, amount: str = "l_extendedprice") -> DataFrame:
+    """The transactions fact over the supplied tables, with the conformed column names; ``amount`` is a line column."""
     line = read_table(spark, base, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_extendedprice", "l_returnflag", "l_linestatus")
+        "l_orderkey", "l_partkey", amount, "l_returnflag", "l_linestatus")
     orders = read_table(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = read_table(spark, base, "part").select("p_partkey", "p_brand")
     customer = read_table(spark, base, "customer").select("c_custkey", "c_nationkey")
@@ -67,7 +67,7 @@ def transactions(spark: SparkSession, base: str) -> DataFrame:
         .select(
             F.col("o_custkey").alias(C.CUSTOMER),
             F.col("o_orderdate").alias(C.TRX_DATE),
-            F.col("l_extendedprice").alias(C.AMOUNT),
+            F.col(amount).alias(C.AMOUNT),
             F.col("l_orderkey").alias(C.TXN_ID),
             F.col("l_returnflag").alias(C.BU),
             F.col("l_linestatus").alias(C.SOURCE_SYSTEM),

@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.session import scratch_path
+from tallyspark.session import discard_scratch, scratch_path
 
 RUN_DATE = "run_date"
 RUN_ID = "run_id"
@@ -34,6 +34,7 @@ def write_kpi(df: DataFrame, path: str) -> str:
     staged = scratch_path(df.sparkSession, "kpi-next")
     df.write.parquet(staged)
     df.sparkSession.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(path)
+    discard_scratch(df.sparkSession, staged)
     return path
 
 

@@ -9,15 +9,33 @@ pass reads only the columns it needs from a columnar file.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 
-from tallyspark.session import scratch_path
+from tallyspark.session import discard_scratch, scratch_path
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and return the read-back table."""
-    spark = df.sparkSession
-    path = scratch_path(spark, f"stage-{name}")
+    return _store(df, scratch_path(df.sparkSession, f"stage-{name}"))
+
+
+@contextmanager
+def staged_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``stage_table`` for one block: the staged copy is removed when the block ends.
+
+    Everything that reads it must be written inside the block.
+    """
+    path = scratch_path(df.sparkSession, f"stage-{name}")
+    try:
+        yield _store(df, path)
+    finally:
+        discard_scratch(df.sparkSession, path)
+
+
+def _store(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     # the schema is known: reading it back needs no footer-inference job
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

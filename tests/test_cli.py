@@ -34,11 +34,12 @@ def test_cli_audit(spark, tmp_path):
     cfg.write_text(json.dumps({"d_config": {"default_args": {"params": params}}}))
     args = ["audit", "--config", str(cfg), "--dag", "d", "--table", f"s_src={root}/src", "--table", f"s_tgt={root}/tgt",
             "--start-ts", "a", "--end-ts", "b", "--run-date", "2024-02-01", "--audit-path", f"{root}/audit",
-            "--audit-old-path", f"{root}/audit_old"]
+            "--audit-old-path", f"{root}/audit_old", "--run-id", "r1"]
     main(args)
     main(args)  # a retried run adds no rows
     rows = {r["trx_date"]: (r["source_count"], r["target_count"]) for r in spark.read.parquet(f"{root}/audit").collect()}
     assert rows == {d1: (2, 1), d2: (1, 0)}
+    assert spark.read.parquet(f"{root}/audit").count() == 2
     assert spark.read.parquet(f"{root}/audit_old").count() == 2
 
 

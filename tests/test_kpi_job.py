@@ -1,9 +1,12 @@
 import datetime as dt
+import os
+
+import pytest
 
 from tallyspark import columns as C
 from tallyspark.plans import LIFESTYLE_SPEC
 from tallyspark.plans.kpi_job import KpiJobSettings, build_kpi_outputs, run_kpi_job
-from tallyspark.session import scratch_path
+from tallyspark.session import checkpoint_root, discard_scratch, scratch_path
 
 from fixtures import TRX_SCHEMA
 
@@ -48,3 +51,20 @@ def test_run_writes_mart_and_publishes_from_it(spark):
     assert pub.columns[-2:] == [C.GCR_ID, C.CUSTOMER] and len(pub.columns) == 90
     assert sorted(r[C.CUSTOMER] for r in pub.collect()) == ["X1", "X2"]
     assert spark.read.parquet(f"{root}/mart").count() == 2
+
+
+def test_staged_rows_are_removed_after_the_job(spark):
+    kept = [os.path.join(checkpoint_root(spark), "tallyspark", name) for name in ("stage-kpi-rows", "kpi-next")]
+    before = [set(os.listdir(f)) if os.path.isdir(f) else set() for f in kept]
+    root = scratch_path(spark, "t-kpi-staged")
+    out = run_kpi_job(_trx(spark), _ext(spark), LIFESTYLE_SPEC, KpiJobSettings(as_of="2001-01-01", stage=True),
+                      f"{root}/mart", f"{root}/published", f"{root}/profile")
+    assert sorted(r[C.CUSTOMER] for r in out["published"].collect()) == ["X1", "X2"]
+    profile = {r[C.PROFILE_COLUMN]: r[C.PROFILE_COUNT] for r in spark.read.parquet(f"{root}/profile").collect()}
+    assert profile[C.CUSTOMER] == 2
+    assert [set(os.listdir(f)) - b for f, b in zip(kept, before)] == [set(), set()]
+
+
+def test_only_scratch_folders_can_be_discarded(spark, tmp_path):
+    with pytest.raises(ValueError):
+        discard_scratch(spark, str(tmp_path))

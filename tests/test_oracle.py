@@ -1,18 +1,13 @@
 """Every registered query against its DuckDB oracle on the smallest supplied tables."""
 
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-import __spark_entry__ as E  # noqa: E402
+from tallyspark.plans import catalog, oracle
 
 duckdb = pytest.importorskip("duckdb")
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-QUERIES = sorted(E.queries())
+QUERIES = sorted(catalog.queries())
 
 
 def _norm(v):
@@ -40,8 +35,8 @@ def duck(sf_small):
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_oracle(spark, sf_small, duck, name):
-    df = E.queries()[name](spark, sf_small)
-    sql = E.oracle_sql()[name]
+    df = catalog.queries()[name](spark, sf_small)
+    sql = oracle.oracle_sql()[name]
     cur = duck.execute(sql)
     ocols = [d[0] for d in cur.description]
     got = _canon(df.columns, [tuple(r) for r in df.collect()])
