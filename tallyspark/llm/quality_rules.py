@@ -5,8 +5,8 @@ n-grams: one of trusted documents, one of the whole raw corpus.  N-grams are
 words, and pairs of word shapes (each run of letters written ``a``), hashed into ``BUCKETS``.  A text's score is the mean of
 ``log p_trusted - log p_raw`` over its n-grams; it is kept when it passes the
 counting rules and its score is at least ``LEAST_SCORE`` (deterministic: no
-draws).  The two tables have ``BUCKETS`` counts at any corpus size and the raw
-one is made from all documents; the trusted one from a bounded sample (``MOST_TRUSTED``).
+draws).  The two tables have ``BUCKETS`` counts at any corpus size; the raw one
+is made from all documents, the trusted one from all trusted documents.
 
 Defined cases: null and empty texts have no words, fail the word-count rule and
 are not kept; every row gives one row (repeated rows, null ids); other columns
@@ -30,8 +30,6 @@ LEAST_WORDS = 50
 MOST_REPEATED = 50
 BUCKETS = 1 << 14
 LEAST_SCORE = -0.15
-#: Trusted documents that make the target's counts, at most (those with the smallest id hash).
-MOST_TRUSTED = 20_000
 #: Added to each bucket's count.
 SMOOTHING = 1.0
 
@@ -79,16 +77,14 @@ def with_buckets(df: DataFrame, n: int = BUCKETS) -> DataFrame:
     return f.select(*keep, F.concat(single, pairs).alias("buckets"))
 
 
-def ratio_table(docs: DataFrame, trusted: DataFrame, n: int = BUCKETS, smoothing: float = SMOOTHING,
-                most_trusted: int = MOST_TRUSTED) -> list[float]:
+def ratio_table(docs: DataFrame, trusted: DataFrame, n: int = BUCKETS, smoothing: float = SMOOTHING) -> list[float]:
     """``log p_trusted - log p_raw`` of each bucket.
 
-    ``docs`` has ``doc_id, text`` and counts in full; of the ids in ``trusted`` those
-    ``most_trusted`` with the smallest hash are taken.  One aggregate of ``n`` rows reaches the driver.
+    ``docs`` has ``doc_id, text`` and counts in full, as do all its rows whose id is in
+    ``trusted``.  One aggregate of ``n`` rows reaches the driver.
     """
-    ids = (trusted.select(F.col("doc_id").alias("t_id")).distinct()
-           .orderBy(F.xxhash64("t_id"), "t_id").limit(most_trusted))
-    f = docs.join(F.broadcast(ids), docs["doc_id"] == ids["t_id"], "left")  # bounded by most_trusted
+    ids = trusted.select(F.col("doc_id").alias("t_id")).where("t_id is not null").distinct()
+    f = docs.join(ids.hint("merge"), docs["doc_id"] == ids["t_id"], "left")  # one plan at any size
     f = with_buckets(f.select(F.col("t_id").isNotNull().alias("good"), "text", words(F.col("text")).alias("words")), n)
     counts = (f.select("good", F.explode("buckets").alias("bucket")).groupBy("bucket")
               .agg(F.count("*").alias("raw"), F.count_if("good").alias("target")).collect())

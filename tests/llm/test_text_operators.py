@@ -115,6 +115,13 @@ def test_quality_rules_match_brute_force(spark):
     assert quality_rules.quality_rules(df.limit(0), df.select("doc_id").limit(0)).count() == 0
 
 
+def test_quality_rules_count_every_trusted_document(spark):
+    docs = spark.range(25_000).selectExpr("id as doc_id", "concat('w', id, ' x', id) as text")
+    everyone = docs.select("doc_id").unionByName(docs.select("doc_id"))
+    # where all are trusted, and named twice, both tables hold the same counts
+    assert quality_rules.ratio_table(docs, everyone) == [0.0] * quality_rules.BUCKETS
+
+
 def test_packing_round_trip(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
