@@ -236,7 +236,8 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
 
     def hits_of(chunk: int) -> DataFrame:
         rows = items.where(F.pmod(F.xxhash64("item_id", "item"), F.lit(chunks)) == chunk).collect()
-        held = spark.sparkContext.broadcast(sorted((r["item_id"], r["item"]) for r in rows))
+        held = spark.sparkContext.broadcast(sorted(
+            ((r["item_id"], r["item"]) for r in rows), key=lambda x: (x[0] is None, x[0] or 0, x[1])))
 
         def find(frames):
             index = Index(held.value)

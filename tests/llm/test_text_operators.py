@@ -248,6 +248,16 @@ def test_decontamination(spark):
     assert decontaminate.benchmark_hits(docs_of(spark, EMPTY), bench).count() == 0
 
 
+def test_decontamination_keeps_null_item_ids(spark):
+    r = random.Random(12)
+    items = [(k, " ".join(r.choices(WORDS, k=12)) + f" item {n}") for n, k in enumerate((3, None, 1, None))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(n, "intro " + t) for n, (_, t) in enumerate(items)] + [(None, items[1][1])]
+    hits = decontaminate.benchmark_hits(docs_of(spark, rows), bench).collect()
+    assert sorted(((h["doc_id"], h["item_id"]) for h in hits), key=str) == sorted(
+        [(0, 3), (1, None), (2, 1), (3, None), (None, None)], key=str)
+
+
 def test_toxicity_restores_and_scores(spark):
     r = random.Random(6)
     rows, labels = [], []
