@@ -3,8 +3,10 @@
 1. ``character_model`` counts character trigrams over all documents (one row per
    trigram of a fixed alphabet reaches the driver).
 2. ``Restorer`` finds disguised spans (digits or symbols inside words, letters
-   spelled with separators, repeated letters), builds the lattice of letters each
-   may stand for, and takes the Viterbi path under the character model.
+   and symbols spelled with separators, doubled and repeated letters), builds the
+   lattice of letters each may stand for, and takes the Viterbi path under the
+   character model.  Where a span is ambiguous (a letter truly double, a sign that
+   is punctuation, an e-mail address) the other readings are scored as well.
 3. ``fit`` learns weights of words and word beginnings from labelled documents, as
    a lower bound of their log odds, and a logistic score over a document's
    strongest words.  It uses at most ``most_labelled`` labelled documents (those
@@ -57,12 +59,19 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 _SUBSTITUTED = -1.0  # log cost of writing a letter as one of these
 _REPEATED = -0.5  # of writing a letter more than once
 _SIGN = re.compile("[0-9@$!|+(€£]")
-_MIXED = re.compile(r"(?<![\w@$!|+(€£.])(?![^\s@]*@[^\s@]+\.[A-Za-z])(?=[^\s]{0,40}[^\W\d_])[^\W_]*(?:[0-9@$!|+(€£][0-9@$!|+(€£]?[^\W\d_]+)+"
+_EMAIL = r"[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+(?:[a-z]{2,}|[A-Z]{2,})(?![\w@])"
+_MIXED = re.compile(r"(?<![\w@$!|+(€£.])(?!" + _EMAIL + r")(?=[^\s]{0,40}[^\W\d_])[^\W_]*"
+                    r"(?:(?:[0-9@$!|+(€£][0-9@$!|+(€£]?|[@$!|€£]{3})[^\W\d_]+)+"
                     r"(?:[0-9@$!|€£]{1,2}(?![\w@$!|€£]))?")
-_TAIL = re.compile(r"(?<![\w@$!|])[^\W\d_]{2,}[0-9@$!|€£]{1,2}(?![\w@$!|€£.])")
-_SPACED = re.compile(r"(?<!\w)(?:[^\W_][ .\-_*]{1,2}){3,}[^\W_](?!\w)")
-_RUNS = re.compile(r"([^\W\d_])\1\1+")
-_TOKEN = re.compile(r"\w+")
+_TAIL = re.compile(r"(?<![\w@$!|])(?:[^\W\d_]{2,}[0-9@$!|€£]{1,2}|(?:[^\W\d_]|@)[0-9@$!|€£]{2})"
+                   r"(?![\w@$!|€£]|\.\w)")
+_SPACED = re.compile(r"(?<!\w)(?:[\w@$!|+(€£](?<!_)[ .\-_*]{1,2}){2,}[\w@$!|+(€£](?<!_)(?!\w)")
+_BETWEEN = re.compile(r"[ .\-_*]")
+#: Signs that are punctuation in plain text: what they part is read on its own as well.
+_PARTING = re.compile(r"[!|+(]")
+_DOMAIN = re.compile(r"@[^\W_]+(?=[.-])")
+_LOCAL = re.compile(r"[^\W_]{1,64}$")
+_DOUBLED = re.compile(r"([^\W\d_])\1")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -101,22 +110,47 @@ class Restorer:
 
     def __init__(self, model: np.ndarray):
         self.model = model
-        self.known: dict[str, str] = {}
+        self.known: dict[str, tuple[str, ...]] = {}
 
     def decode(self, span: str) -> str:
-        """Viterbi over the span's lattice; states are the last two letters."""
+        """The most likely spelling."""
+        return self.readings(span)[0]
+
+    def readings(self, span: str) -> tuple[str, ...]:
+        """The most likely spelling; then that with double letters kept, and those of the parts between signs."""
         if span in self.known:
             return self.known[span]
+        plain = _BETWEEN.sub("", span.lower())
+        found = [self._path(plain)]
+        if found[0] != plain and any(n > 1 for _, n in _runs(plain)):
+            found.append(self._path(plain, double=True))
+        parts = _PARTING.split(plain)
+        if len(parts) > 1:
+            found += [self._path(x) for x in parts if len(x) > 2]
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        self.known[span] = out = tuple(dict.fromkeys(found))
+        return out
+
+    def _path(self, plain: str, double: bool = False) -> str:
+        """Viterbi over the lattice of ``plain``; states are the last two letters.  ``double``: runs are two letters."""
         best = {(0, 0): (0.0, None)}  # score, and the path as (path before, letters)
-        for ch, n in _runs(re.sub(r"[ .\-_*]", "", span.lower())):
+        for ch, n in _runs(plain):
             options = []
             for letter in (LEET[ch] if ch in LEET else ch):
                 cost = _SUBSTITUTED if ch in LEET else 0.0
-                options.append((letter, cost + (_REPEATED if n > 1 else 0.0)))
+                if n == 1 or not double:
+                    options.append((letter, cost + (_REPEATED if n > 1 else 0.0)))
                 if n > 1:
                     options.append((letter * 2, cost + (_REPEATED if n > 2 else 0.0)))
             if not options:
                 continue
+            if len(options) == 1 and len(best) == 1:  # nothing to choose: one score for all paths
+                ((a, b), (score, out)), = best.items()
+                for c in options[0][0]:
+                    a, b = b, int(_codes[min(ord(c), 0x24F)])
+                best = {(a, b): (score, (out, options[0][0]))}
+                continue
             step: dict = {}
             for (a, b), (score, out) in best.items():
                 for letters, cost in options:
@@ -134,21 +168,49 @@ class Restorer:
         while path:
             path, own = path
             letters.append(own)
-        found = "".join(reversed(letters))
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        self.known[span] = found
-        return found
+        return "".join(reversed(letters))
 
-    def restore(self, text: str) -> str:
-        text = _SPACED.sub(lambda m: self.decode(m.group(0)), text)
+    def _spans(self, text: str, others: list[str]) -> str:
+        """``text`` with its disguised spans decoded; further readings go to ``others``."""
+
+        def read(m):
+            best, *more = self.readings(m.group(0))
+            others.extend(more)
+            return best
+
+        def spaced(m):
+            few = len(_BETWEEN.sub("", m.group(0))) < 4
+            return m.group(0) if few and not _WORD.search(m.group(0)) else read(m)  # not "1 - 2"
+
+        text = _SPACED.sub(spaced, text)
         if _SIGN.search(text):
-            text = _MIXED.sub(lambda m: self.decode(m.group(0)), text)
-            text = _TAIL.sub(lambda m: self.decode(m.group(0)), text)
-        if _RUNS.search(text):
-            text = _TOKEN.sub(lambda m: self.decode(m.group(0)) if _RUNS.search(m.group(0)) else m.group(0), text)
+            for m in _DOMAIN.finditer(text):  # an address stays, "x@yz" is read as well
+                local = _LOCAL.search(text[max(0, m.start() - 64):m.start()])
+                if local:
+                    others.extend(self.readings(local.group(0) + m.group(0)))
+            text = _MIXED.sub(read, text)
+            text = _TAIL.sub(read, text)
         return text
 
+    def restore(self, text: str) -> str:
+        """``text`` with each disguised span and each word of repeated letters in its most likely spelling."""
+
+        def shorter(m):
+            best = self.decode(m.group(0)) if _DOUBLED.search(m.group(0)) else m.group(0)
+            return m.group(0) if best == m.group(0).lower() else best
+
+        return _WORD.sub(shorter, self._spans(text, []))
+
+    def words(self, text: str) -> set[str]:
+        """The distinct words of the restored text, in lower case, with their other readings."""
+        others: list[str] = []
+        found = set(_WORD.findall(self._spans(text, others).lower()))
+        return found.union(*map(_WORD.findall, others))
+
+    def spellings(self, word: str) -> set[str]:
+        """A word, and what its repeated letters may stand for."""
+        return {word, *self.readings(word)} if _DOUBLED.search(word) else {word}
+
 
 def _runs(s: str):
     at = 0
@@ -160,8 +222,9 @@ def _runs(s: str):
         at = end
 
 
-def features_of(word: str) -> list[str]:
-    return [word] + [word[:n] + "*" for n in PREFIXES if len(word) >= n]
+def features_of(words: set[str]) -> set[str]:
+    """The words and their beginnings."""
+    return words | {word[:n] + "*" for word in words for n in PREFIXES if len(word) >= n}
 
 
 @dataclass
@@ -181,10 +244,10 @@ class Scorer:
     def evidence(self, text: str) -> list[float]:
         """The weights of the strongest words, and the log of the number of strong ones."""
         known, weights, strong = self.known, self.model.weights, []
-        for word in set(_WORD.findall(self.restorer.restore(text).lower())):
+        for word in self.restorer.words(text):
             w = known.get(word)
             if w is None:
-                w = known[word] = max([weights.get(f, 0.0) for f in features_of(word)])
+                w = known[word] = max([weights.get(f, 0.0) for f in features_of(self.restorer.spellings(word))])
                 if len(known) > REMEMBERED:
                     known.clear()
             if w > 0:
@@ -208,8 +271,7 @@ def _weights(sample: DataFrame, letters: np.ndarray, totals: dict, part: int | N
         for frame in frames:
             toxic, all_of = {}, {}
             for text, label in zip(frame["text"], frame["toxic"]):
-                words = set(_WORD.findall(restorer.restore(text).lower()))
-                for f in {f for w in words for f in features_of(w)}:
+                for f in features_of(set().union(*map(restorer.spellings, restorer.words(text)))):
                     all_of[f] = all_of.get(f, 0) + 1
                     toxic[f] = toxic.get(f, 0) + label
             yield pd.DataFrame({"feature": list(all_of), "n": list(all_of.values()),

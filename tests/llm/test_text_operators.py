@@ -277,6 +277,27 @@ def test_toxicity_restores_and_scores(spark):
     assert toxicity.Scorer(none).score("nastyword") == 0.0
 
 
+def test_toxicity_proposes_every_disguise(spark):
+    toxic = {"idiot": ["i d ! o t"], "nasty": ["n @ s t y", "nnaassttyy", "n@sty.Go", "n@sty.go"],
+             "ass": ["a s s", "a$$", "a$$.", "@ss"], "stupid": ["stuppidd", "$ t u p i d", "s t u p ! d", "s t u p i d !"]}
+    df = docs_of(spark, [(i, " ".join([*WORDS, *toxic])) for i in range(50)])
+    restorer = toxicity.Restorer(toxicity.character_model(df))
+    for word, disguises in toxic.items():
+        for d in disguises:
+            read = restorer.words(f"then {d} there")
+            assert word in set().union(*map(restorer.spellings, read)), d
+    for plain in ("mail joe.x@corp.example.com now", "1 - 2 - 3", "v2.0"):
+        assert restorer.restore(plain) == plain
+    assert {"ass", "kappa"} <= restorer.words("ass kappa")  # words of double letters stay as well
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    r = random.Random(1)
+    docs = docs_of(spark, [(i, " ".join(r.choices(WORDS, k=30) + [*toxic] * (i % 2))) for i in range(200)])
+    scorer = toxicity.Scorer(toxicity.fit(docs, labels))
+    for d in sum(toxic.values(), []):
+        clean = " ".join(WORDS)
+        assert scorer.score(f"{clean} {d} there") > scorer.score(f"{clean} there"), d
+
+
 def test_quality_learns_and_handles_odd_texts(spark):
     r = random.Random(7)
     rows, labels = [], []
