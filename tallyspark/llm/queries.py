@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, html_main, jaccard, packing, pii, quality_mil, quality_rules, suffix_dedup, toxicity,
+from . import (conversation_repair, decontaminate, html_main, jaccard, packing, pii, quality_mil, quality_rules, suffix_dedup, toxicity,
                urlfilter)
 from .common import fold_of, table
 
@@ -69,10 +69,15 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(pages, html_main.fit(pages))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_classifier, op2_pii, op3_url_filters, op4_packing, op5_quality_rules, op6_suffix_dedup,
-        op7_toxicity, op8_jaccard_join, op9_decontamination, op10_html_extraction)}
+        op7_toxicity, op8_jaccard_join, op9_decontamination, op10_html_extraction,
+        op13_conversation_repair)}
 
 
 # Each URL rule as a condition of its own, longest first.
@@ -95,5 +100,85 @@ SELECT page_id, host, path, rule,
 """
 
 
+def _least(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _way(state: str, cost: int, edit: str, line: str | None = None, extra: bool = True) -> str:
+    """One edit after the best way to ``state``."""
+    lines = f"{state}.l" if line is None else f"list_append({state}.l, {line})"
+    more = " + extra" if extra and edit in "KR" else ""
+    return f"{{'c': {state}.c + {cost}{more}, 'e': {state}.e || '{edit}', 'l': {lines}}}"
+
+
+# The cheapest edits row by row: the best (cost, audit, lines) by last role so far, n none, s system, u user, a assistant;
+# iu and ia with insertions before the next row.  Structs compare by cost, then audit, which no two ways share.
+_KEPT, _USER, _ASSISTANT = "role || ':' || text", "'user:' || text", "'assistant:' || text"
+_IA = _least("a", _way("iu", 3, "I", "'assistant:'"))
+_OP13 = rf"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+crcs AS (  -- CRC-32 bit by bit; the keys are ASCII
+  SELECT k, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(k) + 1),
+    lambda i: ascii(substr(k, i::INT, 1))::BIGINT)), lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)),
+    lambda r, i: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384::BIGINT) ELSE r >> 1 END)), 4294967295::BIGINT) % 20 AS fault
+  FROM (SELECT DISTINCT k FROM raw)),
+hit AS (
+  SELECT conv_id, turn, fault, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM raw JOIN crcs USING (k) WHERE fault <> 0),
+after AS (SELECT conv_id, turn, role, text FROM hit UNION ALL SELECT conv_id, turn, role, text FROM hit WHERE fault = 3),
+placed AS (
+  SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS ink, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, substr(text, 1, 64), md5(text)) AS place FROM after),
+judged AS (
+  SELECT *, CASE WHEN ink = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'duplicate'
+                 WHEN right(ink, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         substr(role, 1, 1) AS i,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY place) || substr(role, 1, 1) AS pair FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(place) AS last
+  FROM judged GROUP BY conv_id),
+ways AS (
+  SELECT conv_id, 0::BIGINT AS place, {{'c': 0::BIGINT, 'e': '', 'l': []::VARCHAR[]}} AS n, NULL::STRUCT(c BIGINT, e VARCHAR, l VARCHAR[]) AS s,
+         NULL::STRUCT(c BIGINT, e VARCHAR, l VARCHAR[]) AS u, NULL::STRUCT(c BIGINT, e VARCHAR, l VARCHAR[]) AS a FROM counts
+  UNION ALL
+  SELECT conv_id, place, {_way('n', 4, 'D')} AS n,
+         CASE WHEN s.c IS NULL AND (forced OR i <> 's') THEN NULL WHEN forced OR i <> 's' THEN {_way('s', 4, 'D')}
+              WHEN s.c IS NULL THEN {_way('n', 0, 'K', _KEPT)}
+              ELSE {_least(_way('s', 4, 'D'), _way('n', 0, 'K', _KEPT))} END AS s,
+         CASE WHEN forced THEN du WHEN i = 'u' THEN {_least('du', _way('n', 0, 'K', _KEPT), 'ks', 'ka')}
+              ELSE {_least('du', _way('n', 3, 'R', _USER), 'rs', 'ra')} END AS u,
+         CASE WHEN forced THEN da WHEN i = 'a' THEN {_least('da', _way('iu', 0, 'K', _KEPT))}
+              ELSE {_least('da', _way('iu', 3, 'R', _ASSISTANT))} END AS a
+  FROM (SELECT *, CASE WHEN u.c IS NOT NULL THEN {_way('u', 4, 'D')} END AS du,
+               CASE WHEN a.c IS NOT NULL THEN {_way('a', 4, 'D')} END AS da,
+               CASE WHEN s.c IS NOT NULL THEN {_way('s', 0, 'K', _KEPT)} END AS ks, {_way('ia', 0, 'K', _KEPT)} AS ka,
+               CASE WHEN s.c IS NOT NULL THEN {_way('s', 3, 'R', _USER)} END AS rs, {_way('ia', 3, 'R', _USER)} AS ra
+        FROM (SELECT *, {_IA} AS ia FROM (
+          SELECT w.conv_id, j.place, n, s, u, a, role, text, i, j.fault IN ('blank', 'duplicate') AS forced,
+                 CASE WHEN j.fault = 'truncated' THEN 3 ELSE 0 END AS extra,
+                 {_least("u", _way('n', 3, 'I', "'user:'"),
+                         f"CASE WHEN s.c IS NOT NULL THEN {_way('s', 3, 'I', repr('user:'))} END",
+                         f"CASE WHEN a.c IS NOT NULL THEN {_way('a', 3, 'I', repr('user:'))} END")} AS iu
+          FROM ways w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.place = w.place + 1)))),
+ends AS (
+  SELECT counts.conv_id, gaps, blank, duplicate, truncated, illegal, {_least(
+      'n', 'a', f"CASE WHEN u.c IS NOT NULL THEN {_way('u', 3, 'I', repr('assistant:'))} END",
+      "CASE WHEN s.c IS NOT NULL THEN {'c': s.c + 6, 'e': s.e || 'II', "
+      "'l': list_append(list_append(s.l, 'user:'), 'assistant:')} END")} AS w
+  FROM ways JOIN counts ON ways.conv_id IS NOT DISTINCT FROM counts.conv_id AND place = last)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(w.c, 0) AS cost,
+       coalesce(w.e, '') AS audit, sha256(coalesce(array_to_string(w.l, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filters": _OP3}
+    return {"op3_url_filters": _OP3, "op13_conversation_repair": _OP13}
