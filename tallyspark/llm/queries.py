@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (conversation_repair, decontaminate, html_main, jaccard, packing, pii, quality_mil, quality_rules, suffix_dedup, toxicity,
+from . import (conversation_repair, decontaminate, html_main, jaccard, lexical_search, packing, pii, quality_mil, quality_rules, suffix_dedup, toxicity,
                urlfilter)
 from .common import fold_of, table
 
@@ -69,6 +69,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(pages, html_main.fit(pages))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_report(table(spark, sf_dir, "conversations"))
 
@@ -77,7 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_classifier, op2_pii, op3_url_filters, op4_packing, op5_quality_rules, op6_suffix_dedup,
         op7_toxicity, op8_jaccard_join, op9_decontamination, op10_html_extraction,
-        op13_conversation_repair)}
+        op12_lexical_search, op13_conversation_repair)}
 
 
 # Each URL rule as a condition of its own, longest first.
@@ -100,6 +104,29 @@ SELECT page_id, host, path, rule,
 """
 
 
+_OP12 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\x{80}-\x{10FFFF}]+') AS terms FROM documents),
+sizes AS (SELECT r, doc_id, len(terms) AS n FROM docs WHERE len(terms) > 0),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM sizes),
+entries AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM docs) GROUP BY r, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM entries, total GROUP BY term, docs),
+items AS (SELECT row_number() OVER () AS q, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+asked AS (
+  SELECT q, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS term FROM items),
+scored AS (
+  SELECT q, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words))))::BIGINT AS score
+  FROM asked JOIN entries USING (term) JOIN weights USING (term) JOIN sizes USING (r), total GROUP BY q, item_id, r, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def _least(*ways: str) -> str:
     return f"list_min([{', '.join(ways)}])"
 
@@ -181,4 +208,4 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN ends ON ends.conv_
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filters": _OP3, "op13_conversation_repair": _OP13}
+    return {"op3_url_filters": _OP3, "op12_lexical_search": _OP12, "op13_conversation_repair": _OP13}
