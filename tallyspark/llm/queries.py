@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (conversation_repair, decontaminate, html_main, jaccard, lexical_search, packing, pii, quality_mil, quality_rules, suffix_dedup, toxicity,
+from . import (conversation_repair, decontaminate, html_main, jaccard, lexical_search, minhash_dedup, packing, pii, quality_mil, quality_rules, suffix_dedup, toxicity,
                urlfilter)
 from .common import fold_of, table
 
@@ -69,6 +69,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(pages, html_main.fit(pages))
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.minhash_components(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -81,7 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_classifier, op2_pii, op3_url_filters, op4_packing, op5_quality_rules, op6_suffix_dedup,
         op7_toxicity, op8_jaccard_join, op9_decontamination, op10_html_extraction,
-        op12_lexical_search, op13_conversation_repair)}
+        op11_minhash_dedup, op12_lexical_search, op13_conversation_repair)}
 
 
 # Each URL rule as a condition of its own, longest first.
