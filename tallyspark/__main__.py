@@ -24,6 +24,7 @@ from tallyspark.plans.load_audit_config import LoadAuditConfig, run_load_audit,
 from tallyspark.plans.spec import KpiSpec
 from tallyspark.sources.export import export_sql, jdbc_extract
 from tallyspark.sources.sinks import append_audit, extract_to_landing
+from tallyspark.sources.staging import release_staged
 
 
 def _read(spark, path: str, fmt: str):
@@ -56,7 +57,8 @@ def run_audit(spark: SparkSession, args) -> dict:
                          old_status="failed" if args.upstream_failed else "success")
     append_audit(out["audit_rows"], args.audit_path, run_id=args.run_id, run_date=args.run_date)
     if args.audit_old_path and "table_count_audit" in out:
-        append_audit(out["table_count_audit"], args.audit_old_path, partition_by=("load_date",))
+        append_audit(out["table_count_audit"], args.audit_old_path, partition_by=("load_date",), run_id=args.run_id,
+                     run_date=args.run_date)
     if args.summary_path and "audit_summary" in out:
         out["audit_summary"].write.mode("overwrite").parquet(args.summary_path)
     if "table_count_mismatch" in out:
@@ -76,7 +78,8 @@ def run_extract(spark: SparkSession, args) -> str:
         with open(args.sql_file) as fh:
             query = fh.read()
     if query:
-        df = export_sql(spark, query, source=df)
+        named = dict(item.split("=", 1) for item in args.named_table or [])
+        df = export_sql(spark, query, source=df, **{n: _read(spark, p, args.format) for n, p in named.items()})
     return extract_to_landing(df, args.landing, args.run_date)
 
 
@@ -126,6 +129,7 @@ def build_parser() -> argparse.ArgumentParser:
     e.add_argument("--password-env", help="name of the environment variable holding the password")
     e.add_argument("--sql-file", help="file with the SQL text, used like --query")
     e.add_argument("--query", help="SQL over {source} applied before landing")
+    e.add_argument("--named-table", action="append", help="name=path, a further table {name} of the SQL text")
     e.add_argument("--landing", required=True)
     e.add_argument("--run-date", required=True)
     e.add_argument("--format", default="parquet")
@@ -139,7 +143,10 @@ def main(argv=None) -> dict:
         return run_kpi(spark, args)
     if args.command == "extract":
         return {"landing": run_extract(spark, args)}
-    return run_audit(spark, args)
+    try:
+        return run_audit(spark, args)
+    finally:
+        release_staged(spark)  # everything is written by now
 
 
 if __name__ == "__main__":

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark import columns as C
@@ -104,6 +104,12 @@ class CountSource:
     load_date: str | None = None
 
 
+def given_count(spark: SparkSession, table_name: str, type: str, count: int, load_date: str | None = None) -> CountSource:
+    """A table whose rows were counted already, e.g. while it was written (``sources.sinks.land_and_count``)."""
+    frame = spark.range(1).select(F.lit(int(count)).cast("bigint").alias("count"))
+    return CountSource(table_name, type, frame, True, load_date)
+
+
 def _as_source(entry) -> CountSource:
     return entry if isinstance(entry, CountSource) else CountSource(*entry)
 

@@ -1,4 +1,9 @@
-"""Increment discovery: the dates a load run has to process."""
+"""Increment discovery: the dates a load run has to process.
+
+``open_dates`` and ``mark_loaded`` keep a state of the dates that earlier runs have loaded,
+with the rows that each had then: a run gets the dates that are new and those that
+have changed since (late rows, or rows taken back), by one anti join of one row per date.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +12,9 @@ from pyspark.sql import functions as F
 
 from tallyspark import columns as C
 from tallyspark.functions.frames import first_column
+from tallyspark.sources.versions import current_version, read_table_version, replace_table
+
+LOADED_COUNT = "loaded_count"
 
 
 def _as_col(c) -> Column:
@@ -40,3 +48,39 @@ def discover_increments(spark: SparkSession, source: DataFrame, column, query: s
     if query is not None:
         return increment_dates_sql(spark, query, **frames)
     return increment_dates(source, column)
+
+
+def loaded_dates(spark: SparkSession, state_path: str) -> DataFrame:
+    """``(trx_date, loaded_count)`` of every date loaded so far; empty before the first run."""
+    if current_version(spark, state_path) is None:
+        return spark.createDataFrame([], f"{C.INC_DATE} date, {LOADED_COUNT} bigint")
+    return read_table_version(spark, state_path)
+
+
+def open_dates(source_counts: DataFrame, loaded: DataFrame, count: str = "n", since=None) -> DataFrame:
+    """``(trx_date, loaded_count)``: the dates to load now, with the rows that they have now.
+
+    ``source_counts`` is ``(trx_date, <count>)`` of the source (``reconcile.daily_counts``, or a count
+    ledger's).  A date is open when it was never loaded, or had another number of rows when it
+    was.  A loaded date that has lost all its rows is open too, with none.  ``since``
+    (a date) leaves earlier dates closed for good.
+    """
+    now = source_counts.select(F.col(C.INC_DATE).cast("date").alias(C.INC_DATE),
+                               F.col(count).cast("bigint").alias(LOADED_COUNT)).where(F.col(C.INC_DATE).isNotNull())
+    gone = (loaded.where(F.col(LOADED_COUNT) > 0).join(now.select(C.INC_DATE), C.INC_DATE, "left_anti")
+            .select(C.INC_DATE, F.lit(0).cast("bigint").alias(LOADED_COUNT)))
+    out = now.join(loaded, [C.INC_DATE, LOADED_COUNT], "left_anti").unionByName(gone)
+    return out if since is None else out.where(F.col(C.INC_DATE) >= F.to_date(F.lit(str(since))))
+
+
+def mark_loaded(dates: DataFrame, state_path: str) -> None:
+    """Add ``(trx_date, loaded_count)`` to the state; a date that is there already gets its new count.
+
+    The state (one row per date) is replaced as a version, so a run that breaks off before
+    this leaves its dates open, and one that repeats it changes nothing.
+    """
+    spark = dates.sparkSession
+    before = current_version(spark, state_path)
+    new = dates.select(C.INC_DATE, LOADED_COUNT)
+    kept = loaded_dates(spark, state_path).join(new.select(C.INC_DATE), C.INC_DATE, "left_anti")
+    replace_table(kept.unionByName(new), state_path, based_on=before and before["version"])

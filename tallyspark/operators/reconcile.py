@@ -67,12 +67,14 @@ def _side(df: DataFrame, date_column, predicate, custom_count, name: str, date_r
 
 def reconcile(increments: DataFrame, source: DataFrame, target: DataFrame, source_column, target_column,
               source_filter=None, target_filter=None, source_count: DataFrame | None = None,
-              target_count: DataFrame | None = None, prune_to_range: bool = False) -> DataFrame:
+              target_count: DataFrame | None = None, prune_to_range: bool = False,
+              target_counts: DataFrame | None = None) -> DataFrame:
     """``(trx_date, source_count, target_count)``, one row per increment date.
 
     ``source_filter`` / ``target_filter``: a Column or SQL predicate text (a
     leading ``AND`` is accepted).  ``source_count`` / ``target_count``: a
     one-row DataFrame whose first column is the count, used for every date.
+    ``target_counts``: the target's rows per date, ``(trx_date, n)``, if they are known already.
     """
     out = increments.select(F.col(C.INC_DATE).cast("date").alias(C.INC_DATE))
     rng = None
@@ -80,12 +82,23 @@ def reconcile(increments: DataFrame, source: DataFrame, target: DataFrame, sourc
         rng = out.agg(F.struct(F.min(C.INC_DATE).alias("lo"), F.max(C.INC_DATE).alias("hi"))).scalar()
     s_counts, s_col = _side(source, source_column, source_filter, source_count, SOURCE_COUNT, rng)
     t_counts, t_col = _side(target, target_column, target_filter, target_count, TARGET_COUNT, rng)
+    if target_counts is not None:
+        t_counts = target_counts.select(C.INC_DATE, F.col("n").alias(TARGET_COUNT))
     for counts in (s_counts, t_counts):
         if counts is not None:
             out = out.join(counts, C.INC_DATE, "left")
     return out.select(C.INC_DATE, s_col, t_col)
 
 
+def reconcile_counts(increments: DataFrame, source_counts: DataFrame, target_counts: DataFrame) -> DataFrame:
+    """``reconcile`` from per-date counts that are there already, such as a count ledger's (``(trx_date, n)`` each)."""
+    out = increments.select(F.col(C.INC_DATE).cast("date").alias(C.INC_DATE))
+    for counts, name in ((source_counts, SOURCE_COUNT), (target_counts, TARGET_COUNT)):
+        out = out.join(counts.select(C.INC_DATE, F.col("n").alias(name)), C.INC_DATE, "left")
+    return out.select(C.INC_DATE, *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+                                    for c in (SOURCE_COUNT, TARGET_COUNT)])
+
+
 def reconcile_source_dates(source: DataFrame, target: DataFrame, source_column, target_column,
                            target_filter=None, target_count: DataFrame | None = None) -> DataFrame:
     """``reconcile`` when the increments are the source's own distinct dates.

@@ -11,27 +11,32 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.operators.anchors import date_anchors
-from tallyspark.operators.audit import FAILED, SUCCEEDED, audit_rows, audit_summary, table_count_audit
+from tallyspark.operators.audit import (FAILED, SUCCEEDED, audit_rows, audit_summary, given_count,
+                                        table_count_audit)
 from tallyspark.operators.business_unit import customer_keys, select_business_unit
-from tallyspark.operators.increments import discover_increments
+from tallyspark.operators.count_ledger import ledger_counts, renew_counts
+from tallyspark.operators.increments import discover_increments, loaded_dates, mark_loaded, open_dates
 from tallyspark.operators.kpi import kpi_mart
+from tallyspark.operators.kpi_state import advance_mart, rows_since, state_as_of
 from tallyspark.operators.publish import external_pairs, publish_external
 from tallyspark.operators.quality import non_null_profile, round_floats
-from tallyspark.operators.reconcile import reconcile, reconcile_source_dates
+from tallyspark.operators.reconcile import daily_counts, reconcile, reconcile_counts, reconcile_source_dates
 from tallyspark.plans.kpi_job import KpiJobSettings, run_kpi_job
 from tallyspark.plans.lifestyle_spec import supplied_tables_spec
 from tallyspark.plans.load_audit_config import LoadAuditConfig, run_load_audit
 from tallyspark.plans.spec import ACTIVE, COUNT, INACTIVE, SUM
 from tallyspark.session import scratch_path
 from tallyspark.sources import retail_views as V
-from tallyspark.sources.export import export_sql
-from tallyspark.sources.sinks import (RUN_DATE, append_audit, extract_to_landing, read_audit, read_landing,
-                                      write_kpi)
+from tallyspark.sources.export import balanced_ranges, export_sql, extract_ranges
+from tallyspark.sources.sinks import (RUN_DATE, append_audit, extract_to_landing, land_and_count, read_audit, read_kpi,
+                                      read_landing, write_kpi)
 from tallyspark.sources.staging import stage_table
+from tallyspark.sources.versions import replace_table
 from tallyspark.streaming.landing_audit import audit_landing_stream, read_stream_audit
 
 # Parameters of the supplied-table runs (the production values live in the job configuration).
@@ -380,7 +385,105 @@ def q_kpi_overwrite_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "kpi")
     write_kpi(_mart(spark, sf_dir, SPEC.select(measures={SUM})), path)
     write_kpi(_mart(spark, sf_dir, SPEC), path)  # replaces data and schema
-    return spark.read.parquet(path)
+    return read_kpi(spark, path)
+
+
+def q_kpi_overwrite_broken(spark, sf_dir):
+    """A write that fails in its last rows, and one that lost a race: the table before them is still read."""
+    path = scratch_path(spark, "kpi")
+    mart = _mart(spark, sf_dir, SPEC.select(measures={SUM}))
+    write_kpi(mart, path)
+    broken = read_kpi(spark, path).limit(0).unionByName(mart.where(F.expr("assert_true(false) IS NULL")))
+    for attempt in (lambda: write_kpi(broken, path), lambda: replace_table(mart.limit(1), path, based_on="another")):
+        try:
+            attempt()
+        except (PySparkException, RuntimeError):
+            continue
+        raise AssertionError("the write must not succeed")
+    return read_kpi(spark, path)
+
+
+INCREMENTAL_DAYS = ("2001-06-28", "2001-06-29", "2001-06-30")
+
+
+def q_kpi_mart_incremental(spark, sf_dir):
+    """The mart of three successive days, each from the last day's state and the rows of the new day."""
+    state, out = scratch_path(spark, "kpi-state"), None
+    trx = V.transactions(spark, sf_dir)
+    for day in INCREMENTAL_DAYS:
+        bu = select_business_unit(trx, SETTINGS["country"], as_of=day)
+        mart = advance_mart(rows_since(bu, state_as_of(spark, state), day), state, SPEC, day)
+        mart = stage_table(mart.withColumn("as_of", F.to_date(F.lit(day))), "mart")  # the state moves on
+        out = mart if out is None else out.unionByName(mart)
+    return out
+
+
+def q_audit_append_after_older(spark, sf_dir):
+    """Rows appended without a run id come first; the retry of the run after them adds nothing."""
+    path, day = scratch_path(spark, "audit"), AUDIT["run_date"]
+    append_audit(_audit(spark, sf_dir, FAILED), path)
+    for end in (AUDIT["end_ts"], "2024-02-01 06:00:00 AM"):
+        append_audit(_audit(spark, sf_dir, SUCCEEDED, end_ts=end), path, run_id="run-1", run_date=day)
+    return read_audit(spark, path)
+
+
+def q_reconcile_ledger(spark, sf_dir):
+    """Two days of landing, then the first landed anew with its clicks only: the ledger counts what changed."""
+    landing, ledger = scratch_path(spark, "landing"), scratch_path(spark, "counts")
+    src, tgt = V.audit_source(spark, sf_dir), V.audit_target(spark, sf_dir)
+    early = F.col(V.EVENT_DATE) < F.to_date(F.lit("2024-01-16"))
+    steps = ((LANDING_RUNS[0], tgt.where(early)), (LANDING_RUNS[1], tgt.where(~early)),
+             (LANDING_RUNS[0], tgt.where(early & (F.col("event_type") == F.lit("click")))))
+    for run_date, rows in steps:
+        extract_to_landing(rows, landing, run_date)
+        if renew_counts(spark, landing, ledger, V.EVENT_DATE) != [f"{RUN_DATE}={run_date}"]:
+            raise AssertionError("only the landed partition is to be counted")
+    return reconcile_counts(_increments(spark, sf_dir), daily_counts(src, V.EVENT_DATE), ledger_counts(spark, ledger))
+
+
+def q_increment_high_water(spark, sf_dir):
+    """Three runs: the days before the 16th but no errors, all days, and a run with errors of two days come late."""
+    state, out = scratch_path(spark, "loaded"), None
+    src = V.audit_source(spark, sf_dir)
+    error = F.col("event_type") == F.lit("error")
+    day = F.col(V.EVENT_DATE)
+    views = (src.where((day < F.to_date(F.lit("2024-01-16"))) & ~error), src.where(~error),
+             src.where(~error | day.isin(F.to_date(F.lit("2024-01-05")), F.to_date(F.lit("2024-01-20")))))
+    for run, rows in enumerate(views, 1):
+        dates = stage_table(open_dates(daily_counts(rows, V.EVENT_DATE), loaded_dates(spark, state)), "open")
+        mark_loaded(dates, state)
+        dates = dates.withColumn("run", F.lit(run))
+        out = dates if out is None else out.unionByName(dates)
+    return out
+
+
+def q_table_count_audit_observed(spark, sf_dir):
+    """The per-table audit from counts taken while the rows were landed; nothing is read a second time."""
+    a = AUDIT
+    seen = land_and_count(V.audit_source(spark, sf_dir), scratch_path(spark, "landing"), a["run_date"], {
+        "active": ~F.col("event_type").isin("error", "signup"), "loaded": F.col("event_type") != F.lit("error")})
+    tables = [given_count(spark, "events", "src", seen["active"]),
+              given_count(spark, "events_loaded", "tgt", seen["loaded"])]
+    return table_count_audit(tables, a["dag_name"], "success", a["run_date"], a["epoch_time"])
+
+
+EXTRACT_RANGES = 16
+
+
+def q_extract_balanced(spark, sf_dir):
+    """Line items in balanced ranges of a key that is 1 for a third of them: what each status has in all ranges.
+
+    ``balanced`` tells that the largest range has at most twice the mean of rows.
+    """
+    line = V.read_table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") % 3 == 0, F.lit(1)).otherwise(F.col("l_partkey")).alias("k"), "l_orderkey",
+        "l_linestatus", "l_quantity")
+    parts = extract_ranges(line, balanced_ranges(line, "k", EXTRACT_RANGES, spread="l_orderkey"))
+    sizes = parts.groupBy("extract_range").agg(F.count("*").alias("n"))
+    most = sizes.agg((F.max("n") <= 2 * F.sum("n") / EXTRACT_RANGES).alias("balanced")).scalar()
+    rows = parts.where(F.col("extract_range").isNotNull()).groupBy("l_linestatus").agg(
+        F.count("*").alias("n_rows"), F.sum("l_orderkey").alias("order_keys"), F.sum("l_quantity").alias("quantity"))
+    return rows.withColumn("balanced", most)
 
 
 def q_audit_append_roundtrip(spark, sf_dir):
@@ -412,7 +515,7 @@ def q_landing_stream_audit(spark, sf_dir):
             extract_to_landing(part, landing, run_date)
         audit_landing_stream(spark, landing, V.EVENT_DATE, src, V.EVENT_DATE, audit, ckpt, a["dag_name"],
                              a["source_tables"], a["target_table"], SUCCEEDED, a["start_ts"], a["end_ts"],
-                             a["run_date"])
+                             a["run_date"], counts_path=f"{root}/counts")
     return read_stream_audit(spark, audit)
 
 
@@ -442,6 +545,13 @@ SINK_QUERIES = {
     "export_sql": q_export_sql,
     "landing_roundtrip": q_landing_roundtrip,
     "kpi_overwrite_roundtrip": q_kpi_overwrite_roundtrip,
+    "kpi_overwrite_broken": q_kpi_overwrite_broken,
+    "kpi_mart_incremental": q_kpi_mart_incremental,
+    "audit_append_after_older": q_audit_append_after_older,
+    "reconcile_ledger": q_reconcile_ledger,
+    "increment_high_water": q_increment_high_water,
+    "table_count_audit_observed": q_table_count_audit_observed,
+    "extract_balanced": q_extract_balanced,
     "audit_append_roundtrip": q_audit_append_roundtrip,
     "landing_stream_audit": q_landing_stream_audit,
     "kpi_job_roundtrip": q_kpi_job_roundtrip,

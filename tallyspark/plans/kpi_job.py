@@ -21,7 +21,7 @@ from tallyspark.operators.quality import non_null_profile, round_floats
 from tallyspark.plans.lifestyle_spec import (LIFESTYLE_BU, LIFESTYLE_COUNTRY, LIFESTYLE_ORG_CODE,
                                              LIFESTYLE_SOURCE_SYSTEM)
 from tallyspark.plans.spec import KpiSpec
-from tallyspark.sources.sinks import write_kpi
+from tallyspark.sources.sinks import read_kpi, write_kpi
 from tallyspark.sources.staging import staged_table
 
 _USED = (C.CUSTOMER, C.TRX_DATE, C.AMOUNT, C.TXN_ID, C.BRAND)
@@ -64,13 +64,13 @@ def run_kpi_job(trx: DataFrame, ext_map: DataFrame, spec: KpiSpec, settings: Kpi
     with staged_table(bu.select(*_USED), "kpi-rows") if settings.stage else nullcontext(bu) as rows:
         built = round_floats(kpi_mart(rows, spec, money=settings.money), settings.round_scale)
         write_kpi(built, mart_path)
-    mart = spark.read.schema(built.schema).parquet(mart_path)
+    mart = read_kpi(spark, mart_path)
     published = publish_external(mart, ext_map, settings.org_code)
     if published_path is not None:
         write_kpi(published, published_path)
-        published = spark.read.parquet(published_path)
+        published = read_kpi(spark, published_path)
     profile = non_null_profile(mart)
     if profile_path is not None:
         write_kpi(profile, profile_path)
-        profile = spark.read.parquet(profile_path)
+        profile = read_kpi(spark, profile_path)
     return {"mart": mart, "profile": profile, "published": published}

@@ -320,6 +320,24 @@ FROM ({_count_tables_sql()}) c""",
     }
 
 
+def _dated_mart_sql(as_of: str) -> str:
+    return (f"SELECT *, DATE '{as_of}' AS as_of FROM ({mart_sql().replace(SETTINGS['as_of'], as_of)}) m")
+
+
+_OPEN_RUNS = ["event_date < DATE '2024-01-16' AND event_type <> 'error'", "event_type <> 'error'",
+              "event_type <> 'error' OR event_date IN (DATE '2024-01-05', DATE '2024-01-20')"]
+
+
+def _high_water_sql() -> str:
+    """A date is open in a run when its rows differ from those of the run before (no rows there: never loaded)."""
+    runs = ", ".join(f"c{i} AS (SELECT event_date AS d, count(*) AS n FROM ({_SRC}) e WHERE event_date IS NOT NULL "
+                     f"AND ({w}) GROUP BY event_date)" for i, w in enumerate(_OPEN_RUNS, 1))
+    parts = ["SELECT d AS trx_date, CAST(n AS BIGINT) AS loaded_count, 1 AS run FROM c1"]
+    parts += [f"SELECT c{i}.d, CAST(c{i}.n AS BIGINT), {i} FROM c{i} LEFT JOIN c{i - 1} USING (d) "
+              f"WHERE c{i - 1}.n IS DISTINCT FROM c{i}.n" for i in (2, 3)]
+    return f"WITH {runs} {' UNION ALL '.join(parts)}"
+
+
 def sink_oracle() -> dict:
     export = ("SELECT event_date, event_type, count(*) AS n_events, round(sum(value), 2) AS total_value "
               f"FROM ({_SRC}) e GROUP BY event_date, event_type")
@@ -327,6 +345,23 @@ def sink_oracle() -> dict:
         "export_sql": export,
         "landing_roundtrip": f"SELECT *, unnest([DATE '2024-02-01', DATE '2024-02-02']) AS run_date FROM ({export}) x",
         "kpi_overwrite_roundtrip": mart_sql(),
+        "kpi_overwrite_broken": mart_sql(measures={"sum"}),
+        "kpi_mart_incremental": " UNION ALL ".join(map(_dated_mart_sql, ("2001-06-28", "2001-06-29", "2001-06-30"))),
+        "audit_append_after_older": (f"SELECT *, CAST(NULL AS VARCHAR) AS run_id FROM ({_audit_sql('failed')}) x UNION ALL "
+                                     f"SELECT *, 'run-1' FROM ({_audit_sql('Succeeded')}) y"),
+        "reconcile_ledger": f"""
+SELECT inc.trx_date, CAST(coalesce(s.n, 0) AS BIGINT) AS source_count, CAST(coalesce(t.n, 0) AS BIGINT) AS target_count
+FROM ({_inc_sql()}) inc
+LEFT JOIN (SELECT event_date AS d, count(*) AS n FROM ({_SRC}) e GROUP BY event_date) s ON inc.trx_date = s.d
+LEFT JOIN (SELECT event_date AS d, count(*) AS n FROM ({_TGT}) e
+           WHERE event_date >= DATE '2024-01-16' OR event_type = 'click' GROUP BY event_date) t ON inc.trx_date = t.d
+""",
+        "increment_high_water": _high_water_sql(),
+        "table_count_audit_observed": audit_oracle()["table_count_audit"],
+        "extract_balanced": """
+SELECT l_linestatus, count(*) AS n_rows, CAST(sum(l_orderkey) AS BIGINT) AS order_keys, sum(l_quantity) AS quantity,
+       true AS balanced FROM lineitem GROUP BY l_linestatus
+""",
         "audit_append_roundtrip": " UNION ALL ".join(f"SELECT *, '{run}' AS run_id FROM ({sql}) x" for run, sql in (
             ("run-1", _audit_sql("Succeeded")), ("run-2", _audit_sql("failed")),
             ("run-1", _audit_sql("Succeeded", run_date="2024-02-02")))),

@@ -19,7 +19,20 @@ from tallyspark.session import discard_scratch, scratch_path
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and return the read-back table."""
-    return _store(df, scratch_path(df.sparkSession, f"stage-{name}"))
+    path = scratch_path(df.sparkSession, f"stage-{name}")
+    _staged.append(path)
+    return _store(df, path)
+
+
+_staged: list[str] = []
+
+
+def release_staged(spark) -> int:
+    """Remove every table that ``stage_table`` has written in this process, once its readers are done; their number."""
+    n = len(_staged)
+    while _staged:
+        discard_scratch(spark, _staged.pop())
+    return n
 
 
 @contextmanager

@@ -24,19 +24,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.operators.audit import audit_rows
+from tallyspark.operators.count_ledger import ledger_counts, renew_counts
 from tallyspark.operators.increments import increment_dates
 from tallyspark.operators.reconcile import reconcile
+from tallyspark.sources.files import Files
 
 
 def audit_batch(batch: DataFrame, batch_id: int, date_column: str, source: DataFrame, source_column,
                 audit_path: str, dag_name: str, source_tables, target_table: str, status: str,
-                start_ts=None, end_ts=None, run_date=None, target: DataFrame | None = None) -> None:
+                start_ts=None, end_ts=None, run_date=None, target: DataFrame | None = None,
+                target_counts: DataFrame | None = None) -> None:
     """Audit one micro-batch of landed rows into ``<audit_path>/batch_id=<n>/`` (overwrite: replay-safe)."""
     inc = increment_dates(batch, date_column)
     # the source is counted only inside the batch's date range (partition pruning on a dated source)
     # the target is the landing table: a date landed over several runs is counted in full
     recon = reconcile(inc, source, batch if target is None else target, source_column, date_column,
-                      prune_to_range=True)
+                      prune_to_range=True, target_counts=target_counts)
     rows = audit_rows(recon, dag_name, source_tables, target_table, status, start_ts, end_ts, run_date)
     rows.write.mode("overwrite").parquet(f"{audit_path}/batch_id={int(batch_id)}")
 
@@ -44,18 +47,37 @@ def audit_batch(batch: DataFrame, batch_id: int, date_column: str, source: DataF
 def audit_landing_stream(spark: SparkSession, landing_path: str, date_column: str, source: DataFrame,
                          source_column, audit_path: str, checkpoint_path: str, dag_name: str,
                          source_tables, target_table: str, status: str, start_ts=None, end_ts=None,
-                         run_date=None, schema=None) -> None:
-    """Audit every landing file not yet audited, then stop (one scheduled run)."""
-    if schema is None:
-        schema = spark.read.parquet(landing_path).schema
-    stream = spark.readStream.schema(schema).option("basePath", landing_path).parquet(landing_path)
+                         run_date=None, schema=None, counts_path: str | None = None) -> None:
+    """Audit every landing file not yet audited, then stop (one scheduled run).
 
+    ``counts_path``: a count ledger (``operators.count_ledger``) of the landing folder.  Each run then
+    counts only the partitions that have changed and takes the dates' counts from the ledger, instead of
+    reading the landing table's history.  A landing folder without files is a run with nothing new.
+    """
     ran = []
+    if Files(spark, landing_path).files_below(landing_path):
+        if schema is None:
+            schema = spark.read.parquet(landing_path).schema
+        _run_stream(spark, landing_path, date_column, source, source_column, audit_path, checkpoint_path, dag_name,
+                    source_tables, target_table, status, start_ts, end_ts, run_date, schema, counts_path, ran)
+    if not ran:  # nothing new: the run still leaves its marker row
+        nothing = spark.createDataFrame([], "trx_date date, source_count bigint, target_count bigint")
+        rows = audit_rows(nothing, dag_name, source_tables, target_table, status, start_ts, end_ts, run_date)
+        rows.write.mode("overwrite").parquet(f"{audit_path}/batch_id=none-{uuid.uuid4().hex}")
+
+
+def _run_stream(spark, landing_path, date_column, source, source_column, audit_path, checkpoint_path, dag_name,
+                source_tables, target_table, status, start_ts, end_ts, run_date, schema, counts_path, ran) -> None:
+    stream = spark.readStream.schema(schema).option("basePath", landing_path).parquet(landing_path)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        counts = None
+        if counts_path is not None:
+            renew_counts(spark, landing_path, counts_path, date_column, schema)
+            counts = ledger_counts(spark, counts_path)
         landed = spark.read.schema(schema).parquet(landing_path)
         audit_batch(batch, batch_id, date_column, source, source_column, audit_path, dag_name,
-                    source_tables, target_table, status, start_ts, end_ts, run_date, landed)
+                    source_tables, target_table, status, start_ts, end_ts, run_date, landed, counts)
         ran.append(batch_id)
 
     query = (stream.writeStream.foreachBatch(on_batch)
@@ -63,10 +85,6 @@ def audit_landing_stream(spark: SparkSession, landing_path: str, date_column: st
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
-    if not ran:  # nothing new: the run still leaves its marker row
-        nothing = spark.createDataFrame([], "trx_date date, source_count bigint, target_count bigint")
-        rows = audit_rows(nothing, dag_name, source_tables, target_table, status, start_ts, end_ts, run_date)
-        rows.write.mode("overwrite").parquet(f"{audit_path}/batch_id=none-{uuid.uuid4().hex}")
 
 
 def read_stream_audit(spark: SparkSession, audit_path: str) -> DataFrame:

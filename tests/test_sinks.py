@@ -5,14 +5,14 @@ from pyspark.sql import functions as F
 
 from tallyspark.session import scratch_path
 from tallyspark.sources.export import export_sql
-from tallyspark.sources.sinks import append_audit, extract_to_landing, read_audit, read_landing, write_kpi
+from tallyspark.sources.sinks import append_audit, extract_to_landing, read_audit, read_kpi, read_landing, write_kpi
 
 
 def test_kpi_overwrite_replaces_schema(spark):
     path = scratch_path(spark, "t-kpi")
     write_kpi(spark.createDataFrame([(1, 2.0)], "k bigint, a double"), path)
     write_kpi(spark.createDataFrame([(1, "x"), (2, "y")], "k bigint, b string"), path)
-    back = spark.read.parquet(path)
+    back = read_kpi(spark, path)
     assert back.columns == ["k", "b"] and back.count() == 2
 
 
@@ -73,7 +73,7 @@ def test_failed_overwrite_keeps_the_old_mart(spark):
     write_kpi(spark.range(3), path)
     with pytest.raises(Exception):
         write_kpi(spark.range(3).selectExpr("assert_true(id < 1) as x", "id"), path)
-    assert spark.read.parquet(path).count() == 3
+    assert read_kpi(spark, path).count() == 3
 
 
 def test_run_id_makes_a_retry_idempotent_and_drops_no_other_run_date(spark):
