@@ -313,8 +313,8 @@ def minhash_components(docs: DataFrame, size: int = 4, percent: int = 80, id_col
     class_of = leads.groupBy("x", "y", "n").agg(F.min("doc").alias("rep"))
     named = written(leads.select("doc", "x", "y", "n").distinct().join(class_of, ["x", "y", "n"])
                     .select(F.col("doc").alias("lead"), "x", "y", "n", "rep"), "classes")
-    reps = leads.join(class_of.select("x", "y", "n", "rep"), ["x", "y", "n"]).where("doc = rep")
-    bands = reps.select("doc", "n", F.explode("keys").alias("key")).distinct()
+    reps = leads.join(class_of, ["x", "y", "n"]).where("doc = rep").dropDuplicates(["x", "y", "n", "doc"])
+    bands = reps.select("doc", "n", F.explode("keys").alias("key"))
     buckets = bands.groupBy("key").agg(F.min(F.struct("doc", "n")).alias("hub"), F.count("*").alias("c")).where("c > 1")
     lists = written(bands.join(buckets, "key").select("key", "doc", "n", F.col("hub.doc").alias("hub"),
                                                       F.col("hub.n").alias("hub_n")), "buckets")
