@@ -10,7 +10,7 @@
 3. ``fit`` learns weights of words and word beginnings from labelled documents, as
    a lower bound of their log odds, and a logistic score over a document's
    strongest words.  It uses at most ``most_labelled`` labelled documents (those
-   with the smallest id hash; distinct texts) and keeps at most ``MOST_FEATURES``.
+   with the smallest id hash; one row per id, distinct texts), whose words are restored once and stored.
 4. ``scored`` reads every whole text.
 
 Defined cases: null and empty texts have no words and get the score of a text
@@ -30,22 +30,24 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import texts, written
 
 MOST_LABELLED = 20_000
-MOST_FEATURES = 20_000
 LEAST_TOXIC = 3  # documents that a feature must be in
 PREFIXES = (4, 5, 6)
 STRONGEST = 3
 STRONG = 3.0
 REJECT_AT = 0.7
 #: Words and spans whose result a worker remembers, at most.
-REMEMBERED = 200_000
+REMEMBERED = 50_000
+WEAK_REMEMBERED = 200_000  # words without weight: only the words themselves
+#: Characters whose trigrams are counted at a time (a longer text is taken in pieces of so many).
+COUNTED = 500_000
 
 # Alphabet of the character model: 0 is any boundary, then a to z, then U+00DF to U+00FF, then other letters.
 _SIZE = 64
 _OTHER = 63
-_codes = np.zeros(0x250, "i8")
+_codes = np.zeros(0x250, "i4")
 _codes[97:123] = np.arange(1, 27)
 _codes[65:91] = np.arange(1, 27)
 _codes[0xDF:0x100] = np.arange(27, 27 + 33)
@@ -72,6 +74,7 @@ _PARTING = re.compile(r"[!|+(]")
 _DOMAIN = re.compile(r"@[^\W_]+(?=[.-])")
 _LOCAL = re.compile(r"[^\W_]{1,64}$")
 _DOUBLED = re.compile(r"([^\W\d_])\1")
+_RUN = re.compile(r"(.)\1+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -80,14 +83,37 @@ def _coded(text: str) -> np.ndarray:
     return _codes[np.minimum(raw, 0x24F)]
 
 
+def _pieces(texts):
+    """The texts with boundaries around each, joined to pieces of about ``COUNTED`` characters.
+
+    A long text's pieces share two characters, so each of its trigrams is in one of them.
+    """
+    held, size = [], 0
+    for text in texts:
+        for a in range(0, max(1, len(text)), COUNTED):
+            if size + min(len(text) - a, COUNTED) > COUNTED and held:
+                yield " ".join(held) + "  "
+                held, size = [], 0
+            held.append(" " + text if a == 0 else text[max(0, a - 2):a + COUNTED])
+            if a == 0 and len(text) > COUNTED:
+                held[-1] = " " + text[:COUNTED]
+            if a + COUNTED < len(text):  # broken off: no boundary after it
+                yield " ".join(held)
+                held, size = [], 0
+            else:
+                size += len(held[-1])
+    if held:
+        yield " ".join(held) + "  "
+
+
 def character_model(docs: DataFrame) -> np.ndarray:
     """``log p(c | a, b)`` over the alphabet, from the trigrams of every document (column ``text``)."""
 
     def count(frames):
         total = np.zeros(_SIZE ** 3, "i8")
         for frame in frames:
-            for a in range(0, len(frame), 500):
-                c = _coded(" ".join(["", *frame["text"].iloc[a:a + 500], ""]) + " ")
+            for piece in _pieces(frame["text"]):
+                c = _coded(piece)
                 c = c[np.concatenate(([True], (c[1:] != 0) | (c[:-1] != 0)))]
                 if len(c) > 2:
                     total += np.bincount(c[:-2] * _SIZE ** 2 + c[1:-1] * _SIZE + c[2:], minlength=_SIZE ** 3)
@@ -235,27 +261,54 @@ class ToxicityModel:
     usable: bool = True
 
 
+def _collapsed(word: str) -> str:
+    return _RUN.sub(r"\1", word)
+
+
 class Scorer:
     """Scores texts with a model; lives in a worker for the length of a task."""
 
     def __init__(self, model: ToxicityModel):
-        self.model, self.restorer, self.known = model, Restorer(model.letters), {}
-
-    def evidence(self, text: str) -> list[float]:
+        self.model, self.restorer = model, Restorer(model.letters)
+        self.weak: set[str] = set()  # words without weight
+        self.strong: dict[str, float] = {}
+        # a word can only be read as one of weight if they agree with each run of letters taken once
+        self.whole = {_collapsed(f) for f in model.weights if f[-1] != "*"}
+        self.begun = {_collapsed(f[:-1]) for f in model.weights if f[-1] == "*"}
+
+    def weight(self, word: str) -> float:
+        """The largest weight of the features of a word's spellings."""
+        weights = self.model.weights
+        w = max(weights.get(word, 0.0), *[weights.get(word[:n] + "*", 0.0) for n in PREFIXES if len(word) >= n], 0.0)
+        if _DOUBLED.search(word):
+            short = _collapsed(word)
+            if short in self.whole or any(short[:n] in self.begun for n in range(1, PREFIXES[-1] + 1)):
+                w = max([weights.get(f, 0.0) for f in features_of(self.restorer.spellings(word))] + [w])
+        return w
+
+    def evidence_of(self, words: set[str]) -> list[float]:
         """The weights of the strongest words, and the log of the number of strong ones."""
-        known, weights, strong = self.known, self.model.weights, []
-        for word in self.restorer.words(text):
-            w = known.get(word)
+        if len(self.weak) > WEAK_REMEMBERED:
+            self.weak.clear()
+        if len(self.strong) > REMEMBERED:
+            self.strong.clear()
+        strong = []
+        for word in words - self.weak:
+            w = self.strong.get(word)
             if w is None:
-                w = known[word] = max([weights.get(f, 0.0) for f in features_of(self.restorer.spellings(word))])
-                if len(known) > REMEMBERED:
-                    known.clear()
-            if w > 0:
-                strong.append(w)
-        strong = sorted(strong, reverse=True)
+                w = self.weight(word)
+                if w <= 0:
+                    self.weak.add(word)
+                    continue
+                self.strong[word] = w
+            strong.append(w)
+        strong.sort(reverse=True)
         top = (strong + [0.0] * STRONGEST)[:STRONGEST]
         return [*top, math.log1p(sum(w >= STRONG for w in strong))]
 
+    def evidence(self, text: str) -> list[float]:
+        return self.evidence_of(self.restorer.words(text))
+
     def score(self, text: str) -> float:
         if not self.model.usable:
             return 0.0
@@ -263,32 +316,44 @@ class Scorer:
         return float(1 / (1 + math.exp(-float(np.clip(x @ self.model.coef, -30, 30)))))
 
 
-def _weights(sample: DataFrame, letters: np.ndarray, totals: dict, part: int | None) -> dict[str, float]:
-    """Lower bound of the log odds of each feature, from the sample (without one half of it for ``part``)."""
+def _weights(counts: pd.DataFrame, totals: dict, part: int | None) -> dict[str, float]:
+    """Lower bound of the log odds of each feature, from the counts of both halves (or without half ``part``)."""
+    used = [h for h in (0, 1) if h != part]
+    t, n = sum(counts[f"t{h}"] for h in used), sum(counts[f"n{h}"] for h in used)
+    t_all, n_all = totals["toxic"], totals["n"] - totals["toxic"]
+    if part is not None:
+        t_all, n_all = t_all / 2, n_all / 2
+    c = n - t
+    odds = np.log((t + 0.5) / (t_all + 1) / ((c + 0.5) / (n_all + 1)))
+    bound = np.round(odds - 1.64 * np.sqrt(1 / (t + 0.5) + 1 / (c + 0.5)), 4)
+    good = (t >= LEAST_TOXIC) & (bound > 0.5)
+    return dict(zip(counts["feature"][good].tolist(), bound[good].tolist()))
+
+
+def _feature_counts(words: DataFrame, letters: np.ndarray) -> pd.DataFrame:
+    """For each feature that enough toxic documents have: toxic ones and all, in either half.
+
+    ``words`` holds at most ``most_labelled`` documents; of their features those of at least ``LEAST_TOXIC``
+    toxic documents reach the driver.
+    """
 
     def count(frames):
         restorer = Restorer(letters)
         for frame in frames:
-            toxic, all_of = {}, {}
-            for text, label in zip(frame["text"], frame["toxic"]):
-                for f in features_of(set().union(*map(restorer.spellings, restorer.words(text)))):
-                    all_of[f] = all_of.get(f, 0) + 1
-                    toxic[f] = toxic.get(f, 0) + label
-            yield pd.DataFrame({"feature": list(all_of), "n": list(all_of.values()),
-                                "toxic": [toxic[f] for f in all_of]})
-
-    used = sample if part is None else sample.where(F.col("half") != part)
-    t_all, n_all = totals["toxic"], totals["n"] - totals["toxic"]
-    if part is not None:
-        t_all, n_all = t_all / 2, n_all / 2
-    f = (used.select("text", "toxic").mapInPandas(count, "feature string, n long, toxic long")
-         .groupBy("feature").agg(F.sum("toxic").alias("t"), (F.sum("n") - F.sum("toxic")).alias("c"))
-         .where(F.col("t") >= LEAST_TOXIC))
-    odds = F.log((F.col("t") + 0.5) / (t_all + 1) / ((F.col("c") + 0.5) / (n_all + 1)))
-    bound = odds - 1.64 * F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
-    top = (f.select("feature", F.round(bound, 4).alias("w")).where("w > 0.5")
-           .orderBy(F.desc("w"), "feature").limit(MOST_FEATURES))
-    return {r["feature"]: r["w"] for r in top.collect()}
+            found: dict[str, list[int]] = {}
+            for own, label, half in zip(frame["words"], frame["toxic"], frame["half"]):
+                for f in features_of(set().union(*map(restorer.spellings, own))):
+                    n = found.get(f)
+                    if n is None:
+                        n = found[f] = [0, 0, 0, 0]
+                    n[2 * half] += label
+                    n[2 * half + 1] += 1
+            yield pd.DataFrame([(f, *n) for f, n in found.items()], columns=["feature", "t0", "n0", "t1", "n1"])
+
+    names = ["t0", "n0", "t1", "n1"]
+    return (words.mapInPandas(count, "feature string, t0 long, n0 long, t1 long, n1 long")
+            .groupBy("feature").agg(*[F.sum(c).alias(c) for c in names])
+            .where(F.col("t0") + F.col("t1") >= LEAST_TOXIC).toPandas())
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_labelled: int = MOST_LABELLED,
@@ -301,28 +366,33 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_labelled:
            .where("l_id is not null and toxic in (0, 1)").groupBy("l_id").agg(F.max("toxic").alias("toxic"))
            .orderBy(F.xxhash64("l_id"), "l_id").limit(most_labelled))
     sample = (t.join(F.broadcast(ids), t["doc_id"] == ids["l_id"])  # bounded by most_labelled
+              .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
               .groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
-              .select("text", "toxic", F.pmod("h", F.lit(2)).alias("half")).persist())
-    totals = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first().asDict()
+              .select("text", "toxic", F.pmod("h", F.lit(2)).cast("int").alias("half")))
+
+    def restored(frames):
+        restorer = Restorer(letters)
+        for frame in frames:
+            yield pd.DataFrame({"toxic": frame["toxic"], "half": frame["half"],
+                                "words": [sorted(restorer.words(t)) for t in frame["text"]]})
+
+    words = written(sample.mapInPandas(restored, "toxic int, half int, words array<string>"), "toxicity-words")
+    totals = words.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first().asDict()
     if not 0 < totals["toxic"] < totals["n"]:
-        sample.unpersist()
         return ToxicityModel(letters, {}, usable=False)
-    rows = []
-    for half in (0, 1):  # each half is judged by what the other one taught
-        held = spark.sparkContext.broadcast(ToxicityModel(letters, _weights(sample, letters, totals, half)))
-
-        def judge(frames, held=held):
-            scorer = Scorer(held.value)
-            for frame in frames:
-                x = [scorer.evidence(t) for t in frame["text"]]
-                yield pd.DataFrame({"x": x, "y": frame["toxic"]})
-
-        rows += sample.where(F.col("half") == half).select("text", "toxic").mapInPandas(
-            judge, "x array<double>, y int").collect()  # at most most_labelled rows of a few numbers
-    weights = _weights(sample, letters, totals, None)
-    sample.unpersist()
+    counts = _feature_counts(words, letters)
+    # each half is judged by what the other one taught
+    held = spark.sparkContext.broadcast([ToxicityModel(letters, _weights(counts, totals, half)) for half in (0, 1)])
+
+    def judge(frames):
+        scorers = [Scorer(m) for m in held.value]
+        for frame in frames:
+            x = [scorers[half].evidence_of(set(own)) for half, own in zip(frame["half"], frame["words"])]
+            yield pd.DataFrame({"x": x, "y": frame["toxic"]})
+
+    rows = words.mapInPandas(judge, "x array<double>, y int").collect()  # at most most_labelled rows of a few numbers
     x = np.array([[*r["x"], 1.0] for r in rows])
-    return ToxicityModel(letters, weights, logistic(x, np.array([r["y"] for r in rows], "f8")))
+    return ToxicityModel(letters, _weights(counts, totals, None), logistic(x, np.array([r["y"] for r in rows], "f8")))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
