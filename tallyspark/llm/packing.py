@@ -46,14 +46,17 @@ _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 # How byte-level vocabularies write a byte: printable ones as themselves, the others as U+0100 and on, in order.
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_CHARS = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - _PRINTED))}
+TOGETHER = 50  # texts whose new words are learnt at a time
 _workers: dict = {}
 
 
 class WordIds:
     """Token ids of texts as little-endian 32-bit bytes, word by word with a bounded memory.
 
-    The tokenizer never joins characters across white space, nor a letter with one
-    of ``_MARKS``, so the ids of a text are those of its words and marks in order.
+    The tokenizer never joins characters across white space, nor one of ``_LETTERS`` with one
+    of ``_MARKS``, so the ids of a text are those of its words and marks in order.  Any other word is
+    given to the tokenizer with its marks: what a letter becomes in composed form or lower case
+    may end in a sign that is joined with them.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -63,48 +66,55 @@ class WordIds:
         self.model = self.tokenizer.model
         self.remembered = remembered
         self.known: dict[str, bytes] = {}  # words as they are written
-        self.parts: dict[str, bytes] = {}  # words without marks, in lower case where that is safe; marks
+        self.parts: dict[str, bytes] = {}  # plain words without marks, in lower case; marks
 
     def _learn(self, words: set[str]) -> None:
-        cut = {}
+        known, parts, tokenize = self.known, self.parts, self.model.tokenize
+        if len(parts) > self.remembered:
+            parts.clear()
+        marked, others = [], []
         for word in words:
             core = word.rstrip(_MARKS)
-            if len(core) < len(word) and core and core[-1].isalpha() and "'" not in core:
-                cut[word] = core.lower() if core.isascii() else core, word[len(core):]
+            if not (core.isalpha() if core.isascii() else _LETTERS.fullmatch(core)):
+                others.append(word)
+                continue
+            low = core.lower()
+            ids = parts.get(low)
+            if ids is None:  # one token string; the normaliser has nothing to do but lower case
+                own = low if low.isascii() else low.encode().decode("latin-1").translate(_BYTE_CHARS)
+                ids = parts[low] = array("I", [t.id for t in tokenize(own)]).tobytes()
+            if len(core) == len(word):
+                known[word] = ids
             else:
-                cut[word] = word.lower() if word.isascii() else word, ""
-        parts = self.parts
-        if len(parts) > self.remembered:
-            parts.clear()
-        new = []
-        for word in {p for pair in cut.values() for p in pair}:
-            if word not in parts:
-                if _LETTERS.fullmatch(word):  # one token string; the normaliser has nothing to do but lower case
-                    own = word.lower().encode().decode("latin-1").translate(_BYTE_CHARS)
-                    parts[word] = array("I", [t.id for t in self.model.tokenize(own)]).tobytes()
-                else:
-                    new.append(word)
+                marked.append((word, ids, word[len(core):]))
+        new = [*others, *{marks for _, _, marks in marked if marks not in parts}]
         if new:
             got = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
             ids, at = np.array(got.ids, "<u4"), np.array(got.word_ids, "i8")
             raw, ends = ids.tobytes(), (4 * np.searchsorted(at, np.arange(len(new) + 1))).tolist()
-            for word, a, b in zip(new, ends[:-1], ends[1:]):
-                parts[word] = raw[a:b]
-        for word, (core, marks) in cut.items():
-            self.known[word] = parts[core] + parts[marks]
+            for k, (word, a, b) in enumerate(zip(new, ends[:-1], ends[1:])):
+                (known if k < len(others) else parts)[word] = raw[a:b]
+        for word, ids, marks in marked:
+            known[word] = ids + parts[marks]
 
     def of(self, text: str) -> bytes:
-        if _SEPARATORS.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return next(self.of_all([text]))
+
+    def of_all(self, texts: list[str]):
+        """The ids of each text in turn."""
         known = self.known
-        if len(known) > self.remembered:
-            known.clear()
-        words = text.split()
-        found = [known.get(w) for w in words]
-        if None in found:
-            self._learn({w for w, f in zip(words, found) if f is None})
-            found = [known[w] for w in words]
-        return b"".join(found)
+        for at in range(0, len(texts), TOGETHER):
+            words = [[] if _SEPARATORS.search(t) else t.split() for t in texts[at:at + TOGETHER]]
+            if len(known) > self.remembered:
+                known.clear()
+            new = set().union(*words).difference(known)
+            if new:
+                self._learn(new)
+            for text, own in zip(texts[at:at + TOGETHER], words):
+                if not own and _SEPARATORS.search(text):
+                    yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+                else:
+                    yield b"".join(map(known.__getitem__, own))
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: int = CAPACITY,
@@ -119,8 +129,8 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capaci
         step = 4 * capacity
         for frame in frames:
             out = []
-            for doc, text in zip(frame["doc_id"], frame["text"]):
-                raw = ids_of.of(text) + end
+            for doc, ids in zip(frame["doc_id"], ids_of.of_all(frame["text"].tolist())):
+                raw = ids + end
                 for piece, at in enumerate(range(0, len(raw), step)):
                     part = raw[at:at + step]
                     out.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))

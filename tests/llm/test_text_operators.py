@@ -334,3 +334,42 @@ def test_pipeline_runs_end_to_end(spark, sf_small):
     out = corpus_pipeline.run(spark, sf_small)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "toxicity" and out.count() > 0
+
+
+def test_every_code_point_beside_every_mark():
+    """Word by word the ids are the tokenizer's, also where a letter changes in composed form or lower case."""
+    import public_tokenizers
+    ids_of = packing.WordIds(public_tokenizers.path(packing.TOKENIZER), remembered=5_000)
+    chars = [chr(c) for c in range(0x21, 0x1F000) if not 0xD800 <= c < 0xE000]
+    r = random.Random(1)
+    texts = []
+    for c in chars:
+        a, b = r.sample(packing._MARKS, 2)
+        texts += [f"{c}{a} a{c}{b}{a} {a}{c} {c}a{b}", f"Ab{c}.{c} x{a}{c}{b}"]
+    texts += ["it's, <|endoftext|>. don't! I'LL; ça, été. STRASSE: ẞ, ǅ! ﬁ. e\u0301, İ. हिन्दी, বাংলা! ਪੰਜਾਬੀ;"]
+    for at in range(0, len(texts), 2_000):
+        want = ids_of.tokenizer.encode_batch(texts[at:at + 2_000], add_special_tokens=False)
+        for text, own, got in zip(texts[at:at + 2_000], want, ids_of.of_all(texts[at:at + 2_000])):
+            assert np.frombuffer(got, "<u4").tolist() == own.ids, text
+
+
+def test_packing_pieces_match_brute_force(spark):
+    """Ids, starts and pieces of every document, one of many pieces, against the tokenizer's own."""
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(packing.TOKENIZER)
+    whole = Tokenizer.from_file(path)
+    r = random.Random(8)
+    rows = [(d, t) for d, t in odd() if d is not None] + [
+        (100 + k, " ".join(r.choices(["Straße,", "İ.", "it's", "a,b", "12.5", "हिन्दी!", "word", "WORD;"], k=r.choice([0, 5, 3000]))))
+        for k in range(40)]
+    got = sorted(tuple(x[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32"))
+                 for x in packing.pack_documents(docs_of(spark, rows), path).collect())
+    want = []
+    for d, t in rows:
+        ids = np.array([*whole.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
+        want += [(d, k, at, len(ids[at:at + 2048]), zlib.crc32(ids[at:at + 2048].tobytes()))
+                 for k, at in enumerate(range(0, len(ids), 2048))]
+    assert got == sorted(want)
