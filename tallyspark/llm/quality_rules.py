@@ -28,6 +28,8 @@ SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
 #: Share of the words in repeated three-word windows above which a text fails, in per cent.
 MOST_REPEATED = 50
+#: Trusted ids that are broadcast, at most (8 bytes each).
+MOST_BROADCAST = 2_000_000
 BUCKETS = 1 << 14
 LEAST_SCORE = -0.15
 #: Added to each bucket's count.
@@ -81,10 +83,12 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, n: int = BUCKETS, smoothing
     """``log p_trusted - log p_raw`` of each bucket.
 
     ``docs`` has ``doc_id, text`` and counts in full, as do all its rows whose id is in
-    ``trusted``.  One aggregate of ``n`` rows reaches the driver.
+    ``trusted``.  One aggregate of ``n`` rows reaches the driver.  The trusted ids are counted first: up to
+    ``MOST_BROADCAST`` of them go to every task (then no text is shuffled), more meet the documents in a sort-merge join.
     """
     ids = trusted.select(F.col("doc_id").alias("t_id")).where("t_id is not null").distinct()
-    f = docs.join(ids.hint("merge"), docs["doc_id"] == ids["t_id"], "left")  # one plan at any size
+    ids = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids.hint("merge")
+    f = docs.join(ids, docs["doc_id"] == ids["t_id"], "left")
     f = with_buckets(f.select(F.col("t_id").isNotNull().alias("good"), "text", words(F.col("text")).alias("words")), n)
     counts = (f.select("good", F.explode("buckets").alias("bucket")).groupBy("bucket")
               .agg(F.count("*").alias("raw"), F.count_if("good").alias("target")).collect())

@@ -373,3 +373,11 @@ def test_packing_pieces_match_brute_force(spark):
         want += [(d, k, at, len(ids[at:at + 2048]), zlib.crc32(ids[at:at + 2048].tobytes()))
                  for k, at in enumerate(range(0, len(ids), 2048))]
     assert got == sorted(want)
+
+
+def test_quality_ratio_is_the_same_by_either_join(spark, monkeypatch):
+    rows = [(k, " ".join(random.Random(k).choices(WORDS, k=60))) for k in range(40)] + [(3, "alpha"), (None, "beta")]
+    df, trusted = docs_of(spark, rows), spark.createDataFrame([(k,) for k in (1, 3, 3, 5, 99, None)], "doc_id long")
+    table = quality_rules.ratio_table(df, trusted)
+    monkeypatch.setattr(quality_rules, "MOST_BROADCAST", 0)
+    assert quality_rules.ratio_table(df, trusted) == table and any(table)
