@@ -12,6 +12,8 @@ about ``CHUNK_CHARS`` characters by a hash; the index of one chunk is small
 enough for every task, and each chunk scans the documents once, so a benchmark
 of any size is handled.
 
+An occurrence is that of a whole item within its edit budget; a quote of a part of an item is none.
+
 Defined cases: null and empty texts have no passages; items shorter than
 ``LEAST_ITEM`` characters or null are ignored, repeated item rows count once;
 repeated document rows each give their rows; null ids are kept; an empty
@@ -20,6 +22,7 @@ benchmark gives an empty result; other columns are dropped.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -224,21 +227,26 @@ def scan(index: Index, ids, batch: list[str]):
         at = stop
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Occurrences of benchmark items: ``doc_id, item_id, start, end, edits`` (code points, end exclusive)."""
+def _held_items(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str) -> list:
+    """The items that are searched for, as broadcasts of about ``CHUNK_CHARS`` characters each."""
     spark = docs.sparkSession
     items = (benchmark.select(benchmark[item_id].cast("long").alias("item_id"), benchmark[item_text].alias("item"))
              .where(F.length("item") >= LEAST_ITEM).distinct())
     size = items.agg(F.sum(F.length("item"))).first()[0] or 0
-    chunks = -(-size // CHUNK_CHARS)
-    t = texts(docs, id_col, text_col)
-
-    def hits_of(chunk: int) -> DataFrame:
+    chunks, out = -(-size // CHUNK_CHARS), []
+    for chunk in range(chunks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "item"), F.lit(chunks)) == chunk).collect()
-        held = spark.sparkContext.broadcast(sorted(
-            ((r["item_id"], r["item"]) for r in rows), key=lambda x: (x[0] is None, x[0] or 0, x[1])))
+        out.append(spark.sparkContext.broadcast(sorted(
+            ((r["item_id"], r["item"]) for r in rows), key=lambda x: (x[0] is None, x[0] or 0, x[1]))))
+    return out
+
 
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """Occurrences of benchmark items: ``doc_id, item_id, start, end, edits`` (code points, end exclusive)."""
+    t = texts(docs, id_col, text_col)
+
+    def hits_of(held) -> DataFrame:
         def find(frames):
             index = Index(held.value)
             for frame in frames:
@@ -248,6 +256,23 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
 
         return t.mapInPandas(find, SCHEMA)
 
-    if not chunks:
-        return spark.createDataFrame([], SCHEMA)
-    return reduce(DataFrame.unionAll, [hits_of(c) for c in range(chunks)])
+    found = [hits_of(held) for held in _held_items(docs, benchmark, item_id, item_text)]
+    return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], SCHEMA)
+
+
+def without_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
+                     item_text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has no occurrence of an item: told row by row, whatever their ids are."""
+    def clean(held):
+        @F.pandas_udf("boolean")
+        def free(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            index = Index(held.value)
+            for batch in batches:
+                hit = {row for row, *_ in scan(index, list(range(len(batch))), batch.tolist())}
+                yield pd.Series([k not in hit for k in range(len(batch))], dtype=bool)
+
+        return free(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+
+    for held in _held_items(docs, benchmark, item_id, item_text):
+        docs = docs.where(clean(held))
+    return docs

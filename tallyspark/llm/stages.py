@@ -1,7 +1,7 @@
 """The stages of the corpus pipeline: ``(spark, docs, sf_dir) -> DataFrame``.
 
-All but the last return the columns of ``docs``.  Null texts count as empty; rows
-without an id pass every filter (nothing can be said about them by id).
+All but the last return the columns of ``docs``.  Null texts count as empty.  Every decision is
+about a row and its text: rows without an id, and different texts under one id, are judged like any other.
 """
 
 from __future__ import annotations
@@ -29,24 +29,26 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents: the one with the smallest id, once."""
+    """One row of each group of linked rows: one with the smallest id (a null id last), the first stored of those.
+
+    The rows get a key of the stage's own, stored with them; groups and joins go by it.
+    """
     ship(spark)
-    found = written(jaccard.jaccard_components(docs, size=WORDS, percent=PERCENT), "components")
-    named = found.where("doc_id is not null").groupBy("doc_id").agg(
-        F.min("component_id").alias("component_id"), F.count("*").alias("n"))
-    apart = written(named.where("component_id <> doc_id or n > 1"), "apart")  # the rest stays as it is
-    rest = apart.select(F.col("doc_id").alias("other"))
-    kept = docs.join(rest, docs["doc_id"] == rest["other"], "left_anti")
-    again = apart.where("component_id = doc_id").select(F.col("doc_id").alias("other"))  # ids of several rows
-    once = docs.join(again, docs["doc_id"] == again["other"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(once)
+    key = unused(docs, "row")
+    rows = written(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    found = jaccard.jaccard_components(rows, size=WORDS, percent=PERCENT, id_col=key)
+    found = written(found.select(F.col("doc_id").alias("own"), "component_id"), "components")
+    ids = rows.select(F.col(key).alias("own"), rows["doc_id"].isNull().alias("nameless"), rows["doc_id"].alias("id"))
+    best = (found.join(ids, "own").groupBy("component_id").agg(F.min(F.struct("nameless", "id", "own")).alias("m"))
+            .select(F.col("m.own").alias("own")))
+    gone = written(found.select("own").join(best, "own", "left_anti"), "gone")
+    return rows.join(gone, rows[key] == gone["own"], "left_anti").drop(key)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    hits = decontaminate.benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
-    bad = hits.select(F.col("doc_id").alias("bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["bad"], "left_anti")
+    ship(spark)
+    return decontaminate.without_passages(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
