@@ -30,16 +30,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import give_back, texts
 
 Q = 8
 EDIT_RATE = 0.08
 LEAST_ITEM = 24
 CHUNK_CHARS = 4_000_000
 #: Characters of text that are scanned at a time (a longer text is scanned alone).
-SCANNED = 2_000_000
+SCANNED = 500_000
 #: (document, item) pairs that are counted in one array; more are counted by sorting.
-MOST_PAIRS = 20_000_000
+MOST_PAIRS = 2_000_000
 SCHEMA = "doc_id long, item_id long, start long, end long, edits int"
 
 _FOLD = np.arange(0x100, dtype="u4")
@@ -253,6 +253,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
                 found = list(scan(index, frame["doc_id"].tolist(), frame["text"].tolist()))
                 yield pd.DataFrame(found, columns=["doc_id", "item_id", "start", "end", "edits"]).astype(
                     {"doc_id": "Int64", "item_id": "Int64"})
+            give_back()
 
         return t.mapInPandas(find, SCHEMA)
 
@@ -266,10 +267,12 @@ def without_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "tex
     def clean(held):
         @F.pandas_udf("boolean")
         def free(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            give_back()
             index = Index(held.value)
             for batch in batches:
                 hit = {row for row, *_ in scan(index, list(range(len(batch))), batch.tolist())}
                 yield pd.Series([k not in hit for k in range(len(batch))], dtype=bool)
+            give_back()
 
         return free(F.coalesce(docs[text_col].cast("string"), F.lit("")))
 

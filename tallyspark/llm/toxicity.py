@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts, written
+from .common import give_back, texts, written
 
 MOST_LABELLED = 20_000
 LEAST_TOXIC = 3  # documents that a feature must be in
@@ -39,8 +39,8 @@ STRONGEST = 3
 STRONG = 3.0
 REJECT_AT = 0.7
 #: Words and spans whose result a worker remembers, at most.
-REMEMBERED = 50_000
-WEAK_REMEMBERED = 200_000  # words without weight: only the words themselves
+REMEMBERED = 20_000
+WEAK_REMEMBERED = 100_000  # words without weight: only the words themselves
 #: Characters whose trigrams are counted at a time (a longer text is taken in pieces of so many).
 COUNTED = 500_000
 
@@ -119,6 +119,7 @@ def character_model(docs: DataFrame) -> np.ndarray:
                     total += np.bincount(c[:-2] * _SIZE ** 2 + c[1:-1] * _SIZE + c[2:], minlength=_SIZE ** 3)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"code": at, "n": total[at]})
+        give_back()
 
     rows = (docs.select("text").mapInPandas(count, "code long, n long")
             .groupBy("code").agg(F.sum("n").alias("n")).toPandas())  # at most 64^3 rows
@@ -349,6 +350,7 @@ def _feature_counts(words: DataFrame, letters: np.ndarray) -> pd.DataFrame:
                     n[2 * half] += label
                     n[2 * half + 1] += 1
             yield pd.DataFrame([(f, *n) for f, n in found.items()], columns=["feature", "t0", "n0", "t1", "n1"])
+        give_back()
 
     names = ["t0", "n0", "t1", "n1"]
     return (words.mapInPandas(count, "feature string, t0 long, n0 long, t1 long, n1 long")
@@ -375,6 +377,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_labelled:
         for frame in frames:
             yield pd.DataFrame({"toxic": frame["toxic"], "half": frame["half"],
                                 "words": [sorted(restorer.words(t)) for t in frame["text"]]})
+        give_back()
 
     words = written(sample.mapInPandas(restored, "toxic int, half int, words array<string>"), "toxicity-words")
     totals = words.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first().asDict()
@@ -417,5 +420,6 @@ def score_column(spark, model: ToxicityModel, text: Column) -> Column:
         scorer = Scorer(held.value)
         for batch in batches:
             yield pd.Series([scorer.score(t) for t in batch], dtype="f8")
+        give_back()
 
     return toxicity(F.coalesce(text.cast("string"), F.lit("")))
