@@ -120,7 +120,7 @@ def _side(spark, table, column, filt, count_query, what):
 
 def run_load_audit(spark: SparkSession, cfg: LoadAuditConfig, status: str, start_ts=None, end_ts=None,
                    run_date=None, epoch_time=None, old_status: str | None = None) -> dict:
-    """All outputs of one load-audit run as lazy DataFrames.
+    """All outputs of one load-audit run as DataFrames; the reconciliation (one row per date) is stored when this is called.
 
     Keys: ``increments``, ``reconciliation``, ``audit_rows``, ``table_count_audit``
     and ``audit_summary`` (the last two only when count tables are configured).  When
