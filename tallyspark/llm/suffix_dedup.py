@@ -47,7 +47,7 @@ SORTED_BYTES = 1 << 21
 SLOTS = 1 << 18
 #: An 8-byte string is heavily used if its slot has this many times the mean count.
 HEAVY = 16
-LEVEL = 6
+LEVEL = 3
 
 _U = np.uint64
 _K1, _K2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -141,12 +141,18 @@ def cut_segments(parts: list[bytes], heavy: np.ndarray):
 
 def rows_of(b: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The segments as rows of ``_WIDTH`` bytes, zeros after their end."""
-    place = np.arange(_WIDTH)
-    out = b[np.minimum(begin[:, None] + place, len(b) - 1)]
-    out[place >= size[:, None]] = 0
+    if len(begin) and begin.max() + _WIDTH > len(b):
+        b = padded(b)
+    out = np.lib.stride_tricks.sliding_window_view(b, _WIDTH)[begin] if len(begin) else np.zeros((0, _WIDTH), "u1")
+    out *= np.arange(_WIDTH) < size[:, None]
     return out
 
 
+def padded(b: np.ndarray) -> np.ndarray:
+    """The bytes and a row's width of zeros, so that a row can be read at each place."""
+    return np.concatenate((b, np.zeros(_WIDTH, "u1")))
+
+
 def fingerprints(rows: np.ndarray, size: np.ndarray) -> np.ndarray:
     w = rows.view(">u8").astype("u8")
     out = _mixed(size.astype("u8"))
@@ -313,7 +319,7 @@ class _Outbox:
         """Send the smallest document's copies of each segment; mark the others."""
         h = fingerprints(rows, size)
         order = np.lexsort((begin, doc, h))
-        h, doc, begin, size, off, rows = (x[order] for x in (h, doc, begin, size, off, rows))
+        h, doc, begin, size, off = (x[order] for x in (h, doc, begin, size, off))
         head = np.concatenate(([True], h[1:] != h[:-1]))
         least = doc[np.flatnonzero(head)][np.cumsum(head) - 1]
         gone = doc > least
@@ -321,8 +327,9 @@ class _Outbox:
             n, blob = _pack(int(gone.sum()), doc[gone], begin[gone], begin[gone] + size[gone])
             self.out.append((int(doc[gone][0] % self.buckets), _MARKS, n, blob))
         keep = ~gone
-        bucket = (_mixed(anchors(rows[keep], off[keep]) * _K2) % _U(self.buckets)).astype("i4")
-        self.parts.append((bucket, doc[keep], begin[keep], size[keep], off[keep], rows[keep]))
+        rows = rows[order[keep]]
+        bucket = (_mixed(anchors(rows, off[keep]) * _K2) % _U(self.buckets)).astype("i4")
+        self.parts.append((bucket, doc[keep], begin[keep], size[keep], off[keep], rows))
 
     def flush(self):
         if self.parts:
@@ -386,6 +393,7 @@ def repeated(doc, begin, size, off, text):
     order = np.argsort(anchor, kind="stable")
     cuts = np.flatnonzero(np.concatenate(([True], np.diff(anchor[order]) != 0, [True])))
     total = np.concatenate(([0], np.cumsum(size[order])))
+    text = padded(text)
     a = 0
     while a < len(cuts) - 1:  # whole anchor groups, about SORTED_BYTES at a time
         b = a + 1
