@@ -57,7 +57,7 @@ FURNITURE = frozenset("""ad ads advert adverts advertisement advertising alert a
  tags toc toolbar topbar widget widgets""".split())
 ARTICLE = frozenset("article articlebody body-text content entry main maincontent post story text".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
+_TAG = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>?", re.S)
 _ATTR = re.compile(r"(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -414,7 +414,7 @@ def decode(nodes: list[Node], score: np.ndarray, own: np.ndarray) -> np.ndarray:
 
 
 def blocks(nodes: list[Node], kept: np.ndarray) -> list[str]:
-    """Texts of the kept blocks in page order, references decoded, white space made one blank."""
+    """Texts of the kept blocks in page order, references decoded, white space (no-break spaces too) made one blank."""
     out, run = [], []
 
     def flush():

@@ -2,12 +2,15 @@
 
 Built from SQL functions only.  A pattern is applied twice: ``regexp_extract_all``
 gives the matches and ``split`` the text between them, so that the running sum of
-their lengths gives each match's place in code points.
+their lengths gives each match's place in code points.  Sums and redacted texts are built in
+blocks of ``BLOCK`` and context comes from the pieces before a match, so that the time
+follows the length of a text, also of one with very many matches.
 
 Base kinds (always kept when their own check passes): ``email``; ``ip`` with
 parts up to 255; ``card`` of 13 to 19 digits passing Luhn; ``phone`` of 9 to 15
-digits.  Added kinds: ``iban`` confirmed by mod 97, and ``ssn``, which has no
-checksum and is kept only near a context word.
+digits.  Added kinds: ``iban`` confirmed by mod 97; ``ssn``, which has no
+checksum and is kept only near a context word; ``secret``, 16 or more letters, digits, ``_`` and ``-``
+with a letter and three digits, kept only right after a word such as ``token`` or ``password`` and a sign.
 
 Defined cases: a null or empty text has no spans; every row gives one row
 (repeated rows and null ids included); other columns are kept by ``find_pii``,
@@ -23,7 +26,9 @@ from pyspark.sql import functions as F
 from .common import texts, unused
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = BASE_KINDS + ("iban", "ssn")
+KINDS = BASE_KINDS + ("iban", "ssn", "secret")
+#: Matches whose places, or spans whose tags, are put in at a time.
+BLOCK = 256
 
 # The patterns.  Possessive forms and the "end of the last match or no
 # such character before" guard keep the search linear without changing the matches.
@@ -34,6 +39,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{16,}+",
 }
 # A text without this cannot match; cheap to test.
 NEEDS = {
@@ -43,6 +49,7 @@ NEEDS = {
     "phone": "instr(t, '+') > 0",
     "iban": "t rlike '[A-Z]{2}[0-9]{2}'",
     "ssn": "t rlike '[0-9]{3}-[0-9]{2}-[0-9]{4}'",
+    "secret": "t rlike '(?i)(?:token|secret|passw(?:or)?d|pwd|key)[^A-Za-z0-9_-]{1,5}[A-Za-z0-9_-]{16}'",
 }
 CONTEXT = {
     "email": "mail|contact|write to|correo|courriel",
@@ -51,11 +58,15 @@ CONTEXT = {
     "phone": "phone|call|tel|mobile|fax",
     "iban": "iban|account|bank|konto|compte|cuenta",
     "ssn": "ssn|social security|social insurance|tax id",
+    "secret": r"(?:token|secret|passw(?:or)?d|pwd|key)[^a-z0-9_-]{1,5}\z",
 }
 CONTEXT_CHARS = 40
+#: A match and the text before it have 3 characters or more (adjacent e-mail addresses have none between, but 5 or
+#: more of their own), so that so many pieces before a match hold its context.
+CONTEXT_PIECES = 14
 # Score: the proposal, plus what its checksum and a context word add.
-PROPOSED = {"email": 0.7, "ip": 0.7, "card": 0.4, "phone": 0.7, "iban": 0.4, "ssn": 0.4}
-CHECKED = {"email": 0.0, "ip": 0.1, "card": 0.4, "phone": 0.1, "iban": 0.4, "ssn": 0.0}
+PROPOSED = {"email": 0.7, "ip": 0.7, "card": 0.4, "phone": 0.7, "iban": 0.4, "ssn": 0.4, "secret": 0.2}
+CHECKED = {"email": 0.0, "ip": 0.1, "card": 0.4, "phone": 0.1, "iban": 0.4, "ssn": 0.0, "secret": 0.2}
 NEAR_WORD = 0.2
 LEAST_SCORE = 0.6
 
@@ -77,6 +88,7 @@ def _check(kind: str, m: str) -> str:
         "card": f"length({digits}) between 13 and 19 and luhn_check({digits})",
         "phone": f"length({digits}) between 9 and 15",
         "iban": _MOD97.format(c=f"replace({m}, ' ', '')"),
+        "secret": f"{m} rlike '[A-Za-z]' and length({digits}) >= 3",
     }[kind]
 
 
@@ -84,20 +96,48 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\") + "'"
 
 
+def _blocks(array: str) -> str:
+    """SQL: the array (not empty) as blocks of ``BLOCK`` elements."""
+    return f"transform(sequence(0, (size({array}) - 1) div {BLOCK}), k -> slice({array}, k * {BLOCK} + 1, {BLOCK}))"
+
+
+def _running(array: str, step: str) -> str:
+    """SQL: a fold's values before the first and after each element; ``step`` joins ``v`` and the element ``x``."""
+    return (f"aggregate({array}, array(0), (a, x) -> concat(a, transform(slice(a, -1, 1), v -> {step})))")
+
+
+def _sums(kind: str) -> str:
+    """SQL: the lengths of each match and the text before it, in blocks."""
+    lengths = f"zip_with(slice(b_{kind}, 1, size(m_{kind})), m_{kind}, (b, m) -> length(b) + length(m))"
+    return f"transform(array({lengths}), s -> {_blocks('s')})[0]"
+
+
+def _ends(kind: str) -> str:
+    """SQL: where each match ends, from the blocks of lengths."""
+    before = _running(f"transform(l_{kind}, l -> aggregate(l, 0, (a, x) -> a + x))", "v + x")
+    return (f"flatten(zip_with(l_{kind}, slice({before}, 1, size(l_{kind})), (l, p) ->"
+            f" transform(slice({_running('l', 'v + x')}, 2, {BLOCK}), e -> e + p)))")
+
+
+def _pieces(kind: str) -> str:
+    """SQL: the last characters of the text up to the end of each match, from the end of the match before."""
+    return (f"zip_with(slice(b_{kind}, 1, size(m_{kind})), m_{kind},"
+            f" (b, m) -> right(concat(right(b, {CONTEXT_CHARS}), m), {CONTEXT_CHARS}))")
+
+
 def _spans(kind: str) -> str:
-    """SQL: the kind's spans, from the text ``t``, its matches and the text between them."""
-    near = (f"lower(substring(t, greatest(a.p + x.g - {CONTEXT_CHARS}, 0) + 1,"
-            f" least(a.p + x.g, {CONTEXT_CHARS}))) rlike {_quoted(CONTEXT[kind])}")
-    score = f"{PROPOSED[kind]}D + if(x.ok, {CHECKED[kind]}D, 0D) + if({near}, {NEAR_WORD}D, 0D)"
-    span = (f"named_struct('kind', '{kind}', 'start', a.p + x.g, 'end', a.p + x.g + x.n,"
-            f" 'score', round({score}, 2))")
-    return (
-        f"aggregate(zip_with(slice(b_{kind}, 1, size(m_{kind})), m_{kind}, (b, m) ->"
-        f" named_struct('g', length(b), 'n', length(m), 'ok', {_check(kind, 'm')})),"
-        " named_struct('p', 0, 'out', cast(array() as array<struct<kind:string,start:int,end:int,score:double>>)),"
-        f" (a, x) -> named_struct('p', a.p + x.g + x.n, 'out',"
-        f" if(x.ok, concat(a.out, array({span})), a.out)),"
-        f" a -> filter(a.out, s -> s.score >= {LEAST_SCORE}D))")
+    """SQL: the kind's spans, from its matches, their ends, the text between them and the pieces before."""
+    before = (f"concat(array_join(slice(c_{kind}, greatest(i - {CONTEXT_PIECES - 1}, 1),"
+              f" least(i, {CONTEXT_PIECES})), ''), right(b_{kind}[i], {CONTEXT_CHARS}))")
+    near = f"lower(right({before}, {CONTEXT_CHARS})) rlike {_quoted(CONTEXT[kind])}"
+    score = f"{PROPOSED[kind] + CHECKED[kind]}D + if({near}, {NEAR_WORD}D, 0D)"
+    found = (f"transform(m_{kind}, (m, i) -> if({_check(kind, 'm')}, named_struct('kind', '{kind}',"
+             f" 'start', e_{kind}[i] - length(m), 'end', e_{kind}[i], 'score', round({score}, 2)), null))")
+    return f"filter({found}, s -> s.score >= {LEAST_SCORE}D)"
+
+
+def _if_any(kind: str, what: str, of: str) -> Column:
+    return F.expr(f"if(size(m_{kind}) > 0, {what}, cast(array() as array<{of}>))")
 
 
 def find_pii(df: DataFrame, text_col: str = "text", out: str = "pii") -> DataFrame:
@@ -116,7 +156,10 @@ def find_pii(df: DataFrame, text_col: str = "text", out: str = "pii") -> DataFra
         hold, "t", *[f"m_{k}" for k in KINDS],
         *[F.expr(f"if(size(m_{k}) > 0, split(t, {_quoted(PATTERNS[k])}, -1), cast(array() as array<string>))")
           .alias(f"b_{k}") for k in KINDS])
-    spans = F.expr("concat(" + ", ".join(_spans(k) for k in KINDS) + ")")
+    for name, what, of in (("l", _sums, "array<int>"), ("e", _ends, "int"), ("c", _pieces, "string")):
+        parts = parts.select("*", *[_if_any(k, what(k), of).alias(f"{name}_{k}") for k in KINDS])
+    none = "struct<kind:string,start:int,end:int,score:double>"
+    spans = F.concat(*[_if_any(k, _spans(k), none) for k in KINDS])
     return parts.select(hold, spans.alias("spans")).select(f"{hold}.*", F.col("spans").alias(out))
 
 
@@ -126,27 +169,29 @@ def digest(spans: Column, kinds=KINDS) -> Column:
     return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def redacted(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in angle brackets, as ``<email>``."""
-    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(
-        s["start"].alias("s"), (-s["end"]).alias("e"), s["kind"].alias("k"))))
-    start = F.struct(F.lit(0).alias("p"), F.lit("").alias("out"))
-
-    def step(a, x):
-        end = -x["e"]
-        tag = F.when(x["s"] >= a["p"], F.concat(
-            text.substr(a["p"] + 1, x["s"] - a["p"]), F.lit("<"), x["k"], F.lit(">"))).otherwise(F.lit(""))
-        return F.struct(F.greatest(a["p"], end).alias("p"), F.concat(a["out"], tag).alias("out"))
-
-    return F.aggregate(ordered, start, step, lambda a: F.concat(a["out"], text.substr(a["p"] + 1, F.length(text))))
-
-
 def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with personal data in ``text_col`` replaced by tags; rows without any are unchanged (nulls too)."""
+    """``df`` with personal data in ``text_col`` replaced by its kind in angle brackets, as ``<email>``.
+
+    Rows without any are unchanged (nulls too).  A span that begins inside one before it gets no tag of its own.
+    """
     name = unused(df, "pii")
     f = find_pii(df, text_col, name)
-    clean = F.when(F.size(name) > 0, redacted(F.col(text_col), F.col(name))).otherwise(F.col(text_col))
-    return f.select(*[clean.alias(c) if c == text_col else F.col(c) for c in df.columns])
+    f = f.select(F.struct(*[f[c] for c in df.columns]).alias("h"), f[text_col].cast("string").alias("t"),
+                 F.sort_array(F.transform(name, lambda s: F.struct(
+                     s["start"].alias("s"), (-s["end"]).alias("e"), s["kind"].alias("k")))).alias("o"))
+    f = f.select("h", "t", F.expr(f"if(size(o) > 0, {_blocks('o')}, null)").alias("o"))
+    # the farthest end before each block: a block's part of the text lies between its own and the next one's
+    f = f.select("h", "t", "o", F.expr(_running("transform(o, b -> -array_min(transform(b, x -> x.e)))",
+                                                "greatest(v, x)")).alias("p"))
+    tag = ("named_struct('p', greatest(a.p, -x.e), 'out', if(x.s >= a.p, concat(a.out,"
+           " substring(g, a.p - q + 1, x.s - a.p), '<', x.k, '>'), a.out))")
+    block = ("transform(array(substring(t, p[i] + 1, p[i + 1] - p[i])), g -> transform(array(p[i]), q ->"
+             f" aggregate(b, named_struct('p', q, 'out', ''), (a, x) -> {tag}, a -> a.out))[0])[0]")
+    clean = F.expr(f"concat(array_join(transform(o, (b, i) -> {block}), ''),"
+                   " substring(t, element_at(p, -1) + 1))")
+    f = f.select("h", F.when(F.col("o").isNotNull(), clean).otherwise(F.col("t")).alias("clean"))
+    return f.select(*[F.col("clean").cast(df.schema[c].dataType).alias(c) if c == text_col else F.col(f"h.{c}").alias(c)
+                      for c in df.columns])
 
 
 def pii_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
