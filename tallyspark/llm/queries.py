@@ -108,6 +108,100 @@ SELECT page_id, host, path, rule,
 """
 
 
+# Per kind: its pattern for DuckDB (runs of a character class stand for look-around) and the condition on a match m
+# with the text before it.
+_D = "regexp_replace(m, '[^0-9]', '', 'g')"
+_OP2_KINDS = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+           "len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3"
+           " OR ('0' || substr(ltrim(p, '0'), 1, 3))::INT > 255)) = 0"),
+    "card": (r"[0-9]([\x20-]?[0-9])+",
+             f"length({_D}) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, length({_D}) + 1), lambda i:"
+             f" CASE WHEN i % 2 = 1 THEN substr(reverse({_D}), i::INT, 1)::INT"
+             f" ELSE [0, 2, 4, 6, 8, 1, 3, 5, 7, 9][substr(reverse({_D}), i::INT, 1)::INT + 1] END)) % 10 = 0"),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_D}) BETWEEN 9 AND 15"),
+    "iban": (r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b",
+             "list_reduce(list_prepend(0::BIGINT, list_transform(string_split(substr(replace(m, ' ', ''), 5) ||"
+             " substr(m, 1, 4), ''), lambda h: CASE WHEN h BETWEEN '0' AND '9' THEN ascii(h) - 48 ELSE ascii(h) - 55"
+             " END::BIGINT)), lambda r, x: CASE WHEN x < 10 THEN (r * 10 + x) % 97 ELSE (r * 100 + x) % 97 END) = 1"),
+    "ssn": (r"[0-9-]+", "regexp_full_match(m, '[0-9]{3}-[0-9]{2}-[0-9]{4}') AND"
+            " regexp_matches(near, 'ssn|social security|social insurance|tax id')"),
+    "secret": (r"[A-Za-z0-9_-]{16,}", f"regexp_matches(m, '[A-Za-z]') AND length({_D}) >= 3 AND"
+               r" regexp_matches(near, '(?:token|secret|passw(?:or)?d|pwd|key)[^a-z0-9_-]{1,5}\z')"),
+}
+_OP2 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+cut AS ({" UNION ALL ".join(
+    f"SELECT r, t, {k} AS place, '{kind}' AS kind, regexp_extract_all(t, '{pattern}') AS ms,"
+    f" regexp_split_to_array(t, '{pattern}') AS bs FROM docs" for k, (kind, (pattern, _)) in enumerate(_OP2_KINDS.items()))}),
+matches AS (SELECT r, t, place, kind, unnest(ms) AS m, unnest(bs[1:len(ms)]) AS b, generate_subscripts(ms, 1) AS i
+            FROM cut WHERE len(ms) > 0),
+placed AS (SELECT *, sum(length(b) + length(m)) OVER (PARTITION BY r, place ORDER BY i)::BIGINT AS stop FROM matches),
+started AS (SELECT *, stop - length(m) AS start, lower(substr(t, greatest(stop - length(m) - 40, 0) + 1,
+                   least(stop - length(m), 40))) AS near FROM placed),
+found AS (SELECT r, place, kind, start, kind || ':' || start || ':' || stop AS span FROM started
+          WHERE CASE {" ".join(f"WHEN kind = '{kind}' THEN {check}" for kind, (_, check) in _OP2_KINDS.items())} END),
+joined AS (SELECT r, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+                  count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+                  string_agg(span, ',' ORDER BY place, start) FILTER (place < 4) AS base,
+                  string_agg(span, ',' ORDER BY place, start) AS spans FROM found GROUP BY r)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN joined USING (r)
+"""
+
+
+# Components of shared 4-word shingles: every pair of different texts that share one, counted in full.
+_LINKED = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, w, min(doc_id) OVER (PARTITION BY w) AS c FROM (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents)),
+words AS (SELECT c, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS i
+          FROM (SELECT DISTINCT c, w FROM docs)),
+runs AS (SELECT c, n, i, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o) AS s
+         FROM words WINDOW o AS (PARTITION BY c ORDER BY i)),
+shingles AS (SELECT DISTINCT c, s FROM runs WHERE i <= greatest(n - 3, 1)),
+sizes AS (SELECT c, count(*) AS n FROM shingles GROUP BY c),
+shared AS (SELECT a.c AS x, b.c AS y, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.c < b.c
+           GROUP BY a.c, b.c),
+links AS (SELECT x, y FROM shared JOIN sizes p ON p.c = x JOIN sizes q ON q.c = y
+          WHERE 100 * shared.n >= {percent} * (p.n + q.n - shared.n)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT c, c AS least FROM sizes UNION SELECT y, least FROM reach JOIN edges ON x = c WHERE least < y),
+found AS (SELECT c, min(least) AS least FROM reach GROUP BY c),
+result AS (
+  SELECT doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, coalesce(least, doc_id)::BIGINT AS component_id
+  FROM docs LEFT JOIN sizes ON sizes.c = docs.c LEFT JOIN found ON found.c = docs.c)
+"""
+_OP8 = _LINKED.format(percent=85) + "SELECT * FROM result"
+_OP11 = _LINKED.format(percent=80) + "SELECT *, doc_id = component_id AS kept FROM result"
+
+# Every string of 50 bytes as hexadecimal digits, cut from parts of the text.
+_OP6 = r"""
+WITH raw AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT doc_id, h, length(h) // 2 AS n FROM raw),
+parts AS (SELECT doc_id, base, least(500, n - 49 - base) AS starts, substr(h, 2 * base + 1, 2 * 549) AS part
+          FROM (SELECT *, unnest(range(0, n - 49, 500)) AS base FROM sized)),
+strings AS (SELECT doc_id, base + o AS pos, substr(part, 2 * o + 1, 100) AS s
+            FROM (SELECT *, unnest(range(0, starts)) AS o FROM parts)),
+least_ AS (SELECT s, min(doc_id) AS least FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT doc_id, pos FROM strings JOIN least_ USING (s) WHERE doc_id > least),
+heads AS (SELECT doc_id, pos, CASE WHEN pos <= lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 50 THEN 0 ELSE 1 END AS head
+          FROM hits),
+spans AS (SELECT doc_id, min(pos) AS a, max(pos) + 50 AS b FROM (
+            SELECT doc_id, pos, sum(head) OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM heads) GROUP BY doc_id, k),
+around AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+kept AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+                string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS k
+         FROM around JOIN sized USING (doc_id) GROUP BY doc_id)
+SELECT sized.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(from_hex(coalesce(k, h))) AS kept_sha256
+FROM sized LEFT JOIN kept ON kept.doc_id = sized.doc_id
+"""
+
+
 _OP12 = r"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -212,4 +306,5 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN ends ON ends.conv_
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filters": _OP3, "op12_lexical_search": _OP12, "op13_conversation_repair": _OP13}
+    return {"op2_pii": _OP2, "op3_url_filters": _OP3, "op6_suffix_dedup": _OP6, "op8_jaccard_join": _OP8,
+            "op11_minhash_dedup": _OP11, "op12_lexical_search": _OP12, "op13_conversation_repair": _OP13}
