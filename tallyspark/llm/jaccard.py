@@ -43,6 +43,8 @@ from .common import texts, written
 from .components import components
 
 GROUP = 64
+#: Cuts of a class of equal sets: its rows come to as many tasks.
+CUTS = 256
 #: Bytes of text that a task turns into shingles at a time (a longer text is taken alone).
 CHUNK_BYTES = 2_000_000
 GROWTH = 1.5  # of the sizes that share a partition scheme; above 100 / percent
@@ -361,6 +363,33 @@ def open_groups(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent:
     return rows.groupBy("bucket").applyInPandas(compare, "a long, b long")
 
 
+def classes(rows: DataFrame) -> DataFrame:
+    """``(doc, n, need, rep)``: ``rep`` is the smallest document with the same shingles.
+
+    Equal sets are first met within ``CUTS`` cuts by their documents' hashes, so a class with a third of all
+    rows comes to many tasks; only one row for each cut of a class meets the others.
+    """
+    cut = rows.withColumn("cut", F.pmod(F.xxhash64("doc"), F.lit(CUTS)))
+    whole = Window.partitionBy("x", "y", "n")
+    reps = (cut.where("n > 0").groupBy("x", "y", "n", "cut").agg(F.min("doc").alias("own"), F.count("*").alias("held"))
+            .select("x", "y", "n", "cut", F.min("own").over(whole).alias("rep"),
+                    F.sum("held").over(whole).alias("members"))
+            .where("members > 1").drop("members"))
+    return (cut.join(reps, ["x", "y", "n", "cut"], "left")
+            .select("doc", "n", "need", F.coalesce("rep", "doc").alias("rep")))
+
+
+def open_parts(matrix: DataFrame, group: DataFrame) -> DataFrame:
+    """``(part, grp, need)`` of the parts whose groups reach into more than one component.
+
+    Any other part opens no pair of groups, so those of a finished family are not paired by the parts they share.
+    """
+    same = Window.partitionBy("part")
+    return (matrix.join(group, "grp").select("part", "grp", "need", F.min("lo").over(same).alias("low"),
+                                             F.max("hi").over(same).alias("high"))
+            .where("low < high").select("part", "grp", "need"))
+
+
 def in_families(members: DataFrame, family: DataFrame, loose: DataFrame) -> DataFrame:
     """``members`` with the ``hub`` that names their family.
 
@@ -390,9 +419,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = written(signature_lists(t, size, percent, buckets), "shingles")
     rows = found.where(F.col("kind") == _DOC).select("doc", "x", "y", "n", "need")
-    class_of = (rows.where("n > 0").groupBy("x", "y", "n").agg(F.min("doc").alias("rep")))
-    named = written(rows.join(class_of, ["x", "y", "n"], "left")
-                    .select("doc", "n", "need", F.coalesce("rep", "doc").alias("rep")), "classes")
+    named = written(classes(rows), "classes")
     # the smallest document of a class stands for it in its chunk too, so its ``need`` is there
     reps = named.where("n > 0 and doc = rep").groupBy("doc").agg(F.max("need").alias("need"))
     to_rep = named.where("n > 0").select(F.col("doc").alias("hub"), "rep").distinct()
@@ -447,7 +474,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     matrix = (lists.select("doc", "part").join(members.select("doc", "grp"), "doc")
               .groupBy("part", "grp").agg(F.min("doc").alias("one"), F.max("doc").alias("other")))
     matrix = written(matrix, "matrix")
-    needed = matrix.join(group.select("grp", "need"), "grp")
+    needed = open_parts(matrix, group)
     g = needed.select("part", F.col("grp").alias("g"), F.col("need").alias("own"))
     h = needed.select("part", F.col("grp").alias("h"), F.col("need").alias("its"))
     shared = (g.join(h, "part").where("g < h")

@@ -260,6 +260,33 @@ def test_jaccard_components_match_brute_force(spark, size, percent):
             assert (g["n_shingles"], g["component_id"]) == (len(sets[g["doc_id"]]), find(g["doc_id"]))
 
 
+def test_jaccard_large_class_and_family(spark):
+    r = random.Random(31)
+    base = [f"w{k}" for k in range(150)]
+    rows = [(i, " ".join(base)) for i in range(1, 301)]
+    for i in range(400, 700):
+        own = list(base)
+        own[r.randrange(150)] = f"e{i}"
+        rows.append((i, " ".join(own)))
+    rows += [(800 + i, " ".join(f"v{i % 2}x{k}" for k in range(40))) for i in range(5)]
+    r.shuffle(rows)
+    got = {g["doc_id"]: g["component_id"] for g in jaccard.jaccard_components(docs_of(spark, rows)).collect()}
+    want = {i: 1 for i, _ in rows if i < 800} | {800: 800, 802: 800, 804: 800, 801: 801, 803: 801}
+    assert got == want
+
+
+def test_jaccard_classes_and_open_parts(spark):
+    rows = spark.createDataFrame([(d, d % 3, 0, 0 if d == 30 else 7, 1) for d in range(40)],
+                                 "doc long, x long, y long, n long, need long")
+    got = {g["doc"]: g["rep"] for g in jaccard.classes(rows).collect()}
+    assert got == {d: d if d == 30 else d % 3 for d in range(40)}
+    matrix = spark.createDataFrame([(p, g) for p in (1, 2) for g in range(5)] + [(3, 0), (3, 9), (4, 8)],
+                                   "part long, grp long")
+    group = spark.createDataFrame([(g, 1, 50, 50) for g in range(5)] + [(9, 1, 50, 60), (8, 1, 70, 70)],
+                                  "grp long, need long, lo long, hi long")
+    assert sorted((g["part"], g["grp"]) for g in jaccard.open_parts(matrix, group).collect()) == [(3, 0), (3, 9)]
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(90, 80), (80, 85), (7, 7), (None, 3)], "a long, b long")
     got = {r["node"]: r["component"] for r in components(links).collect()}
