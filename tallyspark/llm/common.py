@@ -18,6 +18,9 @@ from tallyspark.sources.tables import read_table
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = "[\\x20\\x09-\\x0D]+"
 
+#: Bytes of rows that a worker of the pipeline gets at a time (a longer row is sent alone).
+BATCH_BYTES = 4 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _shipped: set[str] = set()
 
@@ -67,6 +70,15 @@ def give_back() -> None:
         return
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send workers ``BATCH_BYTES`` of rows at a time, unless the session says how many.
+
+    A batch is held several times over, by the worker and by the JVM that writes it.
+    """
+    if spark.conf.get(_BATCH_KEY, None) is None:
+        spark.conf.set(_BATCH_KEY, BATCH_BYTES)
+
+
 def unused(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have yet."""
     have = {c.lower() for c in df.columns}

@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import texts, written
+from .common import give_back, texts, written
 from .components import components
 
 GROUP = 64
@@ -47,6 +47,9 @@ GROUP = 64
 CUTS = 256
 #: Bytes of text that a task turns into shingles at a time (a longer text is taken alone).
 CHUNK_BYTES = 2_000_000
+#: Bytes of a chunk's texts, of words in them, and shingles in its sets, that are worked on at a time (a longer one
+#: is taken alone): the arrays over a whole chunk would take fifty times its bytes.
+PIECE_BYTES, HASHED_BYTES, PIECE_SHINGLES = 400_000, 200_000, 80_000
 GROWTH = 1.5  # of the sizes that share a partition scheme; above 100 / percent
 
 _U = np.uint64
@@ -63,8 +66,42 @@ _WHITE = np.zeros(256, bool)
 _WHITE[[32, 9, 10, 11, 12, 13]] = True
 
 
+def word_hashes(b: np.ndarray, ink: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """A hash of each word: words begin at ``begin`` and end with their ``ink`` or at the next one."""
+    h, edges, w = np.empty(len(begin), "u8"), np.append(begin, len(b)), 0
+    while w < len(begin):
+        end = max(w + 1, int(np.searchsorted(edges, edges[w] + HASHED_BYTES, side="right")) - 1)
+        inked = np.flatnonzero(ink[edges[w]:edges[end]])
+        starts = begin[w:end] - edges[w]
+        at = np.searchsorted(inked, starts)
+        place = inked - np.repeat(starts, np.diff(np.append(at, len(inked))))
+        powers = np.cumprod(np.full(int(place.max()) + 2, _R, "u8"))
+        h[w:end] = np.add.reduceat((b[edges[w]:edges[end]][inked].astype("u8") + _U(1)) * powers[place], at)
+        w = end
+    return mixed(h)
+
+
+def _pieces(sizes, most: int):
+    """``(start, end)`` of neighbours of ``most`` in all; one that is larger is alone."""
+    start, total = 0, 0
+    for k, n in enumerate(sizes):
+        if k > start and total + n > most:
+            yield start, k
+            start, total = k, 0
+        total += int(n)
+    if len(sizes) > start:
+        yield start, len(sizes)
+
+
 def shingle_sets(batch: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of the texts, ascending within each text, and their number."""
+    found = [_shingle_sets(batch[a:b], size) for a, b in _pieces([len(t) for t in batch], PIECE_BYTES)]
+    if not found:
+        return np.zeros(0, "u8"), np.zeros(0, "i8")
+    return np.concatenate([s for s, _ in found]), np.concatenate([n for _, n in found])
+
+
+def _shingle_sets(batch: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.array([len(t) for t in batch])
     b = np.frombuffer(b"".join(batch).lower(), "u1")  # lower() of bytes changes A-Z only
     ends = np.cumsum(lengths)
@@ -75,12 +112,7 @@ def shingle_sets(batch: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]
     begin = np.flatnonzero(ink & first)
     if not len(begin):
         return np.zeros(0, "u8"), np.zeros(len(batch), "i8")
-    inked = np.flatnonzero(ink)
-    word = (np.cumsum(ink & first) - 1)[inked]
-    place = inked - begin[word]
-    powers = np.cumprod(np.full(int(place.max()) + 2, _R, "u8"))
-    at = np.searchsorted(word, np.arange(len(begin)))
-    h = mixed(np.add.reduceat((b[inked].astype("u8") + _U(1)) * powers[place], at))
+    h = word_hashes(b, ink, begin)
     doc = np.searchsorted(ends, begin, side="right")
     words = np.bincount(doc, minlength=len(batch))
     # a shingle starts at each word with enough words after it; short texts have one from their first
@@ -125,6 +157,16 @@ def part_signatures(sets: np.ndarray, counts: np.ndarray, percent: int):
     Sets with more empty parts write those out as well.  Either way a linked set shares
     at least ``parts - difference - empty parts`` of what is written, and at least one.
     """
+    ends, found = np.concatenate(([0], np.cumsum(counts))), []
+    for a, b in _pieces(counts, PIECE_SHINGLES):
+        sig, of, need = _part_signatures(sets[ends[a]:ends[b]], counts[a:b], percent)
+        found.append((sig, of + a, need))
+    if not found:
+        return np.zeros(0, "u8"), np.zeros(0, "i8"), np.zeros(0, "i8")
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _part_signatures(sets: np.ndarray, counts: np.ndarray, percent: int):
     low, differ, parts = schemes(percent)
     level = np.searchsorted(low, counts, side="right") - 1
     owner = np.repeat(np.arange(len(counts)), counts)
@@ -249,6 +291,7 @@ def signature_lists(docs: DataFrame, size: int, percent: int, buckets: int) -> D
             for a, b in zip(cut[:-1], cut[1:]):
                 out.append((int(bucket[a]), 2, _blob(_delta(owner[a:b]), sig[a:b])))
             yield pd.DataFrame(out, columns=["bucket", "kind", "blob"])
+        give_back()
 
     def meet(frame):
         out = []
@@ -279,6 +322,7 @@ def signature_lists(docs: DataFrame, size: int, percent: int, buckets: int) -> D
             hub = owner[np.flatnonzero(head)][np.cumsum(head) - 1]
             none = np.zeros(int(shared.sum()))
             put(_LIST, owner[shared], sig[shared], hub[shared], none, none)
+        give_back()
         return pd.concat(out) if out else pd.DataFrame(columns=["kind", "doc", "x", "y", "n", "need"])
 
     return docs.mapInPandas(send, _SENT).groupBy("bucket").applyInPandas(meet, _FOUND)
@@ -358,6 +402,7 @@ def open_groups(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent:
                 side[k].append((int(doc), int(comp), np.frombuffer(raw, "u8")))
             if side[0] and side[1]:
                 out += _open_pair(*side, percent)
+        give_back()
         return pd.DataFrame(out, columns=["a", "b"])
 
     return rows.groupBy("bucket").applyInPandas(compare, "a long, b long")
@@ -457,6 +502,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
             ends, need = np.cumsum(counts), part_signatures(sets, counts, percent)[2]
             yield pd.DataFrame({"doc": [int(i) for i in ids], "need": need,
                                 "shingles": [sets[e - n:e].tobytes() for e, n in zip(ends, counts)]})
+        give_back()
 
     found_sets = written(owned.mapInPandas(encode, "doc long, need long, shingles binary"), "sets")
     sets = found_sets.select("doc", "shingles")

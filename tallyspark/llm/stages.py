@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, jaccard, packing, pii, toxicity
-from .common import fold_of, ship, table, unused, written
+from .common import fold_of, ship, small_batches, table, unused, written
 
 #: Word shingles and similarity of the near-duplicate stage.
 WORDS, PERCENT = 5, 80
@@ -21,6 +21,7 @@ REMEMBERED = 100_000
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays under the threshold (the model learns from the training fold)."""
+    small_batches(spark)
     labels = table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(fold_of(F.col("doc_id"), 3) != 1))
     name = unused(docs, "toxicity")
@@ -33,6 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     The rows get a key of the stage's own, stored with them; groups and joins go by it.
     """
+    small_batches(spark)
     ship(spark)
     key = unused(docs, "row")
     rows = written(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
@@ -47,6 +49,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    small_batches(spark)
     ship(spark)
     return decontaminate.without_passages(docs, table(spark, sf_dir, "benchmark"))
 
@@ -62,5 +65,6 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents and their places in sequences."""
+    small_batches(spark)
     ship(spark)
     return packing.pack_documents(docs, public_tokenizers.path(packing.TOKENIZER), remembered=REMEMBERED)
