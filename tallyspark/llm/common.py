@@ -21,6 +21,7 @@ WHITE_RUN = "[\\x20\\x09-\\x0D]+"
 #: Bytes of rows that a worker of the pipeline gets at a time (a longer row is sent alone).
 BATCH_BYTES = 4 << 20
 _BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+_CLEAN_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _shipped: set[str] = set()
 
@@ -54,10 +55,21 @@ def fold_of(id_col: Column, folds: int) -> Column:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: later jobs restart from the files."""
+    """``df`` written once to the shared folder and read back: later jobs restart from the files.
+
+    Its shuffle files go when it is written; else they stay until the driver happens to collect its garbage.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN_KEY, None)
+    spark.conf.set(_CLEAN_KEY, True)
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN_KEY)
+        else:
+            spark.conf.set(_CLEAN_KEY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -17,7 +17,8 @@ word shingles.  The join is exact:
    ``need`` parts, so two groups whose unions share fewer stay closed, and so do groups
    that lie in one component already.  In an open pair of groups the shared parts of
    every two members are counted, a query's overlap with the other group's shingle
-   union is bounded, and only members that pass are compared.
+   union is bounded, and only members that pass are compared.  A task gets a block of
+   groups once, with all that is opened against it, rather than two groups for each pair.
 4. Links of both rounds make the components.
 
 No list, hub or component is held in one task or on the driver as a whole: lists are
@@ -43,6 +44,10 @@ from .common import give_back, texts, written
 from .components import components
 
 GROUP = 64
+#: Shingles and members of neighbouring groups that a task holds as a block.  Shingles of the groups that are compared
+#: with it, and pairs of members (a pair of groups counts as some more).
+BLOCK_SHINGLES, BLOCK_MEMBERS = 1 << 19, 16 * GROUP
+UNIT_SHINGLES, UNIT_WORK, PAIR_WORK = 1 << 19, 1 << 20, 256
 #: Cuts of a class of equal sets: its rows come to as many tasks.
 CUTS = 256
 #: Bytes of text that a task turns into shingles at a time (a longer text is taken alone).
@@ -348,60 +353,103 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(linked("own", "held")).select("a", "b")
 
 
-def _open_pair(a: list, b: list, percent: int):
-    """Links between two groups of ``(doc, component, shingles)``, one for any two components."""
-    joined: dict = {}
+class _Group:
+    """A group's members, sorted part hashes and shingle union, made once for all pairs of a task."""
+
+    def __init__(self, docs, comps, blobs, percent: int):
+        self.docs, self.comps = [int(d) for d in docs], [int(c) for c in comps]
+        self.sets = [np.frombuffer(raw, "u8") for raw in blobs]
+        self.sizes, whole = np.array([len(s) for s in self.sets]), np.concatenate(self.sets)
+        sig, of, self.need = part_signatures(whole, self.sizes, percent)
+        order = np.argsort(sig)
+        self.sig, self.of = sig[order], of[order]
+        self.starts, self.least = np.cumsum(self.sizes) - self.sizes, int(self.sizes.min())
+        self.union, place = np.unique(whole, return_inverse=True)
+        self.place = place.astype("i4")
+
+
+def _open_pair(a: _Group, b: _Group, percent: int, joined: dict):
+    """Links between two groups, one for any two components; ``joined`` has what earlier pairs of the task linked."""
 
     def find(c):
         while joined.get(c, c) != c:
-            c = joined[c]
+            joined[c] = c = joined.get(joined[c], joined[c])
         return c
 
-    sets = [s for _, _, s in a + b]
-    sig, of, need = part_signatures(np.concatenate(sets), np.array([len(s) for s in sets]), percent)
-    here, there = of < len(a), of >= len(a)
-    order = np.argsort(sig[there])
-    held, member = sig[there][order], of[there][order] - len(a)
-    low = np.searchsorted(held, sig[here], "left")
-    n = np.searchsorted(held, sig[here], "right") - low
+    low = np.searchsorted(b.sig, a.sig, "left")
+    n = np.searchsorted(b.sig, a.sig, "right") - low
     which = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    shared = np.bincount(np.repeat(of[here], n) * len(b) + member[which],
-                         minlength=len(a) * len(b)).reshape(len(a), len(b))
-    union = np.unique(np.concatenate(sets[len(a):]))
-    least = min(len(s) for s in sets[len(a):])
-    for i, (doc, comp, own) in enumerate(a):
-        able = np.flatnonzero(shared[i] >= np.maximum(need[i], need[len(a):]))
-        able = [j for j in able[np.argsort(-shared[i][able])] if find(b[j][1]) != find(comp)]
+    shared = np.bincount(np.repeat(a.of, n) * len(b.sets) + b.of[which],
+                         minlength=len(a.sets) * len(b.sets)).reshape(len(a.sets), len(b.sets))
+    fits = shared >= np.maximum(a.need[:, None], b.need)
+    fits &= 100 * np.minimum(a.sizes[:, None], b.sizes) >= percent * np.maximum(a.sizes[:, None], b.sizes)
+    for i in np.flatnonzero(fits.any(axis=1)):
+        doc, comp, own = a.docs[i], a.comps[i], a.sets[i]
+        able = np.flatnonzero(fits[i])
+        able = [j for j in able[np.argsort(-shared[i][able])] if find(b.comps[j]) != find(comp)]
         if not able:
             continue
-        at = np.minimum(np.searchsorted(union, own), len(union) - 1)
-        if 100 * int((union[at] == own).sum()) < percent * max(len(own), least):
+        at = np.minimum(np.searchsorted(b.union, own), len(b.union) - 1)
+        at = at[b.union[at] == own]
+        if 100 * len(at) < percent * max(len(own), b.least):
             continue  # no member can link
+        marked = np.zeros(len(b.union), "u1")
+        marked[at] = 1
+        both = np.add.reduceat(marked[b.place], b.starts, dtype="i8")
+        linked = 100 * both >= percent * (len(own) + b.sizes - both)
         for j in able:
-            other, its, theirs = b[j]
-            if find(its) != find(comp) and _linked(own, theirs, percent):
-                joined[find(its)] = find(comp)
-                yield doc, other
+            if linked[j] and find(b.comps[j]) != find(comp):
+                joined[find(b.comps[j])] = find(comp)
+                yield doc, b.docs[j]
+
+
+def work_units(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """``(unit, own, guest)`` of pairs of groups ``(g, h)``: the unit of work in which both groups are.
+
+    A pair is opened where the larger of its groups' blocks is; the group of the other block comes there.  So a
+    group is sent once for a block, not once for each group in it.  A block with more guests or pairs than a
+    unit's is sent to several, each with some of them.
+    """
+    size = members.groupBy("blk", "grp").agg(F.sum("n").alias("n"), F.count("*").alias("k"))
+    size = size.withColumn("held", F.sum("n").over(Window.partitionBy("blk")))
+
+    def side(name):
+        return size.select(F.col("grp").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("blk", "n", "k", "held")])
+
+    both = pairs.join(side("g"), "g").join(side("h"), "h")
+    at_g = F.struct("held_g", "blk_g") >= F.struct("held_h", "blk_h")
+    dealt = written(both.select(F.when(at_g, F.col("blk_g")).otherwise(F.col("blk_h")).alias("home"),
+                                F.when(at_g, F.col("g")).otherwise(F.col("h")).alias("own"),
+                                F.when(at_g, F.col("h")).otherwise(F.col("g")).alias("guest"),
+                                F.when(F.expr("blk_g = blk_h"), 0).when(at_g, F.col("n_h")).otherwise(F.col("n_g"))
+                                .alias("n"), (F.expr("k_g * k_h") + PAIR_WORK).alias("work")), "dealt")
+    room = (dealt.groupBy("home", "guest").agg(F.max("n").alias("n"), F.sum("work").alias("work")).groupBy("home")
+            .agg(F.ceil(F.greatest(F.sum("n") / UNIT_SHINGLES, F.sum("work") / UNIT_WORK)).alias("slices")))
+    cut = F.pmod(F.xxhash64("guest"), F.col("slices"))
+    return dealt.join(room, "home").select(F.xxhash64("home", cut).alias("unit"), "own", "guest")
 
 
 def open_groups(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent: int, buckets: int) -> DataFrame:
-    """Links ``(a, b)`` between the members ``(doc, grp, comp)`` of pairs of groups ``(g, h)``."""
-    full = members.join(sets, "doc").select("grp", "doc", "comp", "shingles")
-    pair = F.xxhash64("g", "h")
-    keyed = pairs.select("g", "h", pair.alias("pair"), F.pmod(pair, F.lit(buckets)).cast("int").alias("bucket"))
-    sides = keyed.select("bucket", "pair", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("g").alias("grp")),
-        F.struct(F.lit(1).alias("side"), F.col("h").alias("grp")))).alias("s")).select("bucket", "pair", "s.*")
-    rows = sides.join(full, "grp").select("bucket", "pair", "side", "doc", "comp", "shingles")
+    """Links ``(a, b)`` between the members ``(doc, grp, blk, n, comp)`` of pairs of groups ``(g, h)``."""
+    units = written(work_units(pairs, members), "units")
+    sides = units.select("unit", F.explode(F.array("own", "guest")).alias("grp")).distinct()
+    sent = sides.join(members.select("grp", "doc", "comp"), "grp").join(sets, "doc")
+    rows = sent.select("unit", "grp", "doc", "comp", "shingles")
+    # the pairs of a unit come as rows without shingles
+    told = units.select("unit", F.col("own").alias("grp"), F.col("guest").alias("doc"), F.lit(0).cast("long").alias("comp"),
+                        F.lit(None).cast("binary").alias("shingles"))
+    rows = rows.unionByName(told).withColumn("bucket", F.pmod("unit", F.lit(buckets)).cast("int"))
 
     def compare(frame):
         out = []
-        for _, both in frame.groupby("pair", sort=False):
-            side = [[], []]
-            for k, doc, comp, raw in zip(both["side"], both["doc"], both["comp"], both["shingles"]):
-                side[k].append((int(doc), int(comp), np.frombuffer(raw, "u8")))
-            if side[0] and side[1]:
-                out += _open_pair(*side, percent)
+        for _, unit in frame.groupby("unit", sort=False):
+            told = unit["shingles"].isna()
+            held = {grp: _Group(m["doc"], m["comp"], m["shingles"], percent)
+                    for grp, m in unit[~told].groupby("grp", sort=False)}
+            joined: dict = {}
+            for own, guest in zip(unit["grp"][told], unit["doc"][told]):
+                if own in held and guest in held:
+                    out += _open_pair(held[own], held[guest], percent, joined)
         give_back()
         return pd.DataFrame(out, columns=["a", "b"])
 
@@ -449,9 +497,9 @@ def in_families(members: DataFrame, family: DataFrame, loose: DataFrame) -> Data
     above = (above.join(again, above["to"] == again["own"], "left")
              .select("root", F.coalesce("further", "to").alias("to")))
     named = (members.join(family, members["doc"] == family["node"], "left")
-             .select("doc", "need", F.coalesce("component", "doc").alias("name")))
+             .select("doc", "need", "n", F.coalesce("component", "doc").alias("name")))
     return (named.join(above, named["name"] == above["root"], "left")
-            .select("doc", "need", F.coalesce("to", "name").alias("hub")))
+            .select("doc", "need", "n", F.coalesce("to", "name").alias("hub")))
 
 
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id",
@@ -500,19 +548,23 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
         for ids, batch in chunks(plain):
             sets, counts = shingle_sets(batch, size)
             ends, need = np.cumsum(counts), part_signatures(sets, counts, percent)[2]
-            yield pd.DataFrame({"doc": [int(i) for i in ids], "need": need,
+            yield pd.DataFrame({"doc": [int(i) for i in ids], "need": need, "n": counts,
                                 "shingles": [sets[e - n:e].tobytes() for e, n in zip(ends, counts)]})
         give_back()
 
-    found_sets = written(owned.mapInPandas(encode, "doc long, need long, shingles binary"), "sets")
+    found_sets = written(owned.mapInPandas(encode, "doc long, need long, n long, shingles binary"), "sets")
     sets = found_sets.select("doc", "shingles")
     first = written(verified(best.select(F.col("doc").alias("a"), F.col("hub").alias("b")), sets, percent), "links")
     near = components(first)
-    members = found_sets.select("doc", "need")
+    members = found_sets.select("doc", "need", "n")
     members = in_families(members, components(best, "doc", "hub"), loose)
-    members = members.join(members.groupBy("hub").agg(F.ceil(F.count("*") / GROUP).alias("cuts")), "hub")
+    blocks = F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / BLOCK_MEMBERS))
+    members = members.join(members.groupBy("hub").agg(F.ceil(F.count("*") / GROUP).alias("cuts"),
+                                                      blocks.alias("blocks")), "hub")
+    cut = F.pmod(F.xxhash64("doc"), F.col("cuts"))
+    block = F.floor(cut * F.least("blocks", "cuts") / F.col("cuts"))
     members = members.join(near, members["doc"] == near["node"], "left").select(
-        "doc", "need", F.xxhash64("hub", F.pmod(F.xxhash64("doc"), F.col("cuts"))).alias("grp"),
+        "doc", "need", "n", F.xxhash64("hub", cut).alias("grp"), F.xxhash64(block, "hub").alias("blk"),
         F.coalesce("component", "doc").alias("comp"))
     members = written(members, "groups")
     group = members.groupBy("grp").agg(F.min("need").alias("need"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
@@ -535,7 +587,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     opened = (shared.unionByName(within).join(left, "g").join(right, "h")
               .where("shared >= greatest(need_g, need_h)")
               .where("least(lo_g, lo_h) < greatest(hi_g, hi_h)").select("g", "h"))
-    second = open_groups(written(opened, "opened"), members.select("doc", "grp", "comp"), sets, percent, 8 * buckets)
+    second = open_groups(written(opened, "opened"), members.drop("need"), sets, percent, 8 * buckets)
     final = components(first.union(second))
     known = (named.join(final, named["rep"] == final["node"], "left")
              .select("doc", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")))
