@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.session import scratch_path
+from tallyspark.session import discard_scratch, scratch_path
 from tallyspark.sources.tables import read_table
 
 #: White space and words as every operator here understands them.
@@ -70,7 +70,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
             spark.conf.unset(_CLEAN_KEY)
         else:
             spark.conf.set(_CLEAN_KEY, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove the files of tables that ``written`` gave, when all that reads them is written itself."""
+    for t in tables:
+        discard_scratch(t.sparkSession, t._stored_at)
 
 
 def give_back() -> None:

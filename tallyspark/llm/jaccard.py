@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import give_back, texts, written
+from .common import dropped, give_back, texts, written
 from .components import components
 
 GROUP = 64
@@ -48,6 +48,7 @@ GROUP = 64
 #: with it, and pairs of members (a pair of groups counts as some more).
 BLOCK_SHINGLES, BLOCK_MEMBERS = 1 << 19, 16 * GROUP
 UNIT_SHINGLES, UNIT_WORK, PAIR_WORK = 1 << 19, 1 << 20, 256
+ROUND = 2
 #: Cuts of a class of equal sets: its rows come to as many tasks.
 CUTS = 256
 #: Bytes of text that a task turns into shingles at a time (a longer text is taken alone).
@@ -430,15 +431,16 @@ def work_units(pairs: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def open_groups(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent: int, buckets: int) -> DataFrame:
-    """Links ``(a, b)`` between the members ``(doc, grp, blk, n, comp)`` of pairs of groups ``(g, h)``."""
+    """Links ``(a, b)`` between the members ``(doc, grp, blk, n, comp)`` of pairs of groups ``(g, h)``.
+
+    The units are worked on in rounds, each sending about ``ROUND`` times the sets of all members.
+    """
     units = written(work_units(pairs, members), "units")
     sides = units.select("unit", F.explode(F.array("own", "guest")).alias("grp")).distinct()
-    sent = sides.join(members.select("grp", "doc", "comp"), "grp").join(sets, "doc")
-    rows = sent.select("unit", "grp", "doc", "comp", "shingles")
+    sides = written(sides.join(members.select("grp", "doc", "comp", "n"), "grp"), "sides")
     # the pairs of a unit come as rows without shingles
     told = units.select("unit", F.col("own").alias("grp"), F.col("guest").alias("doc"), F.lit(0).cast("long").alias("comp"),
                         F.lit(None).cast("binary").alias("shingles"))
-    rows = rows.unionByName(told).withColumn("bucket", F.pmod("unit", F.lit(buckets)).cast("int"))
 
     def compare(frame):
         out = []
@@ -453,7 +455,16 @@ def open_groups(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent:
         give_back()
         return pd.DataFrame(out, columns=["a", "b"])
 
-    return rows.groupBy("bucket").applyInPandas(compare, "a long, b long")
+    n = sides.agg(F.sum("n")).first()[0] or 0
+    rounds = max(1, -(-n // (ROUND * max(1, members.agg(F.sum("n")).first()[0] or 0))))
+    found = None
+    for k in range(rounds):
+        here = F.pmod(F.xxhash64("unit"), F.lit(rounds)) == k
+        sent = sides.where(here).join(sets, "doc").select("unit", "grp", "doc", "comp", "shingles")
+        rows = sent.unionByName(told.where(here)).withColumn("bucket", F.pmod("unit", F.lit(buckets)).cast("int"))
+        links = written(rows.groupBy("bucket").applyInPandas(compare, "a long, b long"), "links")
+        found = links if found is None else found.union(links)
+    return found
 
 
 def classes(rows: DataFrame) -> DataFrame:
@@ -523,6 +534,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
              .withColumn("own", F.count("*").over(Window.partitionBy("doc")))
              .where("own >= need").select("doc", "part", "hub", "need"))
     lists = written(lists, "lists")
+    dropped(found)
     # the hub that a set shares most parts with, as its class's representative
     hubs = (lists.groupBy("doc", "hub").agg(F.count("*").alias("shared"), F.max("need").alias("need"))
             .join(to_rep, "hub").where("rep <> doc"))
@@ -572,6 +584,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     matrix = (lists.select("doc", "part").join(members.select("doc", "grp"), "doc")
               .groupBy("part", "grp").agg(F.min("doc").alias("one"), F.max("doc").alias("other")))
     matrix = written(matrix, "matrix")
+    dropped(lists)
     needed = open_parts(matrix, group)
     g = needed.select("part", F.col("grp").alias("g"), F.col("need").alias("own"))
     h = needed.select("part", F.col("grp").alias("h"), F.col("need").alias("its"))
@@ -587,7 +600,10 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     opened = (shared.unionByName(within).join(left, "g").join(right, "h")
               .where("shared >= greatest(need_g, need_h)")
               .where("least(lo_g, lo_h) < greatest(hi_g, hi_h)").select("g", "h"))
-    second = open_groups(written(opened, "opened"), members.drop("need"), sets, percent, 8 * buckets)
+    opened = written(opened, "opened")
+    dropped(matrix)
+    second = open_groups(opened, members.drop("need"), sets, percent, 8 * buckets)
+    dropped(found_sets)
     final = components(first.union(second))
     known = (named.join(final, named["rep"] == final["node"], "left")
              .select("doc", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")))

@@ -1,5 +1,6 @@
 """Disk of the Jaccard join: what is sent for pairs of groups, and shuffle files that nothing needs any more."""
 
+import os
 import time
 from collections import Counter
 
@@ -32,7 +33,8 @@ def test_a_group_is_sent_once_for_a_block(spark, monkeypatch):
 def test_blocks_and_units_lose_no_link(spark, monkeypatch):
     """Near copies of a few texts, in groups, blocks and units of a few members."""
     from test_minhash_dedup import shingles
-    for name, most in (("GROUP", 3), ("BLOCK_MEMBERS", 6), ("UNIT_SHINGLES", 900), ("UNIT_WORK", 500)):
+    for name, most in (("GROUP", 3), ("BLOCK_MEMBERS", 6), ("UNIT_SHINGLES", 900), ("UNIT_WORK", 500),
+                       ("ROUND", 1)):
         monkeypatch.setattr(jaccard, name, most)
     r = np.random.default_rng(5)
     texts = []
@@ -51,7 +53,14 @@ def test_blocks_and_units_lose_no_link(spark, monkeypatch):
                 low, high = sorted((group[a], group[b]))
                 group = [low if g == high else g for g in group]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {g["doc_id"]: g["component_id"] for g in jaccard.jaccard_components(docs, 5, 80).collect()}
+    names, kept = [], jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, name: names.append((name, kept(df, name))) or names[-1][1])
+    result = jaccard.jaccard_components(docs, 5, 80)
+    found = dict(names)
+    assert [name for name, _ in names].count("links") > 2  # the first links, and a round or more
+    assert not any(os.path.exists(found[name]._stored_at.removeprefix("file:"))
+                   for name in ("shingles", "lists", "matrix", "sets"))
+    got = {g["doc_id"]: g["component_id"] for g in result.collect()}
     assert got == dict(enumerate(group)) and 6 < len(set(group)) < 100
 
 
